@@ -123,7 +123,8 @@ def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFr
     k_per_query = ranked.groupBy(id_col).agg(F.max("rank").alias("_k"))
     out = hits.drop("rank").withColumn("rank", F.row_number().over(w)).join(
         k_per_query, id_col).where(F.col("rank") <= F.col("_k"))
-    return out.select(id_col, "doc_id", "rank", "score", *index.payload)
+    return out.select(id_col, "doc_id", "rank", "score",
+                      F.col("_ver").alias("version"), *index.payload)
 
 
 def search_one(spark: SparkSession, index: TextIndex, query: str,
