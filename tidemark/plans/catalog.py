@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from tidemark.plans.ingest_oracle import INGEST_ORACLE
+from tidemark.plans.ingest_queries import INGEST_QUERIES
 from tidemark.plans.oracle import SEARCH_ORACLE
 from tidemark.plans.queries import SEARCH_QUERIES
 
-QUERIES = {**SEARCH_QUERIES}
-ORACLE = {**SEARCH_ORACLE}
+QUERIES = {**SEARCH_QUERIES, **INGEST_QUERIES}
+ORACLE = {**SEARCH_ORACLE, **INGEST_ORACLE}
