@@ -5,7 +5,8 @@ from __future__ import annotations
 from tidemark.plans.ingest_oracle import INGEST_ORACLE
 from tidemark.plans.ingest_queries import INGEST_QUERIES
 from tidemark.plans.oracle import SEARCH_ORACLE
+from tidemark.plans.quality_queries import QUALITY_ORACLE, QUALITY_QUERIES
 from tidemark.plans.queries import SEARCH_QUERIES
 
-QUERIES = {**SEARCH_QUERIES, **INGEST_QUERIES}
-ORACLE = {**SEARCH_ORACLE, **INGEST_ORACLE}
+QUERIES = {**SEARCH_QUERIES, **INGEST_QUERIES, **QUALITY_QUERIES}
+ORACLE = {**SEARCH_ORACLE, **INGEST_ORACLE, **QUALITY_ORACLE}
