@@ -225,3 +225,20 @@ INGEST_QUERIES = {
     "latest_version": q_latest_version,
     "props_decode": q_props_decode,
 }
+
+
+def q_stream_index_refresh(spark, sf_dir):
+    """Documents landing as several files, indexed by a streaming refresh
+    (one micro-batch per file); the result equals the batch-built weights."""
+    from tidemark.streaming.refresh import refreshed_index, start_refresh
+    docs = load(spark, sf_dir, "documents")
+    root = scratch_path(spark, "stream")
+    docs.repartitionByRange(4, "doc_id").write.parquet(f"{root}/landing")
+    q = start_refresh(spark, f"{root}/landing", docs.schema, f"{root}/index",
+                      f"{root}/stream_ckpt", max_files_per_trigger=1)
+    q.awaitTermination()
+    idx = refreshed_index(spark, f"{root}/index")
+    return idx.postings.select("doc_id", "dim", F.round("w", 8).alias("w"))
+
+
+INGEST_QUERIES["stream_index_refresh"] = q_stream_index_refresh

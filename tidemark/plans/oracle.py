@@ -123,3 +123,5 @@ SELECT doc_id, rank, score, version, role FROM v WHERE rank <= {k}""",
 JOIN latest ON latest.conv_id = rk.doc_id WHERE rank <= {k}""",
         table="latest", id_col="conv_id"),
 }
+
+SEARCH_ORACLE["stream_index_refresh"] = SEARCH_ORACLE["tfidf_weights"]
