@@ -89,9 +89,10 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
         F.col("rank") <= MAX_TOP_K)
     if ks is not None:
         ranked = ranked.join(F.broadcast(ks) if _small(ks) else ks, id_col).where(
-            F.col("rank") <= F.col("_k")).drop("_k")
+            F.col("rank") <= F.col("_k"))
     else:
-        ranked = ranked.where(F.col("rank") <= DEFAULT_TOP_K)
+        ranked = ranked.where(F.col("rank") <= DEFAULT_TOP_K).withColumn(
+            "_k", F.lit(DEFAULT_TOP_K))
     return _attach_payload(index, ranked, id_col)
 
 
@@ -100,6 +101,7 @@ def _small(df: DataFrame) -> bool:
 
 
 def _attach_payload(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFrame:
+    """``ranked`` carries ``_k``, the requested top_k of its query."""
     if index.versions is not None:
         return _expand_versions(index, ranked, id_col)
     if not index.payload:
@@ -120,9 +122,8 @@ def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFr
     hits = ranked.join(v, "doc_id")
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("doc_id").asc(),
                                            F.col("_ver").asc())
-    k_per_query = ranked.groupBy(id_col).agg(F.max("rank").alias("_k"))
-    out = hits.drop("rank").withColumn("rank", F.row_number().over(w)).join(
-        k_per_query, id_col).where(F.col("rank") <= F.col("_k"))
+    out = hits.drop("rank").withColumn("rank", F.row_number().over(w)).where(
+        F.col("rank") <= F.col("_k"))
     return out.select(id_col, "doc_id", "rank", "score",
                       F.col("_ver").alias("version"), *index.payload)
 
@@ -150,7 +151,7 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
     scores = _scores(matches, "query_id")
     top = scores.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(int(top_k))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    top = top.withColumn("rank", F.row_number().over(w))
+    top = top.withColumn("rank", F.row_number().over(w)).withColumn("_k", F.lit(int(top_k)))
     out = _attach_payload(index, top, "query_id")
     return out.drop("query_id").orderBy("rank")
 

@@ -100,38 +100,38 @@ def read_lake(spark: SparkSession, root: str, table: str, schema: T.StructType,
               required: list[str]) -> tuple[DataFrame, DataFrame]:
     """Read a lake table with validation: ``(good, quarantine)``.
 
-    Every field is read as text, then cast with ``try_cast`` (so ``"7"`` in
-    a bigint field is accepted, as a lenient model would).  Blank lines
-    are skipped by the reader; lines that do not parse or lack a required
-    field go to the quarantine frame with their raw text.
+    Lines are read as text (blank ones skipped) and parsed with every
+    field as text, then cast with ``try_cast`` (so ``"7"`` in a bigint
+    field is accepted, as a lenient model would).  Lines that do not parse
+    or lack a required field go to the quarantine frame as raw text.
     """
     path = table_path(root, table)
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema.fields if f.name != "date"]
         + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.option("basePath", path).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).schema(text_schema).json(path))
+    lines = spark.read.option("basePath", path).text(path).where(F.trim("value") != "")
+    parsed = lines.select(
+        "value", F.col("date").cast("string").alias("date"),
+        F.from_json("value", text_schema, {"mode": "PERMISSIVE",
+                                           "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
     typed = []
     for f in schema.fields:
         if f.name == "date":
             continue
+        c = F.col(f"j.{f.name}")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            typed.append(parse_iso(f.name).alias(f.name))
+            typed.append(parse_iso(c).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
-            typed.append(F.col(f.name))
+            typed.append(c.alias(f.name))
         else:
-            typed.append(F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
-                         .alias(f.name))
-    cast = raw.select(*typed, F.col("date").cast("string").alias("date"), CORRUPT)
+            typed.append(c.try_cast(f.dataType).alias(f.name))
+    cast = parsed.select(*typed, "date", F.col(f"j.{CORRUPT}").alias(CORRUPT), "value")
     ok = F.col(CORRUPT).isNull()
     for r in required:
         ok = ok & F.col(r).isNotNull()
     cast = cast.withColumn("_ok", ok)
-    good = cast.where("_ok").drop("_ok", CORRUPT)
-    bad = cast.where(~F.col("_ok")).select("date", F.coalesce(
-        F.col(CORRUPT), F.to_json(F.struct(*[c for c in cast.columns
-                                             if c not in ("_ok", CORRUPT, "date")]))
-    ).alias("raw"))
+    good = cast.where("_ok").drop("_ok", CORRUPT, "value")
+    bad = cast.where(~F.col("_ok")).select("date", F.col("value").alias("raw"))
     return good, bad
 
 
