@@ -21,8 +21,8 @@ Plan shape, chosen for very large corpora:
 
 So a full build has one tiny shuffle (df) and no shuffle of text or
 postings.  :func:`write_index` materialises the term vectors once and lays
-the postings out range-partitioned and sorted by ``(dim, doc_id)`` so a
-query touching a few dimensions reads only the files whose statistics
+the postings out sorted by ``(dim, doc_id)`` within each file so a
+query touching a few dimensions reads only the row groups whose statistics
 cover them.
 """
 
@@ -177,14 +177,20 @@ def _assemble(terms: DataFrame, n_docs: DataFrame, doc_rows: DataFrame,
                      versions=version_rows)
 
 
-def write_index(index: TextIndex, path: str, postings_files: int | None = None) -> TextIndex:
+def write_index(index: TextIndex, path: str, row_group_bytes: int = 16 * 1024 * 1024
+                ) -> TextIndex:
     """Materialise the index under ``path`` and return it read back.
 
     1. term vectors are written once (the expensive tokenise + hash pass);
-    2. df, N and weights are re-derived from that table;
-    3. postings are range-partitioned on ``(dim, doc_id)`` and sorted, so
-       files cover narrow dim ranges (hot dimensions still split across
-       files by doc_id) and a ``dim IN (...)`` filter skips the rest.
+    2. df is re-derived from that table (a tiny aggregate) and written;
+    3. postings are derived from the terms in-row and written with every
+       file sorted by ``(dim, doc_id)`` in small row groups.  No shuffle:
+       Parquet min/max statistics on ``dim`` then let a ``dim IN (...)``
+       filter skip all row groups of other dimensions.  (A range
+       repartition on dim would give narrower files, at the price of a
+       full shuffle of the postings, the largest table.)
+
+    Norms and payload are re-derived on read from ``terms`` and ``idf``.
     """
     spark = index.terms.sparkSession
     path = path.rstrip("/")
@@ -197,17 +203,12 @@ def write_index(index: TextIndex, path: str, postings_files: int | None = None)
             f"{path}/payload")
     terms = spark.read.parquet(f"{path}/terms")
     n_docs = spark.read.parquet(f"{path}/n_docs")
-    dfreq = document_frequencies(terms)
-    dfreq.write.mode("overwrite").parquet(f"{path}/doc_freq")
-    dfreq = spark.read.parquet(f"{path}/doc_freq")
-    idf = idf_table(dfreq, n_docs)
-    weighted = weigh(terms, idf, ["doc_id"])
-    n_files = postings_files or max(1, spark.sparkContext.defaultParallelism)
-    (to_postings(weighted)
-     .repartitionByRange(n_files, "dim", "doc_id")
+    document_frequencies(terms).write.mode("overwrite").parquet(f"{path}/doc_freq")
+    idf = idf_table(spark.read.parquet(f"{path}/doc_freq"), n_docs)
+    (to_postings(weigh(terms, idf, ["doc_id"]))
      .sortWithinPartitions("dim", "doc_id")
-     .write.mode("overwrite").parquet(f"{path}/postings"))
-    weighted.select("doc_id", "norm").write.mode("overwrite").parquet(f"{path}/norms")
+     .write.mode("overwrite").option("parquet.block.size", row_group_bytes)
+     .parquet(f"{path}/postings"))
     return read_index(spark, path, index.payload, index.versions is not None)
 
 
@@ -217,11 +218,12 @@ def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
     terms = spark.read.parquet(f"{path}/terms")
     n_docs = spark.read.parquet(f"{path}/n_docs")
     dfreq = spark.read.parquet(f"{path}/doc_freq")
-    norms = spark.read.parquet(f"{path}/norms")
+    idf = idf_table(dfreq, n_docs)
+    norms = weigh(terms, idf, ["doc_id"]).select("doc_id", "norm")
     payload = list(payload or [])
     docs = norms.join(spark.read.parquet(f"{path}/payload"), "doc_id") if payload else norms
     versions = spark.read.parquet(f"{path}/versions") if has_versions else None
     return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs,
-                     idf=idf_table(dfreq, n_docs),
+                     idf=idf,
                      postings=spark.read.parquet(f"{path}/postings"),
                      docs=docs, payload=payload, versions=versions)
