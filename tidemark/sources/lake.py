@@ -26,6 +26,7 @@ from tidemark.functions.timefmt import as_utc, iso_text, parse_iso
 from tidemark.operators.versions import latest_version
 
 CORRUPT = "_corrupt_record"
+LINE = "_line"
 
 
 def table_path(root: str, table: str) -> str:
@@ -109,10 +110,11 @@ def read_lake(spark: SparkSession, root: str, table: str, schema: T.StructType,
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema.fields if f.name != "date"]
         + [T.StructField(CORRUPT, T.StringType())])
-    lines = spark.read.option("basePath", path).text(path).where(F.trim("value") != "")
+    lines = (spark.read.option("basePath", path).text(path)
+             .select(F.col("value").alias(LINE), "date").where(F.trim(LINE) != ""))
     parsed = lines.select(
-        "value", F.col("date").cast("string").alias("date"),
-        F.from_json("value", text_schema, {"mode": "PERMISSIVE",
+        LINE, F.col("date").cast("string").alias("date"),
+        F.from_json(LINE, text_schema, {"mode": "PERMISSIVE",
                                            "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
     typed = []
     for f in schema.fields:
@@ -125,13 +127,13 @@ def read_lake(spark: SparkSession, root: str, table: str, schema: T.StructType,
             typed.append(c.alias(f.name))
         else:
             typed.append(c.try_cast(f.dataType).alias(f.name))
-    cast = parsed.select(*typed, "date", F.col(f"j.{CORRUPT}").alias(CORRUPT), "value")
+    cast = parsed.select(*typed, "date", F.col(f"j.{CORRUPT}").alias(CORRUPT), LINE)
     ok = F.col(CORRUPT).isNull()
     for r in required:
         ok = ok & F.col(r).isNotNull()
     cast = cast.withColumn("_ok", ok)
-    good = cast.where("_ok").drop("_ok", CORRUPT, "value")
-    bad = cast.where(~F.col("_ok")).select("date", F.col("value").alias("raw"))
+    good = cast.where("_ok").drop("_ok", CORRUPT, LINE)
+    bad = cast.where(~F.col("_ok")).select("date", F.col(LINE).alias("raw"))
     return good, bad
 
 
