@@ -97,3 +97,5 @@ QUALIFY row_number() OVER (PARTITION BY user_id
 SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k,
        coalesce(json_valid(props), false) AS valid_json FROM events""",
 }
+
+INGEST_ORACLE["lake_compaction"] = INGEST_ORACLE["lake_round_trip"]

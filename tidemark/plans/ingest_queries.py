@@ -242,3 +242,17 @@ def q_stream_index_refresh(spark, sf_dir):
 
 
 INGEST_QUERIES["stream_index_refresh"] = q_stream_index_refresh
+
+
+def q_lake_compaction(spark, sf_dir):
+    """Daily compaction: the JSON-lines lake rewritten as sorted Parquet."""
+    src = load(spark, sf_dir, "events")
+    s = Scratch(spark, "compaction")
+    run_ingest(spark, [events_spec(spark, sf_dir)], s.lake, s.state, s.events)
+    out = lake_io.compact(spark, s.lake, "events", with_date(src.schema), ["event_id", "ts"],
+                          f"{s.lake}_parquet/events")
+    view = _lake_view(out.withColumn("date", F.col("date").cast("string")))
+    return view.select(*lake_io.lake_rows(src, "ts").columns)
+
+
+INGEST_QUERIES["lake_compaction"] = q_lake_compaction
