@@ -56,7 +56,8 @@ def term_vectors(df: DataFrame, text, keep: list[str],
     Each stage is its own projection and every lambda uses only its own
     arguments, so no array is re-evaluated per element.
     """
-    s = df.select(*keep, F.array_sort(F.transform(tokenize(text), token_dim)).alias("_s"))
+    # sort_array: natural order, code-generated (array_sort plans a comparator lambda)
+    s = df.select(*keep, F.sort_array(F.transform(tokenize(text), token_dim)).alias("_s"))
     n = F.size("_s")
     s = s.select(*keep, "_s", F.concat(
         F.array(F.lit(None).cast("int")),
