@@ -65,3 +65,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings the library's semantics rely on, for a session made elsewhere.
+
+    Timestamps without zone are UTC wall time and partition dates are UTC
+    dates, so the session time zone is fixed to UTC; the shared checkpoint
+    folder is set only if the session has none.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark
