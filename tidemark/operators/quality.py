@@ -66,3 +66,12 @@ def foreign_key_summary(child: DataFrame, parent: DataFrame, child_table: str,
     return o.agg(F.count(F.lit(1)).cast("long").alias("orphans")).select(
         F.lit(child_table).alias("child"), F.lit(child_key).alias("child_key"),
         F.lit(parent_table).alias("parent"), "orphans")
+
+
+def same_rows(a: DataFrame, b: DataFrame) -> bool:
+    """Bag equality of two DataFrames (``exceptAll`` both ways is empty)."""
+    cols = sorted(a.columns)
+    if cols != sorted(b.columns):
+        return False
+    a, b = a.select(*cols), b.select(*cols)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

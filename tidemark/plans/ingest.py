@@ -36,6 +36,14 @@ from tidemark.specs import TableSpec
 Writer = Callable[..., list[str]]
 
 
+class InvalidSourceRows(ValueError):
+    """Delta rows with NULL required fields: the run stops before writing."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(f"delta rows with NULL required fields: {counts}")
+        self.counts = counts
+
+
 @dataclass
 class TableManifest:
     table: str
@@ -80,7 +88,8 @@ class IngestManifest:
 
 def delta_summary(spark: SparkSession, specs: list[TableSpec],
                   marks: dict[str, datetime]) -> DataFrame:
-    """One row per table: ``table, delta_row_count, max_ts (ISO), dates``.
+    """One row per table: ``table, delta_row_count, invalid_rows, max_ts (ISO),
+    dates``.
 
     All tables in one job (a union of per-table partial aggregates); the
     date set is bounded by the calendar span of the delta.
@@ -88,8 +97,12 @@ def delta_summary(spark: SparkSession, specs: list[TableSpec],
     parts = []
     for s in specs:
         d = incremental_scan(s.read(spark), s.ts, marks[s.name])
+        bad = F.lit(False)
+        for c in s.required_columns():
+            bad = bad | F.col(c).isNull()
         parts.append(d.agg(
             F.count(F.lit(1)).cast("long").alias("delta_row_count"),
+            F.count_if(bad).cast("long").alias("invalid_rows"),
             iso_text(F.max(as_utc(s.ts))).alias("max_ts"),
             F.array_sort(F.collect_set(F.date_format(as_utc(s.ts), "yyyy-MM-dd"))).alias("dates"),
         ).select(F.lit(s.name).alias("table"), "*"))
@@ -133,6 +146,9 @@ def run_ingest(spark: SparkSession, specs: list[TableSpec], lake_root: str, stat
         stored = state_io.read_watermarks(spark, state_path, key_names)
         marks = ({n: stored[state_io.SHARED] for n in names} if shared else stored)
     summary = delta_summary(spark, specs, marks).collect()
+    invalid = {r["table"]: r["invalid_rows"] for r in summary if r["invalid_rows"]}
+    if invalid:
+        raise InvalidSourceRows(invalid)
     new_marks = plan_marks(summary, specs, marks, shared)
     by = {r["table"]: r for r in summary}
     write = writer or lake_io.write_table

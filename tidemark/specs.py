@@ -16,7 +16,8 @@ class TableSpec:
     session (a parquet path, a JDBC read partitioned on the key, ...).
     ``columns`` is the projection taken from the source (None = all); it
     is applied before the watermark filter so the scan reads only those
-    columns.
+    columns.  Delta rows with a NULL in a ``required`` column fail the run
+    before anything is written (the mark stays where it was).
     """
 
     name: str
@@ -24,6 +25,10 @@ class TableSpec:
     ts: str
     source: DataFrame | Callable[[SparkSession], DataFrame]
     columns: tuple[str, ...] | None = None
+    required: tuple[str, ...] | None = None     # NOT NULL columns; default key + ts
+
+    def required_columns(self) -> list[str]:
+        return list(self.required) if self.required is not None else [self.key, self.ts]
 
     def read(self, spark: SparkSession) -> DataFrame:
         df = self.source(spark) if callable(self.source) else self.source
