@@ -103,39 +103,38 @@ def read_lake(spark: SparkSession, root: str, table: str, schema: T.StructType,
               required: list[str]) -> tuple[DataFrame, DataFrame]:
     """Read a lake table with validation: ``(good, quarantine)``.
 
-    Lines are read as text (blank ones skipped) and parsed with every
-    field as text, then cast with ``try_cast`` (so ``"7"`` in a bigint
-    field is accepted, as a lenient model would).  Lines that do not parse
-    or lack a required field go to the quarantine frame as raw text.
+    Every field is parsed as text (once, in the scan; blank lines are
+    skipped), then cast with ``try_cast`` (so ``"7"`` in a bigint field is
+    accepted, as a lenient model would).  Lines that do not parse go to the
+    quarantine frame as their raw text; lines that lack a required field go
+    there re-serialised.
     """
     path = table_path(root, table)
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema.fields if f.name != "date"]
         + [T.StructField(CORRUPT, T.StringType())])
-    lines = (spark.read.option("basePath", path).text(path)
-             .select(F.col("value").alias(LINE), "date").where(F.trim(LINE) != ""))
-    parsed = lines.select(
-        LINE, F.col("date").cast("string").alias("date"),
-        F.from_json(LINE, text_schema, {"mode": "PERMISSIVE",
-                                           "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
+    raw = (spark.read.option("basePath", path).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).schema(text_schema).json(path))
+    fields = [f for f in schema.fields if f.name != "date"]
     typed = []
-    for f in schema.fields:
-        if f.name == "date":
-            continue
-        c = F.col(f"j.{f.name}")
+    for f in fields:
+        c = F.col(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             typed.append(parse_iso(c).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
-            typed.append(c.alias(f.name))
+            typed.append(c)
         else:
             typed.append(c.try_cast(f.dataType).alias(f.name))
-    cast = parsed.select(*typed, "date", F.col(f"j.{CORRUPT}").alias(CORRUPT), LINE)
     ok = F.col(CORRUPT).isNull()
     for r in required:
-        ok = ok & F.col(r).isNotNull()
+        ok = ok & F.col(f"_t.{r}").isNotNull()
+    # one parse (in the scan); the line text is kept for lines that do not
+    # parse, and re-serialised for lines that parse but miss a required field
+    cast = raw.select(F.struct(*typed).alias("_t"), F.col("date").cast("string").alias("date"),
+                      CORRUPT, F.to_json(F.struct(*[F.col(f.name) for f in fields])).alias(LINE))
     cast = cast.withColumn("_ok", ok)
-    good = cast.where("_ok").drop("_ok", CORRUPT, LINE)
-    bad = cast.where(~F.col("_ok")).select("date", F.col(LINE).alias("raw"))
+    good = cast.where("_ok").select("_t.*", "date")
+    bad = cast.where(~F.col("_ok")).select("date", F.coalesce(CORRUPT, LINE).alias("raw"))
     return good, bad
 
 
