@@ -62,8 +62,13 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def foreign_key_summary(child: DataFrame, parent: DataFrame, child_table: str,
                         child_key: str, parent_table: str, parent_key: str) -> DataFrame:
-    o = orphans(child.select(child_key), parent, child_key, parent_key)
-    return o.agg(F.count(F.lit(1)).cast("long").alias("orphans")).select(
+    """Orphan count.  The child is first reduced to ``(key, rows)`` by a
+    partial aggregate, so a hot key costs one row per task and only
+    distinct keys reach the anti-join shuffle."""
+    keys = (child.where(F.col(child_key).isNotNull())
+            .groupBy(child_key).agg(F.count(F.lit(1)).alias("_rows")))
+    o = orphans(keys, parent, child_key, parent_key)
+    return o.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("orphans")).select(
         F.lit(child_table).alias("child"), F.lit(child_key).alias("child_key"),
         F.lit(parent_table).alias("parent"), "orphans")
 
