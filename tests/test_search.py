@@ -104,3 +104,18 @@ def test_versions_latest_and_all(spark, search_cases):
     assert [r.status for r in ones] == ["closed", "open"]     # older version first
     assert ones[0].score == ones[1].score
     assert len(rows) == 7
+
+
+def test_written_index_reopens_and_aggregates_without_shuffle(spark, search_cases, tmp_path):
+    from tidemark.operators.index import _table_name, read_index
+    path = str(tmp_path / "idx2")
+    write_index(_index(search_cases), path, buckets=3)
+    spark.sql(f"DROP TABLE {_table_name(path)}")          # external: files stay
+    idx = read_index(spark, path, ["title", "status"])
+    assert _pairs(search_one(spark, idx, "billing fraud", 10).collect()) == \
+        GOLDEN_BILLING_FRAUD
+    q = spark.createDataFrame([(1, "billing fraud")], "query_id long, query string")
+    plan = search(idx, q, k_col=None)._jdf.queryExecution().executedPlan().toString()
+    # the only shuffle is the per-query top-k after the partial group limit
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "hashpartitioning(query_id" in plan

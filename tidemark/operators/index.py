@@ -20,10 +20,11 @@ Plan shape, chosen for very large corpora:
 * only the final postings ``(dim, doc_id, w, norm)`` are exploded.
 
 So a full build has one tiny shuffle (df) and no shuffle of text or
-postings.  :func:`write_index` materialises the term vectors once and lays
-the postings out sorted by ``(dim, doc_id)`` within each file so a
-query touching a few dimensions reads only the row groups whose statistics
-cover them.
+postings.  :func:`write_index` materialises the term vectors once and
+writes the postings bucketed by ``doc_id`` (so searches aggregate per
+document without a shuffle) and sorted by ``(dim, doc_id)`` in each bucket
+(so a query touching a few dimensions reads only the row groups whose
+statistics cover them).
 """
 
 from __future__ import annotations
@@ -177,20 +178,37 @@ def _assemble(terms: DataFrame, n_docs: DataFrame, doc_rows: DataFrame,
                      versions=version_rows)
 
 
-def write_index(index: TextIndex, path: str, row_group_bytes: int = 16 * 1024 * 1024
-                ) -> TextIndex:
+def _dir_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def _table_name(path: str) -> str:
+    import hashlib
+    return "tidemark_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
+def write_index(index: TextIndex, path: str, buckets: int | None = None,
+                bucket_bytes: int = 512 * 1024 * 1024,
+                row_group_bytes: int = 16 * 1024 * 1024) -> TextIndex:
     """Materialise the index under ``path`` and return it read back.
 
     1. term vectors are written once (the expensive tokenise + hash pass);
     2. df is re-derived from that table (a tiny aggregate) and written;
-    3. postings are derived from the terms in-row and written with every
-       file sorted by ``(dim, doc_id)`` in small row groups.  No shuffle:
-       Parquet min/max statistics on ``dim`` then let a ``dim IN (...)``
-       filter skip all row groups of other dimensions.  (A range
-       repartition on dim would give narrower files, at the price of a
-       full shuffle of the postings, the largest table.)
-
-    Norms and payload are re-derived on read from ``terms`` and ``idf``.
+    3. the per-document term arrays are hash-partitioned on ``doc_id``
+       (the one shuffle of the build, on the compact array form), weights
+       are computed in-row and the postings are written as a table
+       *bucketed* by ``doc_id`` and sorted by ``(dim, doc_id)``: one file
+       per bucket, no further shuffle.
+
+    Bucketing lets every search sum scores per (query, doc) without an
+    exchange (a document's postings are all in one bucket), and the sort
+    keeps Parquet min/max statistics on ``dim`` narrow, so a
+    ``dim IN (...)`` filter skips row groups of other dimensions.  The
+    bucket count defaults to about ``bucket_bytes`` of term data per bucket
+    (at least one per core).  Norms and payload are re-derived on read.
     """
     spark = index.terms.sparkSession
     path = path.rstrip("/")
@@ -205,13 +223,31 @@ def write_index(index: TextIndex, path: str, row_group_bytes: int = 16 * 1024 *
     n_docs = spark.read.parquet(f"{path}/n_docs")
     document_frequencies(terms).write.mode("overwrite").parquet(f"{path}/doc_freq")
     idf = idf_table(spark.read.parquet(f"{path}/doc_freq"), n_docs)
-    (to_postings(weigh(terms, idf, ["doc_id"]))
-     .sortWithinPartitions("dim", "doc_id")
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    n_buckets = buckets or max(cores, -(-_dir_bytes(spark, f"{path}/terms") // bucket_bytes))
+    name = _table_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (to_postings(weigh(terms.repartition(n_buckets, "doc_id"), idf, ["doc_id"]))
      .write.mode("overwrite").option("parquet.block.size", row_group_bytes)
-     .parquet(f"{path}/postings"))
+     .option("path", f"{path}/postings")
+     .bucketBy(n_buckets, "doc_id").sortBy("dim", "doc_id")
+     .saveAsTable(name))
+    spark.createDataFrame([(n_buckets, name)], "buckets int, table string").coalesce(1) \
+        .write.mode("overwrite").json(f"{path}/meta")
     return read_index(spark, path, index.payload, index.versions is not None)
 
 
+def _postings_table(spark: SparkSession, path: str) -> DataFrame:
+    """The bucketed postings table, registered from its folder if needed."""
+    meta = spark.read.json(f"{path}/meta").first()
+    name, n_buckets = meta["table"], int(meta["buckets"])
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"""CREATE TABLE {name} (dim INT, doc_id BIGINT, w DOUBLE, norm DOUBLE)
+                      USING parquet CLUSTERED BY (doc_id) SORTED BY (dim, doc_id)
+                      INTO {n_buckets} BUCKETS LOCATION '{path}/postings'""")
+    return spark.table(name)
+
+
 def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
                has_versions: bool = False) -> TextIndex:
     path = path.rstrip("/")
@@ -223,7 +259,6 @@ def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
     payload = list(payload or [])
     docs = norms.join(spark.read.parquet(f"{path}/payload"), "doc_id") if payload else norms
     versions = spark.read.parquet(f"{path}/versions") if has_versions else None
-    return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs,
-                     idf=idf,
-                     postings=spark.read.parquet(f"{path}/postings"),
+    return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs, idf=idf,
+                     postings=_postings_table(spark, path),
                      docs=docs, payload=payload, versions=versions)
