@@ -119,3 +119,17 @@ def test_written_index_reopens_and_aggregates_without_shuffle(spark, search_case
     # the only shuffle is the per-query top-k after the partial group limit
     assert plan.count("Exchange hashpartitioning") == 1
     assert "hashpartitioning(query_id" in plan
+
+
+def test_shuffle_join_path_matches_broadcast(spark, search_cases):
+    idx = _index(search_cases)
+    q = spark.createDataFrame([(1, "billing fraud"), (2, "onboarding kyc documents")],
+                              "query_id long, query string")
+    a = search(idx, q, k_col=None).orderBy("query_id", "rank").collect()
+    b_df = search(idx, q, k_col=None, broadcast_rows=0)
+    plan = b_df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [dim" in plan or "ShuffledHashJoin [dim" in plan
+    b = b_df.orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+    assert "WindowGroupLimit" in search(idx, q, k_col=None)._jdf.queryExecution() \
+        .executedPlan().toString()
