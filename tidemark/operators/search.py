@@ -25,6 +25,9 @@ MAX_TOP_K = 100
 DEFAULT_TOP_K = 5
 # Query-dimension rows up to which the query side is broadcast (~24 bytes each).
 BROADCAST_QUERY_ROWS = 2_000_000
+# A single query's dimensions become a literal IN filter up to this many
+# (a pathological query text is still answered exactly, by the join alone).
+MAX_LITERAL_DIMS = 1000
 
 
 def query_vectors(queries: DataFrame, query_col: str = "query",
@@ -146,7 +149,9 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
     dims = [r["dim"] for r in qv.select("dim").collect()]
     if not dims:
         return _empty_result(spark, index)
-    postings = index.postings.where(F.col("dim").isin(dims))
+    postings = index.postings
+    if len(dims) <= MAX_LITERAL_DIMS:
+        postings = postings.where(F.col("dim").isin(dims))
     matches = postings.join(F.broadcast(qv), "dim")
     scores = _scores(matches, "query_id")
     top = scores.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(int(top_k))
