@@ -36,9 +36,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import DIM, concat_text, term_vectors, vector_norm
 
-POSTINGS_COLUMNS = ["dim", "doc_id", "w", "norm"]
-
-
 @dataclass
 class TextIndex:
     """The tables of one index.  All lazily defined unless read from disk."""

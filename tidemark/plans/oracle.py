@@ -59,10 +59,6 @@ def search_sql(queries_cte: str, k: int | str, select: str,
             f"{query_ctes('q')},{SCORES}\n{select.format(k=k)}")
 
 
-def _q(sql: str) -> str:
-    return "(SELECT " + sql + ")"
-
-
 BENCH_Q = "q AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
 CONV_REQ = ("req AS (SELECT conv_id * 1000 + turn AS query_id, text AS query, "
             "CAST(turn AS INTEGER) AS top_k FROM conversations WHERE role = 'user')")
