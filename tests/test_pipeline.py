@@ -20,7 +20,7 @@ def test_ingest_then_search_three_identical(spark, customers, cases, tmp_path):
                              str(tmp_path / "ev"), specs[1], ["title", "description"],
                              ["title", "status"], str(tmp_path / "idx"))
     assert res.rebuilt and res.error is None
-    runs = [[(r.doc_id, r.score, r.title) for r in
+    runs = [[(r.case_id, r.score, r.title) for r in
              search_one(spark, res.index, "fraud aml", 5).collect()] for _ in range(3)]
     assert runs[0] == runs[1] == runs[2]
     assert runs[0][0][0] == 2 and runs[0][0][2] == "Fraud alert AML"

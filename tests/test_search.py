@@ -13,7 +13,7 @@ def _index(df):
 
 
 def _pairs(rows):
-    return [(r.doc_id, r.score) for r in rows]
+    return [(r.case_id, r.score) for r in rows]
 
 
 def test_golden_scores(spark, search_cases):
@@ -67,8 +67,8 @@ def test_batch_search_matches_single(spark, search_cases):
                                (3, "", 5), (4, "kyc", 101)],
                               "query_id long, query string, top_k int")
     got = search(idx, q).orderBy("query_id", "rank").collect()
-    assert [(r.doc_id, r.score) for r in got if r.query_id == 1] == GOLDEN_BILLING_FRAUD
-    q2 = [(r.doc_id, r.score) for r in got if r.query_id == 2]
+    assert [(r.case_id, r.score) for r in got if r.query_id == 1] == GOLDEN_BILLING_FRAUD
+    q2 = [(r.case_id, r.score) for r in got if r.query_id == 2]
     assert q2 == _pairs(search_one(spark, idx, "compliance audit", 2).collect())
     assert not [r for r in got if r.query_id in (3, 4)]
     v = {r.query_id: r.reason for r in validate_requests(q).collect()}
@@ -100,7 +100,7 @@ def test_versions_latest_and_all(spark, search_cases):
                        version_col="v", versions="all")
     assert allv.n_docs.first().n == 9
     rows = search_one(spark, allv, "billing fraud", 10).collect()
-    ones = [r for r in rows if r.doc_id == 1]
+    ones = [r for r in rows if r.case_id == 1]
     assert [r.status for r in ones] == ["closed", "open"]     # older version first
     assert ones[0].score == ones[1].score
     assert len(rows) == 7

@@ -48,6 +48,7 @@ class TextIndex:
     docs: DataFrame             # doc_id, norm, payload columns
     payload: list[str] = field(default_factory=list)
     versions: DataFrame | None = None   # all-versions mode: id, version order, payload
+    id_name: str = "doc_id"             # the source id column; results use this name
 
 
 def _parallel_input(df: DataFrame, key: str) -> DataFrame:
@@ -157,7 +158,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id",
     if spread:
         src = _parallel_input(src, "doc_id")
     terms = term_vectors(src, "_text", ["doc_id"])
-    return _assemble(terms, n_docs, src.select("doc_id", *payload), payload, version_rows)
+    idx = _assemble(terms, n_docs, src.select("doc_id", *payload), payload, version_rows)
+    idx.id_name = id_col
+    return idx
 
 
 def _assemble(terms: DataFrame, n_docs: DataFrame, doc_rows: DataFrame,
@@ -229,7 +232,8 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
      .option("path", f"{path}/postings")
      .bucketBy(n_buckets, "doc_id").sortBy("dim", "doc_id")
      .saveAsTable(name))
-    spark.createDataFrame([(n_buckets, name)], "buckets int, table string").coalesce(1) \
+    spark.createDataFrame([(n_buckets, name, index.id_name)],
+                          "buckets int, table string, id_name string").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")
     return read_index(spark, path, index.payload, index.versions is not None)
 
@@ -256,6 +260,8 @@ def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
     payload = list(payload or [])
     docs = norms.join(spark.read.parquet(f"{path}/payload"), "doc_id") if payload else norms
     versions = spark.read.parquet(f"{path}/versions") if has_versions else None
+    meta = spark.read.json(f"{path}/meta").first()
     return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs, idf=idf,
                      postings=_postings_table(spark, path),
-                     docs=docs, payload=payload, versions=versions)
+                     docs=docs, payload=payload, versions=versions,
+                     id_name=meta["id_name"] or "doc_id")

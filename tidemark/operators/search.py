@@ -75,7 +75,8 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
            broadcast_rows: int | None = None) -> DataFrame:
     """Top-k documents for every query in a table.
 
-    Output: ``query_id, doc_id, rank, score`` (+ the index payload columns).
+    Output: ``query_id, <id>, rank, score`` (+ the index payload columns),
+    ``<id>`` being the id column the index was built on.
     Rejected requests (blank, top_k outside 1..100) produce no rows; use
     :func:`validate_requests` to see why.
     """
@@ -107,11 +108,12 @@ def _attach_payload(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFra
     """``ranked`` carries ``_k``, the requested top_k of its query."""
     if index.versions is not None:
         return _expand_versions(index, ranked, id_col)
+    out_id = F.col("doc_id").alias(index.id_name)
     if not index.payload:
-        return ranked.select(id_col, "doc_id", "rank", "score")
+        return ranked.select(id_col, out_id, "rank", "score")
     # results are at most 100 per query: the small side of this join
     docs = index.docs.select("doc_id", *index.payload)
-    return ranked.join(docs, "doc_id").select(id_col, "doc_id", "rank", "score", *index.payload)
+    return ranked.join(docs, "doc_id").select(id_col, out_id, "rank", "score", *index.payload)
 
 
 def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFrame:
@@ -127,13 +129,13 @@ def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFr
                                            F.col("_ver").asc())
     out = hits.drop("rank").withColumn("rank", F.row_number().over(w)).where(
         F.col("rank") <= F.col("_k"))
-    return out.select(id_col, "doc_id", "rank", "score",
+    return out.select(id_col, F.col("doc_id").alias(index.id_name), "rank", "score",
                       F.col("_ver").alias("version"), *index.payload)
 
 
 def search_one(spark: SparkSession, index: TextIndex, query: str,
                top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """Top-k for one query string: ``doc_id, rank, score`` (+ payload).
+    """Top-k for one query string: ``<id>, rank, score`` (+ payload).
 
     Raises ``ValueError`` for a blank query or top_k outside 1..100.  The
     query's dimensions are few (bounded by the query text), so they are
@@ -162,7 +164,7 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
 
 
 def _empty_result(spark: SparkSession, index: TextIndex) -> DataFrame:
-    cols = "doc_id long, rank int, score double"
+    cols = f"{index.id_name} long, rank int, score double"
     base = spark.createDataFrame([], cols)
     for c in index.payload:
         base = base.withColumn(c, F.lit(None).cast("string"))

@@ -109,13 +109,13 @@ FROM req""",
 v AS (SELECT top.doc_id, top.score, c.turn AS version, c.role,
              row_number() OVER (ORDER BY top.score DESC, top.doc_id, c.turn) AS rank
       FROM top JOIN conversations c ON c.conv_id = top.doc_id)
-SELECT doc_id, rank, score, version, role FROM v WHERE rank <= {k}""",
+SELECT doc_id AS conv_id, rank, score, version, role FROM v WHERE rank <= {k}""",
         table="latest", id_col="conv_id").replace(
         "n AS (SELECT count(*)::DOUBLE AS n FROM latest)",
         "n AS (SELECT count(*)::DOUBLE AS n FROM conversations)"),
     "search_latest_version": search_sql(
         LATEST_CONV + ", q AS (SELECT 0 AS query_id, 'the and le la' AS query)", 10,
-        """SELECT rk.doc_id, rank, score, latest.role FROM rk
+        """SELECT rk.doc_id AS conv_id, rank, score, latest.role FROM rk
 JOIN latest ON latest.conv_id = rk.doc_id WHERE rank <= {k}""",
         table="latest", id_col="conv_id"),
 }
