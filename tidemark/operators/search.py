@@ -86,34 +86,40 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     else:
         req = queries
         ks = None
+    n_queries = req.count()
+    # ranked results are at most MAX_TOP_K rows per query: a checked bound
+    small_results = n_queries * MAX_TOP_K <= BROADCAST_QUERY_ROWS
     qv = query_vectors(req.select(id_col, query_col), query_col, id_col)
     scores = _scores(_matches(index, qv, id_col, broadcast_rows), id_col)
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("doc_id").asc())
     ranked = scores.withColumn("rank", F.row_number().over(w)).where(
         F.col("rank") <= MAX_TOP_K)
     if ks is not None:
-        ranked = ranked.join(F.broadcast(ks) if _small(ks) else ks, id_col).where(
+        small_ks = n_queries <= BROADCAST_QUERY_ROWS
+        ranked = ranked.join(F.broadcast(ks) if small_ks else ks, id_col).where(
             F.col("rank") <= F.col("_k"))
     else:
         ranked = ranked.where(F.col("rank") <= DEFAULT_TOP_K).withColumn(
             "_k", F.lit(DEFAULT_TOP_K))
-    return _attach_payload(index, ranked, id_col)
+    return _attach_payload(index, ranked, id_col, small_results)
 
 
-def _small(df: DataFrame) -> bool:
-    return df.count() <= BROADCAST_QUERY_ROWS
+def _attach_payload(index: TextIndex, ranked: DataFrame, id_col: str,
+                    small: bool) -> DataFrame:
+    """``ranked`` carries ``_k``, the requested top_k of its query.
 
-
-def _attach_payload(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFrame:
-    """``ranked`` carries ``_k``, the requested top_k of its query."""
+    When ``small`` (results bounded by queries x 100 under the broadcast
+    limit) the results are broadcast, so the large documents / versions
+    table is only scanned, never shuffled.
+    """
+    side = F.broadcast(ranked) if small else ranked
     if index.versions is not None:
-        return _expand_versions(index, ranked, id_col)
+        return _expand_versions(index, side, id_col)
     out_id = F.col("doc_id").alias(index.id_name)
     if not index.payload:
         return ranked.select(id_col, out_id, "rank", "score")
-    # results are at most 100 per query: the small side of this join
     docs = index.docs.select("doc_id", *index.payload)
-    return ranked.join(docs, "doc_id").select(id_col, out_id, "rank", "score", *index.payload)
+    return docs.join(side, "doc_id").select(id_col, out_id, "rank", "score", *index.payload)
 
 
 def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFrame:
@@ -124,7 +130,7 @@ def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFr
     (score desc, id asc, version asc) and cut to k again.
     """
     v = index.versions
-    hits = ranked.join(v, "doc_id")
+    hits = v.join(ranked, "doc_id")
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("doc_id").asc(),
                                            F.col("_ver").asc())
     out = hits.drop("rank").withColumn("rank", F.row_number().over(w)).where(
@@ -159,7 +165,7 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
     top = scores.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(int(top_k))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     top = top.withColumn("rank", F.row_number().over(w)).withColumn("_k", F.lit(int(top_k)))
-    out = _attach_payload(index, top, "query_id")
+    out = _attach_payload(index, top, "query_id", True)
     return out.drop("query_id").orderBy("rank")
 
 
