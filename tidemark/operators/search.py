@@ -153,10 +153,13 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
     if not (1 <= int(top_k) <= MAX_TOP_K):
         raise ValueError(f"top_k must be in 1..{MAX_TOP_K}")
     q = spark.createDataFrame([(0, query)], "query_id int, query string")
-    qv = query_vectors(q)
-    dims = [r["dim"] for r in qv.select("dim").collect()]
-    if not dims:
+    # one query's vector is bounded by its text: collect it once and ship
+    # it as a local relation (no second tokenising job for the broadcast)
+    rows = query_vectors(q).collect()
+    if not rows:
         return _empty_result(spark, index)
+    qv = spark.createDataFrame(rows, "query_id int, dim int, qtf double, qnorm double")
+    dims = [r["dim"] for r in rows]
     postings = index.postings
     if len(dims) <= MAX_LITERAL_DIMS:
         postings = postings.where(F.col("dim").isin(dims))
