@@ -30,6 +30,11 @@ BROADCAST_QUERY_ROWS = 2_000_000
 MAX_LITERAL_DIMS = 1000
 
 
+def _rank():
+    """Output rank as bigint (the window's int rank stays for the limit filter)."""
+    return F.col("rank").cast("long").alias("rank")
+
+
 def query_vectors(queries: DataFrame, query_col: str = "query",
                   id_col: str = "query_id") -> DataFrame:
     """``(query_id, dim, qtf, qnorm)`` for each query (raw TF, no idf)."""
@@ -117,9 +122,9 @@ def _attach_payload(index: TextIndex, ranked: DataFrame, id_col: str,
         return _expand_versions(index, side, id_col)
     out_id = F.col("doc_id").alias(index.id_name)
     if not index.payload:
-        return ranked.select(id_col, out_id, "rank", "score")
+        return ranked.select(id_col, out_id, _rank(), "score")
     docs = index.docs.select("doc_id", *index.payload)
-    return docs.join(side, "doc_id").select(id_col, out_id, "rank", "score", *index.payload)
+    return docs.join(side, "doc_id").select(id_col, out_id, _rank(), "score", *index.payload)
 
 
 def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFrame:
@@ -135,7 +140,7 @@ def _expand_versions(index: TextIndex, ranked: DataFrame, id_col: str) -> DataFr
                                            F.col("_ver").asc())
     out = hits.drop("rank").withColumn("rank", F.row_number().over(w)).where(
         F.col("rank") <= F.col("_k"))
-    return out.select(id_col, F.col("doc_id").alias(index.id_name), "rank", "score",
+    return out.select(id_col, F.col("doc_id").alias(index.id_name), _rank(), "score",
                       F.col("_ver").alias("version"), *index.payload)
 
 
@@ -173,7 +178,7 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
 
 
 def _empty_result(spark: SparkSession, index: TextIndex) -> DataFrame:
-    cols = f"{index.id_name} long, rank int, score double"
+    cols = f"{index.id_name} long, rank long, score double"
     base = spark.createDataFrame([], cols)
     for c in index.payload:
         base = base.withColumn(c, F.lit(None).cast("string"))
