@@ -1,6 +1,6 @@
 from tidemark.operators.index import build_index
 from tidemark.operators.quality import same_rows
-from tidemark.streaming.refresh import refreshed_index, start_refresh
+from tidemark.streaming.refresh import compact_refresh, refreshed_index, start_refresh
 
 
 def test_stream_refresh_equals_batch_build(spark, search_cases, tmp_path):
@@ -21,3 +21,9 @@ def test_stream_refresh_equals_batch_build(spark, search_cases, tmp_path):
                        text_cols=["title", "description"])
     q2.awaitTermination()
     assert same_rows(refreshed_index(spark, str(tmp_path / "index")).postings, batch.postings)
+    # compaction keeps one vector per id and the same index
+    top = compact_refresh(spark, str(tmp_path / "index"))
+    terms = spark.read.parquet(str(tmp_path / "index" / "terms"))
+    assert terms.count() == 8
+    assert [r.batch_id for r in terms.select("batch_id").distinct().collect()] == [top]
+    assert same_rows(refreshed_index(spark, str(tmp_path / "index")).postings, batch.postings)

@@ -56,3 +56,24 @@ def refreshed_index(spark: SparkSession, index_path: str) -> TextIndex:
     terms = spark.read.parquet(f"{index_path.rstrip('/')}/terms")
     latest = latest_version(terms, "doc_id", ["batch_id"]).select("doc_id", "terms")
     return _assemble(latest, corpus_size(latest), latest.select("doc_id"), [], None)
+
+
+def compact_refresh(spark: SparkSession, index_path: str) -> int:
+    """Collapse the stream's batches to the newest vector per id.
+
+    Run while the stream is stopped.  The compacted rows are first
+    checkpointed into the shared folder (lineage cut), then replace the
+    ``terms`` table as a single batch with the newest batch id, so the
+    stream's next batch ids still sort after it.  Returns that batch id.
+    """
+    from tidemark.session import ensure_checkpoint_dir
+    path = f"{index_path.rstrip('/')}/terms"
+    terms = spark.read.parquet(path)
+    top = terms.agg(F.max("batch_id")).first()[0]
+    if top is None:
+        return -1
+    ensure_checkpoint_dir(spark)
+    latest = (latest_version(terms, "doc_id", ["batch_id"]).select("doc_id", "terms")
+              .withColumn("batch_id", F.lit(top)).checkpoint(eager=True))
+    latest.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    return int(top)
