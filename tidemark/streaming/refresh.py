@@ -75,5 +75,6 @@ def compact_refresh(spark: SparkSession, index_path: str) -> int:
     ensure_checkpoint_dir(spark)
     latest = (latest_version(terms, "doc_id", ["batch_id"]).select("doc_id", "terms")
               .withColumn("batch_id", F.lit(top)).checkpoint(eager=True))
-    latest.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    (latest.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("batch_id").parquet(path))
     return int(top)
