@@ -155,3 +155,16 @@ def test_malformed_lake_lines(spark, cases, tmp_path):
     raws = sorted(r.raw for r in bad.collect())
     assert raws[0] == "not json"
     assert json.loads(raws[1]) == {"title": "nokey"}
+
+
+def test_shared_mark_skips_rows_per_table_marks_read_them(spark, customers, cases, tmp_path):
+    # customers end on day 3, cases on day 5; a customer row stamped day 4
+    # arrives after the first run
+    early_customers = customers.where("customer_id <= 2")
+    late = customers.where("customer_id = 4")
+    for shared, expected in ((True, 0), (False, 1)):
+        lake, st, ev = _dirs(tmp_path / str(shared))
+        run_ingest(spark, _specs(early_customers, cases), lake, st, ev, shared=shared)
+        m = run_ingest(spark, _specs(early_customers.unionByName(late), cases), lake, st, ev,
+                       shared=shared)
+        assert m.table("customers").delta_row_count == expected, shared
