@@ -133,3 +133,12 @@ def test_shuffle_join_path_matches_broadcast(spark, search_cases):
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
     assert "WindowGroupLimit" in search(idx, q, k_col=None)._jdf.queryExecution() \
         .executedPlan().toString()
+
+
+def test_batch_default_k(spark, search_cases):
+    idx = _index(search_cases)
+    q = spark.createDataFrame([(1, "billing fraud")], "query_id long, query string")
+    got = search(idx, q, k_col=None, default_k=2).orderBy("rank").collect()
+    assert _pairs(got) == GOLDEN_BILLING_FRAUD[:2]
+    with pytest.raises(ValueError):
+        search(idx, q, k_col=None, default_k=0)

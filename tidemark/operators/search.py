@@ -77,14 +77,19 @@ def _scores(matches: DataFrame, id_col: str) -> DataFrame:
 
 def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
            id_col: str = "query_id", k_col: str | None = "top_k",
-           broadcast_rows: int | None = None) -> DataFrame:
+           broadcast_rows: int | None = None, default_k: int = DEFAULT_TOP_K) -> DataFrame:
     """Top-k documents for every query in a table.
 
+    ``k_col`` names a per-request top_k column; without one every query
+    gets ``default_k`` results.
+
     Output: ``query_id, <id>, rank, score`` (+ the index payload columns),
     ``<id>`` being the id column the index was built on.
     Rejected requests (blank, top_k outside 1..100) produce no rows; use
     :func:`validate_requests` to see why.
     """
+    if not (1 <= int(default_k) <= MAX_TOP_K):
+        raise ValueError(f"top_k must be in 1..{MAX_TOP_K}")
     if k_col and k_col in queries.columns:
         req = validate_requests(queries, query_col, k_col).where("accepted")
         ks = req.select(id_col, F.col(k_col).alias("_k"))
@@ -104,8 +109,8 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
         ranked = ranked.join(F.broadcast(ks) if small_ks else ks, id_col).where(
             F.col("rank") <= F.col("_k"))
     else:
-        ranked = ranked.where(F.col("rank") <= DEFAULT_TOP_K).withColumn(
-            "_k", F.lit(DEFAULT_TOP_K))
+        ranked = ranked.where(F.col("rank") <= int(default_k)).withColumn(
+            "_k", F.lit(int(default_k)))
     return _attach_payload(index, ranked, id_col, small_results)
 
 
