@@ -121,3 +121,4 @@ JOIN latest ON latest.conv_id = rk.doc_id WHERE rank <= {k}""",
 }
 
 SEARCH_ORACLE["stream_index_refresh"] = SEARCH_ORACLE["tfidf_weights"]
+SEARCH_ORACLE["search_batch_stored"] = SEARCH_ORACLE["search_topk_batch"]

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import token_dim, tokenize
-from tidemark.operators.index import build_index, explode_terms
+from tidemark.operators.index import build_index, explode_terms, write_index
 from tidemark.operators.search import query_vectors, search, search_one, validate_requests
+from tidemark.session import scratch_path
 
 SEARCH_QUERY = "the of and"
 SEARCH_TOP_K = 10
@@ -89,6 +90,12 @@ def q_search_topk_batch(spark, sf_dir):
                   k_col=None)
 
 
+def q_search_batch_stored(spark, sf_dir):
+    """The batch search over the written index (postings bucketed by doc_id)."""
+    idx = write_index(documents_index(spark, sf_dir), scratch_path(spark, "stored-index"))
+    return search(idx, benchmark_queries(spark, sf_dir), k_col=None)
+
+
 def conversation_requests(spark, sf_dir) -> DataFrame:
     """User turns as search requests; ``top_k`` is the turn number."""
     conv = load(spark, sf_dir, "conversations").where(F.col("role") == "user")
@@ -136,6 +143,7 @@ SEARCH_QUERIES = {
     "query_vector": q_query_vector,
     "search_topk": q_search_topk,
     "search_topk_batch": q_search_topk_batch,
+    "search_batch_stored": q_search_batch_stored,
     "search_request_validation": q_search_request_validation,
     "search_conversation_batch": q_search_conversation_batch,
     "search_all_versions": q_search_all_versions,
