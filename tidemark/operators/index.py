@@ -49,6 +49,7 @@ class TextIndex:
     payload: list[str] = field(default_factory=list)
     versions: DataFrame | None = None   # all-versions mode: id, version order, payload
     id_name: str = "doc_id"             # the source id column; results use this name
+    payload_rows: DataFrame | None = None  # doc_id + payload only (joined to results)
 
 
 def _parallel_input(df: DataFrame, key: str) -> DataFrame:
@@ -175,7 +176,8 @@ def _assemble(terms: DataFrame, n_docs: DataFrame, doc_rows: DataFrame,
         docs = weighted.select("doc_id", "norm")
     return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs, idf=idf,
                      postings=postings, docs=docs, payload=payload,
-                     versions=version_rows)
+                     versions=version_rows,
+                     payload_rows=doc_rows.select("doc_id", *payload) if payload else None)
 
 
 def _dir_bytes(spark: SparkSession, path: str) -> int:
@@ -217,8 +219,7 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
     if index.versions is not None:
         index.versions.write.mode("overwrite").parquet(f"{path}/versions")
     if index.payload:
-        index.docs.select("doc_id", *index.payload).write.mode("overwrite").parquet(
-            f"{path}/payload")
+        index.payload_rows.write.mode("overwrite").parquet(f"{path}/payload")
     terms = spark.read.parquet(f"{path}/terms")
     n_docs = spark.read.parquet(f"{path}/n_docs")
     document_frequencies(terms).write.mode("overwrite").parquet(f"{path}/doc_freq")
@@ -258,10 +259,11 @@ def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
     idf = idf_table(dfreq, n_docs)
     norms = weigh(terms, idf, ["doc_id"]).select("doc_id", "norm")
     payload = list(payload or [])
-    docs = norms.join(spark.read.parquet(f"{path}/payload"), "doc_id") if payload else norms
+    payload_rows = spark.read.parquet(f"{path}/payload") if payload else None
+    docs = norms.join(payload_rows, "doc_id") if payload else norms
     versions = spark.read.parquet(f"{path}/versions") if has_versions else None
     meta = spark.read.json(f"{path}/meta").first()
     return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs, idf=idf,
                      postings=_postings_table(spark, path),
                      docs=docs, payload=payload, versions=versions,
-                     id_name=meta["id_name"] or "doc_id")
+                     id_name=meta["id_name"] or "doc_id", payload_rows=payload_rows)

@@ -128,7 +128,9 @@ def _attach_payload(index: TextIndex, ranked: DataFrame, id_col: str,
     out_id = F.col("doc_id").alias(index.id_name)
     if not index.payload:
         return ranked.select(id_col, out_id, _rank(), "score")
-    docs = index.docs.select("doc_id", *index.payload)
+    # the payload table only: no weights or norms are recomputed for a lookup
+    docs = index.payload_rows if index.payload_rows is not None else \
+        index.docs.select("doc_id", *index.payload)
     return docs.join(side, "doc_id").select(id_col, out_id, _rank(), "score", *index.payload)
 
 
