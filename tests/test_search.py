@@ -85,7 +85,7 @@ def test_written_index_equals_lazy(spark, search_cases, tmp_path):
     assert "PushedFilters: [In(dim, [2028,5613])]" in plan
 
 
-def test_versions_latest_and_all(spark, search_cases):
+def test_versions_latest_and_all(spark, search_cases, tmp_path):
     old = spark.createDataFrame([(1, 1, "Billing invoice error", "old text only", "closed")],
                                 "case_id long, customer_id long, title string, "
                                 "description string, status string").withColumn("v", F.lit(0))
@@ -104,6 +104,13 @@ def test_versions_latest_and_all(spark, search_cases):
     assert [r.status for r in ones] == ["closed", "open"]     # older version first
     assert ones[0].score == ones[1].score
     assert len(rows) == 7
+    stored = write_index(allv, str(tmp_path / "allv"))
+    assert stored.n_docs.first().n == 9
+    assert [tuple(r) for r in search_one(spark, stored, "billing fraud", 10).collect()] == \
+        [tuple(r) for r in rows]
+    stored_latest = write_index(latest, str(tmp_path / "latest"))
+    assert _pairs(search_one(spark, stored_latest, "billing fraud", 10).collect()) == \
+        GOLDEN_BILLING_FRAUD
 
 
 def test_written_index_reopens_and_aggregates_without_shuffle(spark, search_cases, tmp_path):

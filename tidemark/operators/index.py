@@ -50,6 +50,7 @@ class TextIndex:
     versions: DataFrame | None = None   # all-versions mode: id, version order, payload
     id_name: str = "doc_id"             # the source id column; results use this name
     payload_rows: DataFrame | None = None  # doc_id + payload only (joined to results)
+    source: DataFrame | None = None     # versioned builds: the latest-version rows
 
 
 def _parallel_input(df: DataFrame, key: str) -> DataFrame:
@@ -161,6 +162,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id",
     terms = term_vectors(src, "_text", ["doc_id"])
     idx = _assemble(terms, n_docs, src.select("doc_id", *payload), payload, version_rows)
     idx.id_name = id_col
+    if version_col:
+        idx.source = latest
     return idx
 
 
@@ -214,12 +217,23 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
     """
     spark = index.terms.sparkSession
     path = path.rstrip("/")
-    index.terms.write.mode("overwrite").parquet(f"{path}/terms")
-    index.n_docs.write.mode("overwrite").parquet(f"{path}/n_docs")
+    terms_df, n_docs_df, payload_df = index.terms, index.n_docs, index.payload_rows
+    if index.source is not None:
+        # versioned build: materialise the latest-version view once (shared
+        # checkpoint folder) instead of re-aggregating it for every table
+        from tidemark.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        src = index.source.checkpoint(eager=True)
+        terms_df = term_vectors(_parallel_input(src, "doc_id"), "_text", ["doc_id"])
+        payload_df = src.select("doc_id", *index.payload) if index.payload else None
+        if index.versions is None:
+            n_docs_df = corpus_size(src)
+    terms_df.write.mode("overwrite").parquet(f"{path}/terms")
+    n_docs_df.write.mode("overwrite").parquet(f"{path}/n_docs")
     if index.versions is not None:
         index.versions.write.mode("overwrite").parquet(f"{path}/versions")
     if index.payload:
-        index.payload_rows.write.mode("overwrite").parquet(f"{path}/payload")
+        payload_df.write.mode("overwrite").parquet(f"{path}/payload")
     terms = spark.read.parquet(f"{path}/terms")
     n_docs = spark.read.parquet(f"{path}/n_docs")
     document_frequencies(terms).write.mode("overwrite").parquet(f"{path}/doc_freq")
