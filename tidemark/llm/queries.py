@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, mixing, secret_scan, simhash
+from tidemark.llm import (decontam, langid, lmscore, mixing, secret_scan, simhash, spotsigs,
+                          toxicity, urlfilter)
 from tidemark.llm.common import held_out, load
 
 
@@ -13,6 +14,14 @@ def q_op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
 
+def q_op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(load(spark, sf_dir, "documents"))
+
+
+def q_op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(load(spark, sf_dir, "pages"))
+
+
 def q_op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = langid.train(docs, ~held_out(F.col("doc_id")))
@@ -20,6 +29,19 @@ def q_op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
 
 
+def q_op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spotsigs.with_next(load(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
+    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "sigs", "next_sigs",
+                       F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                       spotsigs.signatures(F.col("edited")).alias("edited_sigs"))
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", spotsigs.as_string(F.col("sigs")).alias("fingerprint"),
+        spotsigs.as_string(F.col("edited_sigs")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+        spotsigs.likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"))
+
+
 def q_op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.find_leaks(docs, load(spark, sf_dir, "benchmark")).select(
@@ -42,10 +64,21 @@ def q_op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, load(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return toxicity.predict(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op2_mixing": q_op2_mixing,
+    "op3_lm_scores": q_op3_lm_scores,
+    "op4_urls": q_op4_urls,
     "op5_langid": q_op5_langid,
+    "op6_spotsigs": q_op6_spotsigs,
     "op7_decontamination": q_op7_decontamination,
     "op8_secrets": q_op8_secrets,
     "op9_simhash": q_op9_simhash,
+    "op10_toxicity": q_op10_toxicity,
 }
