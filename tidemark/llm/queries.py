@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (decontam, langid, lmscore, mixing, secret_scan, simhash, spotsigs,
-                          toxicity, urlfilter)
+                          suffix_dedup, toxicity, urlfilter)
 from tidemark.llm.common import held_out, load
 
 
+def q_op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(load(spark, sf_dir, "documents")).drop("kept")
+
+
 def q_op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ def q_op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": q_op1_suffix_dedup,
     "op2_mixing": q_op2_mixing,
     "op3_lm_scores": q_op3_lm_scores,
     "op4_urls": q_op4_urls,
