@@ -11,7 +11,7 @@ from tidemark.llm.common import held_out, load
 
 
 def q_op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.deduplicate(load(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.deduplicate(load(spark, sf_dir, "documents"), keep_bytes=False).drop("kept")
 
 
 def q_op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
