@@ -76,11 +76,9 @@ def _scorer(order: int, backoff: float):
     def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
         ids, texts = docs.column("doc_id"), docs.column("text").to_pylist()
         doc, grams = _grams(texts, order)
-        every = np.concatenate(grams)
-        keys = np.append(np.unique(every[every > 0]), _TOTAL)
         total = answers(counts, np.int64)
         size = np.bincount(doc, minlength=len(texts))
-        rest = [_elsewhere(g, doc, keys, total) for g in grams]     # counts in other documents
+        rest = _elsewhere(grams, doc, total)                        # counts in other documents
         n_rest = (total[-1] if len(total) else 0) - size[doc]
         seen = rest[0] > 0
         score = np.where(seen, rest[0] / np.maximum(n_rest, 1), backoff / (n_rest + 1.0))
@@ -98,15 +96,23 @@ def _scorer(order: int, backoff: float):
     return run
 
 
-def _elsewhere(gram: np.ndarray, doc: np.ndarray, keys: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Corpus count less the token's own document's count; 0 where there is no n-gram."""
-    out = np.zeros(len(gram), dtype=np.int64)
-    at = np.flatnonzero(gram > 0)
-    place = np.searchsorted(keys, gram[at])
-    pair = place * np.int64(doc.max(initial=0) + 1) + doc[at]
-    _, which, own = np.unique(pair, return_inverse=True, return_counts=True)
-    out[at] = total[place] - own[which]
-    return out
+def _elsewhere(grams: list[np.ndarray], doc: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Corpus counts less the token's own document's, by order; 0 without an n-gram.
+
+    One stable sort by key leaves the documents of a key in order too."""
+    every, own_doc = np.concatenate(grams), np.tile(doc, len(grams))
+    order = np.argsort(every, kind="stable")
+    key, own_doc = every[order], own_doc[order]
+    if not len(key):
+        return np.zeros((len(grams), 0), dtype=np.int64)
+    new_key = np.concatenate([[True], key[1:] != key[:-1]])
+    place = np.cumsum(new_key) - 1
+    run = np.cumsum(new_key | np.concatenate([[True], own_doc[1:] != own_doc[:-1]])) - 1
+    if key[0] == 0:
+        total = np.concatenate([[0], total])
+    out = np.empty(len(key), dtype=np.int64)
+    out[order] = np.where(key > 0, total[place] - np.bincount(run)[run], 0)
+    return out.reshape(len(grams), len(doc))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
