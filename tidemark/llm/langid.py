@@ -119,16 +119,18 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names=["dim", "df"])
 
 
+def _sparse(text: str) -> tuple[bytes, bytes]:
+    counts = gram_counts(text)
+    ids = np.flatnonzero(counts)
+    return pack(ids.astype(np.int32)), pack(counts[ids].astype(np.int32))
+
+
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        text, lang, part = (batch.column(i).to_pylist() for i in range(3))
-        counts = [gram_counts(t) for t in text]
-        ids = [np.flatnonzero(c).astype(np.int32) for c in counts]
+        rows = [_sparse(t) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(part, pa.int64()),
-             pa.array([pack(i) for i in ids], pa.binary()),
-             pa.array([pack(c[i].astype(np.int32)) for c, i in zip(counts, ids, strict=True)],
-                      pa.binary())], names=["lang", "part", "ids", "counts"])
+            [batch.column(1), batch.column(2), pa.array([r[0] for r in rows], pa.binary()),
+             pa.array([r[1] for r in rows], pa.binary())], names=["lang", "part", "ids", "counts"])
 
 
 def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text",
