@@ -6,7 +6,7 @@ each is the best of BENCH_REPEATS (default 2) runs, since run-to-run noise
 on a shared VM is large; stateful steps start from fresh folders each run:
 
 * index_build     tokenise + hash + df/idf + weights, postings written
-                  range-partitioned by (dim, doc_id)
+                  bucketed by doc_id, sorted by dim
 * search_topk     one query, top 10, on the written index
 * search_batch    every ``benchmark`` item as a query, top 5 each
 * search_conv     every user turn of ``conversations``, own top_k each
@@ -33,7 +33,7 @@ from tidemark.operators.versions import latest_version  # noqa: E402
 from tidemark.plans.ingest import run_ingest  # noqa: E402
 from tidemark.plans.ingest_queries import CUT, Scratch  # noqa: E402
 from tidemark.plans.quality_queries import q_dq_foreign_key  # noqa: E402
-from tidemark.plans.queries import benchmark_queries, conversation_requests, load  # noqa: E402
+from tidemark.plans.queries import benchmark_queries, conversation_searches, load  # noqa: E402
 from tidemark.session import get_session, scratch_path  # noqa: E402
 from tidemark.sources.tables import mark_literal  # noqa: E402
 from tidemark.specs import TableSpec  # noqa: E402
@@ -76,7 +76,7 @@ def main() -> None:
     times["search_batch"] = best_of(
         lambda: search(idx, benchmark_queries(spark, sf_dir), k_col=None).collect())
     times["search_conv"] = best_of(
-        lambda: search(idx, conversation_requests(spark, sf_dir)).collect())
+        lambda: search(idx, conversation_searches(spark, sf_dir)).collect())
 
     early = ev.where(F.col("ts") <= mark_literal(CUT, ev.schema["ts"].dataType))
 

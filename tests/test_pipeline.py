@@ -21,9 +21,9 @@ def test_ingest_then_search_three_identical(spark, customers, cases, tmp_path):
                              ["title", "status"], str(tmp_path / "idx"))
     assert res.rebuilt and res.error is None
     runs = [[(r.case_id, r.score, r.title) for r in
-             search_one(spark, res.index, "fraud aml", 5).collect()] for _ in range(3)]
+             search_one(spark, res.index, "storm lamp", 5).collect()] for _ in range(3)]
     assert runs[0] == runs[1] == runs[2]
-    assert runs[0][0][0] == 2 and runs[0][0][2] == "Fraud alert AML"
+    assert runs[0][0][0] == 2 and runs[0][0][2] == "Storm signal lamp"
     # nothing new: no rebuild, the index is kept
     again = ingest_and_reindex(spark, specs, str(tmp_path / "lake"), str(tmp_path / "st"),
                                str(tmp_path / "ev"), specs[1], ["title", "description"],
@@ -55,5 +55,5 @@ def test_sql_over_lake(spark, customers, cases, tmp_path):
                                       "customers": (customers.schema, ["customer_id"])})
     got = spark.sql("""SELECT c.name, count(*) AS n FROM cases k
                        JOIN customers c USING (customer_id) GROUP BY c.name""").collect()
-    assert sorted((r.name, r.n) for r in got) == [("Customer 1", 2), ("Customer 2", 2),
-                                                  ("Customer 3", 1)]
+    assert sorted((r.name, r.n) for r in got) == [("Berth 1", 2), ("Berth 2", 2),
+                                                  ("Berth 3", 1)]

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import apply_change_set, dense_ids
@@ -50,3 +51,29 @@ def test_latest_version_hot_key(spark):
     assert (got.ts, got.payload) == (3999, 7998)
     plan = latest_version(df, "k", ["ts"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
+
+
+@pytest.mark.parametrize("how", [{}, {"spark.sql.adaptive.coalescePartitions.enabled": "false"},
+                                 {"spark.sql.adaptive.enabled": "false"}])
+def test_dense_ids_on_many_wide_rows(spark, tmp_path, how):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.changes import dense_ids
+    n = 300_000
+    path = str(tmp_path / "wide")
+    spark.range(n).select(F.xxhash64("id").alias("k"), F.md5(F.col("id").cast("string")).alias("pad"),
+                          "id").write.parquet(path)
+    old = {k: spark.conf.get(k) for k in how}
+    try:
+        for k, v in how.items():
+            spark.conf.set(k, v)
+        out = dense_ids(spark.read.parquet(path), ["k"], 10, "new_id")
+        got = out.agg(F.count("pad").alias("n"), F.countDistinct("new_id").alias("d"),
+                      F.min("new_id").alias("lo"), F.max("new_id").alias("hi"),
+                      F.countDistinct("id").alias("ids")).first()
+        assert tuple(got) == (n, n, 11, 10 + n, n)
+        early = out.where("new_id <= 20").orderBy("new_id").collect()
+        assert [r.k for r in early] == sorted(r.k for r in early)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -1,11 +1,13 @@
 import pytest
+
+from conftest import SEARCH_CASES, golden
 from pyspark.sql import functions as F
 
 from tidemark.operators.index import build_index, write_index
 from tidemark.operators.search import search, search_one, validate_requests
 
-GOLDEN_BILLING_FRAUD = [(7, 0.59246796), (6, 0.50853052), (2, 0.31368576),
-                        (1, 0.25078473), (8, 0.15521612), (5, 0.14395606)]
+QUERY = "harbour storm"
+GOLDEN = golden(SEARCH_CASES, QUERY, 10)
 
 
 def _index(df):
@@ -17,15 +19,15 @@ def _pairs(rows):
 
 
 def test_golden_scores(spark, search_cases):
-    rows = search_one(spark, _index(search_cases), "billing fraud", 10).collect()
-    assert _pairs(rows) == GOLDEN_BILLING_FRAUD
-    assert [r.rank for r in rows] == list(range(1, 7))
-    assert rows[0].title == "Billing fraud detection" and rows[0].status == "open"
+    rows = search_one(spark, _index(search_cases), QUERY, 10).collect()
+    assert _pairs(rows) == GOLDEN
+    assert [r.rank for r in rows] == list(range(1, len(GOLDEN) + 1))
+    assert rows[0].title == "Harbour storm drill" and rows[0].status == "open"
 
 
 def test_top_k_cuts(spark, search_cases):
-    rows = search_one(spark, _index(search_cases), "billing fraud", 3).collect()
-    assert _pairs(rows) == GOLDEN_BILLING_FRAUD[:3]
+    rows = search_one(spark, _index(search_cases), QUERY, 3).collect()
+    assert _pairs(rows) == GOLDEN[:3]
 
 
 def test_unknown_words_and_short_tokens_return_nothing(spark, search_cases):
@@ -40,12 +42,12 @@ def test_rejects_blank_and_bad_top_k(spark, search_cases):
         search_one(spark, idx, "   ", 5)
     for k in (0, 101):
         with pytest.raises(ValueError):
-            search_one(spark, idx, "billing", k)
+            search_one(spark, idx, "harbour", k)
 
 
 def test_empty_index_returns_nothing(spark, search_cases):
     idx = _index(search_cases.limit(0))
-    assert search_one(spark, idx, "billing fraud", 5).count() == 0
+    assert search_one(spark, idx, QUERY, 5).count() == 0
 
 
 def test_deterministic_across_partitionings(spark, search_cases):
@@ -53,7 +55,7 @@ def test_deterministic_across_partitionings(spark, search_cases):
     for parts in ("1", "8", "200"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         for _ in range(2):
-            results.append(_pairs(search_one(spark, _index(search_cases), "billing fraud",
+            results.append(_pairs(search_one(spark, _index(search_cases), QUERY,
                                              10).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert all(r == results[0] for r in results)
@@ -63,13 +65,13 @@ def test_deterministic_across_partitionings(spark, search_cases):
 
 def test_batch_search_matches_single(spark, search_cases):
     idx = _index(search_cases)
-    q = spark.createDataFrame([(1, "billing fraud", 10), (2, "compliance audit", 2),
-                               (3, "", 5), (4, "kyc", 101)],
+    q = spark.createDataFrame([(1, QUERY, 10), (2, "repair crew", 2),
+                               (3, "", 5), (4, "tide", 101)],
                               "query_id long, query string, top_k int")
     got = search(idx, q).orderBy("query_id", "rank").collect()
-    assert [(r.case_id, r.score) for r in got if r.query_id == 1] == GOLDEN_BILLING_FRAUD
+    assert [(r.case_id, r.score) for r in got if r.query_id == 1] == GOLDEN
     q2 = [(r.case_id, r.score) for r in got if r.query_id == 2]
-    assert q2 == _pairs(search_one(spark, idx, "compliance audit", 2).collect())
+    assert q2 == _pairs(search_one(spark, idx, "repair crew", 2).collect())
     assert not [r for r in got if r.query_id in (3, 4)]
     v = {r.query_id: r.reason for r in validate_requests(q).collect()}
     assert v == {1: None, 2: None, 3: "blank query", 4: "top_k above 100"}
@@ -78,15 +80,15 @@ def test_batch_search_matches_single(spark, search_cases):
 def test_written_index_equals_lazy(spark, search_cases, tmp_path):
     lazy = _index(search_cases)
     stored = write_index(lazy, str(tmp_path / "idx"))
-    assert _pairs(search_one(spark, stored, "billing fraud", 10).collect()) == \
-        GOLDEN_BILLING_FRAUD
+    assert _pairs(search_one(spark, stored, QUERY, 10).collect()) == \
+        GOLDEN
     plan = stored.postings.where(F.col("dim").isin([2028, 5613]))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PushedFilters: [In(dim, [2028,5613])]" in plan
 
 
 def test_versions_latest_and_all(spark, search_cases, tmp_path):
-    old = spark.createDataFrame([(1, 1, "Billing invoice error", "old text only", "closed")],
+    old = spark.createDataFrame([(1, 1, "Harbour crane brake", "old text only", "closed")],
                                 "case_id long, customer_id long, title string, "
                                 "description string, status string").withColumn("v", F.lit(0))
     new = search_cases.drop("updated_at").withColumn("v", F.lit(1))
@@ -94,34 +96,34 @@ def test_versions_latest_and_all(spark, search_cases, tmp_path):
     latest = build_index(both, "case_id", ["title", "description"], ["title", "status"],
                          version_col="v")
     # the latest view is exactly the 8-case corpus
-    assert _pairs(search_one(spark, latest, "billing fraud", 10).collect()) == \
-        GOLDEN_BILLING_FRAUD
+    assert _pairs(search_one(spark, latest, QUERY, 10).collect()) == \
+        GOLDEN
     allv = build_index(both, "case_id", ["title", "description"], ["title", "status"],
                        version_col="v", versions="all")
     assert allv.n_docs.first().n == 9
-    rows = search_one(spark, allv, "billing fraud", 10).collect()
+    rows = search_one(spark, allv, QUERY, 10).collect()
     ones = [r for r in rows if r.case_id == 1]
     assert [r.status for r in ones] == ["closed", "open"]     # older version first
     assert ones[0].score == ones[1].score
-    assert len(rows) == 7
+    assert len(rows) == len(GOLDEN) + 1
     stored = write_index(allv, str(tmp_path / "allv"))
     assert stored.n_docs.first().n == 9
-    assert [tuple(r) for r in search_one(spark, stored, "billing fraud", 10).collect()] == \
+    assert [tuple(r) for r in search_one(spark, stored, QUERY, 10).collect()] == \
         [tuple(r) for r in rows]
     stored_latest = write_index(latest, str(tmp_path / "latest"))
-    assert _pairs(search_one(spark, stored_latest, "billing fraud", 10).collect()) == \
-        GOLDEN_BILLING_FRAUD
+    assert _pairs(search_one(spark, stored_latest, QUERY, 10).collect()) == \
+        GOLDEN
 
 
 def test_written_index_reopens_and_aggregates_without_shuffle(spark, search_cases, tmp_path):
-    from tidemark.operators.index import _table_name, read_index
+    from tidemark.operators.index import _table_name, current_build, read_index
     path = str(tmp_path / "idx2")
     write_index(_index(search_cases), path, buckets=3)
-    spark.sql(f"DROP TABLE {_table_name(path)}")          # external: files stay
+    spark.sql(f"DROP TABLE {_table_name(current_build(spark, path))}")   # external: files stay
     idx = read_index(spark, path, ["title", "status"])
-    assert _pairs(search_one(spark, idx, "billing fraud", 10).collect()) == \
-        GOLDEN_BILLING_FRAUD
-    q = spark.createDataFrame([(1, "billing fraud")], "query_id long, query string")
+    assert _pairs(search_one(spark, idx, QUERY, 10).collect()) == \
+        GOLDEN
+    q = spark.createDataFrame([(1, QUERY)], "query_id long, query string")
     plan = search(idx, q, k_col=None)._jdf.queryExecution().executedPlan().toString()
     # the only shuffle is the per-query top-k after the partial group limit
     assert plan.count("Exchange hashpartitioning") == 1
@@ -130,7 +132,7 @@ def test_written_index_reopens_and_aggregates_without_shuffle(spark, search_case
 
 def test_shuffle_join_path_matches_broadcast(spark, search_cases):
     idx = _index(search_cases)
-    q = spark.createDataFrame([(1, "billing fraud"), (2, "onboarding kyc documents")],
+    q = spark.createDataFrame([(1, QUERY), (2, "tide gauge drift")],
                               "query_id long, query string")
     a = search(idx, q, k_col=None).orderBy("query_id", "rank").collect()
     b_df = search(idx, q, k_col=None, broadcast_rows=0)
@@ -144,8 +146,8 @@ def test_shuffle_join_path_matches_broadcast(spark, search_cases):
 
 def test_batch_default_k(spark, search_cases):
     idx = _index(search_cases)
-    q = spark.createDataFrame([(1, "billing fraud")], "query_id long, query string")
+    q = spark.createDataFrame([(1, QUERY)], "query_id long, query string")
     got = search(idx, q, k_col=None, default_k=2).orderBy("rank").collect()
-    assert _pairs(got) == GOLDEN_BILLING_FRAUD[:2]
+    assert _pairs(got) == GOLDEN[:2]
     with pytest.raises(ValueError):
         search(idx, q, k_col=None, default_k=0)

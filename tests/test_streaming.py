@@ -23,7 +23,23 @@ def test_stream_refresh_equals_batch_build(spark, search_cases, tmp_path):
     assert same_rows(refreshed_index(spark, str(tmp_path / "index")).postings, batch.postings)
     # compaction keeps one vector per id and the same index
     top = compact_refresh(spark, str(tmp_path / "index"))
-    terms = spark.read.parquet(str(tmp_path / "index" / "terms"))
+    from tidemark.operators.index import current_build
+    terms = spark.read.parquet(current_build(spark, str(tmp_path / "index")) + "/terms")
     assert terms.count() == 8
     assert [r.batch_id for r in terms.select("batch_id").distinct().collect()] == [top]
     assert same_rows(refreshed_index(spark, str(tmp_path / "index")).postings, batch.postings)
+
+
+def test_greatest_version_wins_inside_one_batch(spark, tmp_path):
+    rows = [(1, 1, "zebra yak walrus", "old"), (1, 2, "harbour storm", "new"),
+            (2, 1, "storm lamp", "only")]
+    df = spark.createDataFrame(rows, "id long, v long, text string, tag string")
+    landing = str(tmp_path / "landing")
+    df.coalesce(1).write.parquet(landing)
+    start_refresh(spark, landing, df.schema, str(tmp_path / "index"), str(tmp_path / "ckpt"),
+                  id_col="id", version_col="v", payload_cols=["tag"]).awaitTermination()
+    from tidemark.operators.search import search_one
+    idx = refreshed_index(spark, str(tmp_path / "index"))
+    got = search_one(spark, idx, "harbour", 5).collect()
+    assert [(r.doc_id, r.tag) for r in got] == [(1, "new")]
+    assert search_one(spark, idx, "zebra", 5).count() == 0

@@ -7,9 +7,11 @@
   order, like an identity column.
 
 Dense ids are assigned without a global single-task window: the inserts
-are range-partitioned on the order columns, each partition numbers its
-rows locally, and a prefix sum over the per-partition counts (one row per
-partition) gives each partition's offset.
+are range-partitioned on the order columns and staged once, with their
+partition number, in the shared checkpoint folder; each partition then
+numbers its rows locally, and a prefix sum over the per-partition counts
+(one row per partition) gives each partition's offset.  Staging matters:
+a partition number taken from a frame that is evaluated again can differ.
 """
 
 from __future__ import annotations
@@ -17,15 +19,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 
 def dense_ids(df: DataFrame, order_cols: list[str], start, out: str = "id") -> DataFrame:
     """Add ``out`` = start + 1, start + 2, ... following ``order_cols``.
 
     ``start`` is a number or a one-value Column (e.g. a scalar subquery).
+    Rows that tie on ``order_cols`` are ordered by a hash of the whole row.
     """
-    ranged = df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
     local = ranged.withColumn("_i", F.row_number().over(
-        Window.partitionBy("_pid").orderBy(*order_cols)))
+        Window.partitionBy("_pid").orderBy(*order_cols, F.xxhash64(*df.columns))))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a bounded, broadcastable table
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))

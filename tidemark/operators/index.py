@@ -29,6 +29,9 @@ statistics cover them).
 
 from __future__ import annotations
 
+import hashlib
+import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,7 +64,10 @@ def _parallel_input(df: DataFrame, key: str) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    files = df.inputFiles()
+    if not files or len(files) >= cores:      # derived in memory, or already split
+        return df
+    if sum(_dir_bytes(spark, f) for f in files) < cores * (8 << 20):
         return df.repartition(cores, key)
     return df
 
@@ -191,14 +197,42 @@ def _dir_bytes(spark: SparkSession, path: str) -> int:
 
 
 def _table_name(path: str) -> str:
-    import hashlib
     return "tidemark_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
+def new_build() -> str:
+    """Name of a new build; names sort by time."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def publish(spark: SparkSession, path: str, build: str) -> None:
+    """Make ``build`` the current one: one small file, written after everything else."""
+    spark.createDataFrame([(build,)], "build string").coalesce(1).write.json(
+        f"{path}/published/{build}")
+
+
+def current_build(spark: SparkSession, path: str) -> str:
+    """Folder of the newest build whose publication is complete."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{path}/published")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        raise FileNotFoundError(f"no published index under {path}")
+    done = [s.getPath().getName() for s in fs.listStatus(root)
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    if not done:
+        raise FileNotFoundError(f"no published index under {path}")
+    return f"{path}/build={max(done)}"
+
+
 def write_index(index: TextIndex, path: str, buckets: int | None = None,
                 bucket_bytes: int = 512 * 1024 * 1024,
                 row_group_bytes: int = 16 * 1024 * 1024) -> TextIndex:
-    """Materialise the index under ``path`` and return it read back.
+    """Materialise the index as a new build under ``path`` and return it read back.
+
+    A build has its own folder and table name; readers follow the newest
+    complete publication, so a build that fails part-way changes nothing and
+    an index that is already open keeps its files.
 
     1. term vectors are written once (the expensive tokenise + hash pass);
     2. df is re-derived from that table (a tiny aggregate) and written;
@@ -216,7 +250,9 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
     (at least one per core).  Norms and payload are re-derived on read.
     """
     spark = index.terms.sparkSession
-    path = path.rstrip("/")
+    root = path.rstrip("/")
+    build = new_build()
+    path = f"{root}/build={build}"
     terms_df, n_docs_df, payload_df = index.terms, index.n_docs, index.payload_rows
     if index.source is not None:
         # versioned build: materialise the latest-version view once (shared
@@ -250,7 +286,8 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
     spark.createDataFrame([(n_buckets, name, index.id_name)],
                           "buckets int, table string, id_name string").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")
-    return read_index(spark, path, index.payload, index.versions is not None)
+    publish(spark, root, build)
+    return read_index(spark, root, index.payload, index.versions is not None)
 
 
 def _postings_table(spark: SparkSession, path: str) -> DataFrame:
@@ -258,7 +295,8 @@ def _postings_table(spark: SparkSession, path: str) -> DataFrame:
     meta = spark.read.json(f"{path}/meta").first()
     name, n_buckets = meta["table"], int(meta["buckets"])
     if not spark.catalog.tableExists(name):
-        spark.sql(f"""CREATE TABLE {name} (dim INT, doc_id BIGINT, w DOUBLE, norm DOUBLE)
+        id_type = spark.read.parquet(f"{path}/postings").schema["doc_id"].dataType.simpleString()
+        spark.sql(f"""CREATE TABLE {name} (dim INT, doc_id {id_type}, w DOUBLE, norm DOUBLE)
                       USING parquet CLUSTERED BY (doc_id) SORTED BY (dim, doc_id)
                       INTO {n_buckets} BUCKETS LOCATION '{path}/postings'""")
     return spark.table(name)
@@ -266,7 +304,7 @@ def _postings_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
                has_versions: bool = False) -> TextIndex:
-    path = path.rstrip("/")
+    path = current_build(spark, path.rstrip("/"))
     terms = spark.read.parquet(f"{path}/terms")
     n_docs = spark.read.parquet(f"{path}/n_docs")
     dfreq = spark.read.parquet(f"{path}/doc_freq")

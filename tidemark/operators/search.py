@@ -50,7 +50,7 @@ def validate_requests(requests: DataFrame, query_col: str = "query",
     q = F.col(query_col)
     k = F.coalesce(F.col(k_col), F.lit(DEFAULT_TOP_K)) if k_col in requests.columns \
         else F.lit(DEFAULT_TOP_K)
-    reason = (F.when(q.isNull() | (F.trim(q) == ""), F.lit("blank query"))
+    reason = (F.when(q.isNull() | ~q.rlike(r"(?U)\S"), F.lit("blank query"))
               .when(k < 1, F.lit("top_k below 1"))
               .when(k > MAX_TOP_K, F.lit(f"top_k above {MAX_TOP_K}")))
     return requests.withColumn(k_col, k.cast("int")).withColumn(
@@ -185,8 +185,12 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
 
 
 def _empty_result(spark: SparkSession, index: TextIndex) -> DataFrame:
-    cols = f"{index.id_name} long, rank long, score double"
-    base = spark.createDataFrame([], cols)
-    for c in index.payload:
-        base = base.withColumn(c, F.lit(None).cast("string"))
-    return base
+    """No rows, with the column types of a non-empty result."""
+    rows = index.payload_rows if index.payload_rows is not None else index.docs
+    if index.versions is not None:
+        rows = index.versions
+    cols = [F.col("doc_id").alias(index.id_name), F.lit(0).cast("long").alias("rank"),
+            F.lit(0.0).alias("score")]
+    if index.versions is not None:
+        cols.append(F.col("_ver").alias("version"))
+    return rows.select(*cols, *index.payload).limit(0)

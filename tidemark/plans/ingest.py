@@ -30,7 +30,7 @@ from tidemark.functions.schema import fingerprint
 from tidemark.functions.timefmt import as_utc, iso_text, py_iso
 from tidemark.sources import lake as lake_io
 from tidemark.sources import state as state_io
-from tidemark.sources.tables import incremental_scan
+from tidemark.sources.tables import incremental_scan, mark_literal
 from tidemark.specs import TableSpec
 
 Writer = Callable[..., list[str]]
@@ -96,12 +96,15 @@ def delta_summary(spark: SparkSession, specs: list[TableSpec],
     """
     parts = []
     for s in specs:
-        d = incremental_scan(s.read(spark), s.ts, marks[s.name])
-        bad = F.lit(False)
+        # rows without a time are in no delta, so they are counted as invalid here
+        d = s.read(spark).where(
+            (F.col(s.ts) > mark_literal(marks[s.name], s.read(spark).schema[s.ts].dataType))
+            | F.col(s.ts).isNull())
+        bad = F.col(s.ts).isNull()
         for c in s.required_columns():
             bad = bad | F.col(c).isNull()
         parts.append(d.agg(
-            F.count(F.lit(1)).cast("long").alias("delta_row_count"),
+            F.count(s.ts).cast("long").alias("delta_row_count"),
             F.count_if(bad).cast("long").alias("invalid_rows"),
             iso_text(F.max(as_utc(s.ts))).alias("max_ts"),
             F.array_sort(F.collect_set(F.date_format(as_utc(s.ts), "yyyy-MM-dd"))).alias("dates"),

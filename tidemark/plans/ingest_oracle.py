@@ -99,3 +99,10 @@ SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k,
 }
 
 INGEST_ORACLE["lake_compaction"] = INGEST_ORACLE["lake_round_trip"]
+INGEST_ORACLE["malformed_records"] = f"""
+SELECT {day('ts')} AS date, count(*) FILTER (WHERE event_id % 13 <> 0)::BIGINT AS readable,
+       count(*) FILTER (WHERE event_id % 13 <> 0)::BIGINT AS ids,
+       count(*) FILTER (WHERE event_id % 13 = 0)::BIGINT AS malformed FROM events GROUP BY 1"""
+INGEST_ORACLE["lake_merge_malformed"] = f"""
+SELECT {day('ts')} AS date, count(*)::BIGINT AS readable, count(*)::BIGINT AS ids,
+       count(*) FILTER (WHERE event_id % 13 = 0)::BIGINT AS malformed FROM events GROUP BY 1"""

@@ -256,3 +256,44 @@ def q_lake_compaction(spark, sf_dir):
 
 
 INGEST_QUERIES["lake_compaction"] = q_lake_compaction
+
+
+def _broken_lake(spark, sf_dir, name: str) -> Scratch:
+    """Events as a stored lake: every tenth id as text, every thirteenth line cut short."""
+    src = lake_io.lake_rows(load(spark, sf_dir, "events"), "ts")
+    s = Scratch(spark, name)
+    cols = [c for c in src.columns if c not in ("event_id", "date")]
+    whole = F.to_json(F.struct("event_id", *cols))
+    as_text = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), *cols))
+    line = F.when(F.col("event_id") % 13 == 0, F.substring(whole, 1, 20)).when(
+        F.col("event_id") % 10 == 0, as_text).otherwise(whole)
+    src.select("date", line.alias("value")).write.partitionBy("date").text(f"{s.lake}/events")
+    return s
+
+
+def _line_counts(spark, s: Scratch, src: DataFrame) -> DataFrame:
+    good, bad = lake_io.read_lake(spark, s.lake, "events", with_date(src.schema), ["event_id", "ts"])
+    both = good.select("date", F.col("event_id"), F.lit(0).alias("bad")).unionByName(
+        bad.select("date", F.lit(None).cast("long").alias("event_id"), F.lit(1).alias("bad")))
+    return both.groupBy("date").agg(
+        F.count("event_id").cast("long").alias("readable"),
+        F.countDistinct("event_id").cast("long").alias("ids"),
+        F.sum("bad").cast("long").alias("malformed"))
+
+
+def q_malformed_records(spark, sf_dir):
+    """Per date: readable rows, distinct ids and quarantined lines of a damaged lake."""
+    return _line_counts(spark, _broken_lake(spark, sf_dir, "malformed"),
+                        load(spark, sf_dir, "events"))
+
+
+def q_lake_merge_malformed(spark, sf_dir):
+    """The whole table merged into the damaged lake: no line is lost."""
+    src = load(spark, sf_dir, "events")
+    s = _broken_lake(spark, sf_dir, "merge_malformed")
+    run_ingest(spark, [events_spec(spark, sf_dir)], s.lake, s.state, s.events)
+    return _line_counts(spark, s, src)
+
+
+INGEST_QUERIES["malformed_records"] = q_malformed_records
+INGEST_QUERIES["lake_merge_malformed"] = q_lake_merge_malformed

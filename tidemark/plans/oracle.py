@@ -62,6 +62,7 @@ def search_sql(queries_cte: str, k: int | str, select: str,
 BENCH_Q = "q AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
 CONV_REQ = ("req AS (SELECT conv_id * 1000 + turn AS query_id, text AS query, "
             "CAST(turn AS INTEGER) AS top_k FROM conversations WHERE role = 'user')")
+CONV_SEARCH = CONV_REQ.replace("CAST(turn AS INTEGER)", "CAST(least(turn + 1, 100) AS INTEGER)")
 LATEST_CONV = ("latest AS (SELECT * FROM conversations "
                "QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1)")
 
@@ -92,14 +93,14 @@ SELECT query_id, dim, qtf, round(qn, 8) AS qnorm FROM qtf JOIN qn USING (query_i
     "search_request_validation": f"""
 WITH {CONV_REQ}
 SELECT query_id, top_k,
-       CASE WHEN query IS NULL OR trim(query) = '' THEN false
+       CASE WHEN query IS NULL OR NOT regexp_matches(query, '\\S') THEN false
             WHEN top_k < 1 OR top_k > 100 THEN false ELSE true END AS accepted,
-       CASE WHEN query IS NULL OR trim(query) = '' THEN 'blank query'
+       CASE WHEN query IS NULL OR NOT regexp_matches(query, '\\S') THEN 'blank query'
             WHEN top_k < 1 THEN 'top_k below 1'
             WHEN top_k > 100 THEN 'top_k above 100' END AS reason
 FROM req""",
     "search_conversation_batch": search_sql(
-        CONV_REQ + ", q AS (SELECT query_id, query FROM req WHERE trim(query) <> '' "
+        CONV_SEARCH + ", q AS (SELECT query_id, query FROM req WHERE regexp_matches(query, '\\S') "
         "AND top_k BETWEEN 1 AND 100)", 0,
         "SELECT rk.query_id, doc_id, rank, score FROM rk JOIN req USING (query_id) "
         "WHERE rank <= req.top_k"),

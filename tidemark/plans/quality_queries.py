@@ -16,18 +16,28 @@ ORDER_STATUS = ["F", "O", "P"]
 
 
 def q_dq_not_null(spark, sf_dir):
-    return null_counts(load(spark, sf_dir, "orders"), "orders")
+    """Every column of orders, after blanking some statuses by key."""
+    o = load(spark, sf_dir, "orders")
+    o = o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")))
+    o = o.withColumn("o_totalprice", F.when(F.col("o_custkey") % 5 != 0, F.col("o_totalprice")))
+    return null_counts(o, "orders")
 
 
 def q_dq_domain(spark, sf_dir):
-    return domain_counts(load(spark, sf_dir, "orders"), "orders",
-                         {"o_orderstatus": ORDER_STATUS})
+    """Statuses outside the list: every fourth is made foreign, every ninth null."""
+    o = load(spark, sf_dir, "orders").withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey") % 4 == 0, F.lit("X"))
+        .when(F.col("o_orderkey") % 9 != 0, F.col("o_orderstatus")))
+    return domain_counts(o, "orders", {"o_orderstatus": ORDER_STATUS})
 
 
 def q_dq_unique(spark, sf_dir):
     parts = [unique_summary(load(spark, sf_dir, "orders"), "orders", "o_orderkey"),
              unique_summary(load(spark, sf_dir, "customer"), "customer", "c_custkey"),
-             unique_summary(load(spark, sf_dir, "customer"), "customer", "c_name")]
+             unique_summary(load(spark, sf_dir, "customer"), "customer", "c_name"),
+             # not keys: customers and parts repeat in orders and lineitem
+             unique_summary(load(spark, sf_dir, "orders"), "orders", "o_custkey"),
+             unique_summary(load(spark, sf_dir, "lineitem"), "lineitem", "l_partkey")]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -38,7 +48,9 @@ FK_RULES = [("orders", "o_custkey", "customer", "c_custkey"),
 
 
 def q_dq_foreign_key(spark, sf_dir):
-    parts = [foreign_key_summary(load(spark, sf_dir, c), load(spark, sf_dir, p), c, ck, p, pk)
+    """Orphans once every eleventh parent key is taken away."""
+    parts = [foreign_key_summary(load(spark, sf_dir, c),
+                                 load(spark, sf_dir, p).where(F.col(pk) % 11 != 0), c, ck, p, pk)
              for c, ck, p, pk in FK_RULES]
     return reduce(DataFrame.unionByName, parts)
 
@@ -57,7 +69,17 @@ def q_apply_change_set(spark, sf_dir):
     return apply_change_set(cust, updates, inserts, "c_custkey", ["s_suppkey"])
 
 
+def q_insert_orders(spark, sf_dir):
+    """Every order as a new customer: dense ids for a large insert."""
+    cust, orders = load(spark, sf_dir, "customer"), load(spark, sf_dir, "orders")
+    inserts = orders.select(F.lit("NEW").alias("c_mktsegment"), F.col("o_totalprice").alias(
+        "c_acctbal"), "o_orderkey")
+    out = apply_change_set(cust, cust.limit(0), inserts, "c_custkey", ["o_orderkey"])
+    return out.where("change = 'insert'").select("c_custkey", "c_acctbal")
+
+
 QUALITY_QUERIES = {
+    "insert_orders": q_insert_orders,
     "dq_not_null": q_dq_not_null,
     "dq_domain": q_dq_domain,
     "dq_unique": q_dq_unique,
@@ -78,20 +100,30 @@ def _uniq(table: str, col: str) -> str:
 def _fk(c, ck, p, pk) -> str:
     return (f"SELECT '{c}' AS child, '{ck}' AS child_key, '{p}' AS parent, count(*)::BIGINT "
             f"AS orphans FROM {c} WHERE {ck} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {p} WHERE {p}.{pk} = {c}.{ck})")
+            f"(SELECT 1 FROM {p} WHERE {p}.{pk} = {c}.{ck} AND {p}.{pk} % 11 <> 0)")
+
 
+_BLANKED = {"o_orderstatus": "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END",
+            "o_totalprice": "CASE WHEN o_custkey % 5 <> 0 THEN o_totalprice END"}
 
 QUALITY_ORACLE = {
+    "insert_orders": """
+SELECT ((SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY o_orderkey))::BIGINT
+       AS c_custkey, o_totalprice AS c_acctbal FROM orders""",
     "dq_not_null": "\nUNION ALL\n".join(
         f"SELECT 'orders' AS \"table\", '{c}' AS \"column\", "
-        f"(count(*) - count({c}))::BIGINT AS violations FROM orders" for c in _ORDERS_COLS),
+        f"(count(*) - count({_BLANKED.get(c, c)}))::BIGINT AS violations FROM orders"
+        for c in _ORDERS_COLS),
     "dq_domain": """
 SELECT 'orders' AS "table", 'o_orderstatus' AS "column",
-       count(*) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P'))::BIGINT
+       count(*) FILTER (WHERE o_orderkey % 4 = 0 OR o_orderkey % 9 = 0 OR o_orderstatus IS NULL
+                        OR o_orderstatus NOT IN ('F', 'O', 'P'))::BIGINT
        AS violations FROM orders""",
     "dq_unique": "\nUNION ALL\n".join([_uniq("orders", "o_orderkey"),
                                        _uniq("customer", "c_custkey"),
-                                       _uniq("customer", "c_name")]),
+                                       _uniq("customer", "c_name"),
+                                       _uniq("orders", "o_custkey"),
+                                       _uniq("lineitem", "l_partkey")]),
     "dq_foreign_key": "\nUNION ALL\n".join(_fk(*r) for r in FK_RULES),
     "apply_change_set": """
 WITH m AS (SELECT coalesce(max(c_custkey), 0) AS m FROM customer)

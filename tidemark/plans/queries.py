@@ -103,14 +103,20 @@ def conversation_requests(spark, sf_dir) -> DataFrame:
                        F.col("text").alias("query"), F.col("turn").cast("int").alias("top_k"))
 
 
+def conversation_searches(spark, sf_dir) -> DataFrame:
+    """Every user turn as a search; later turns ask for more results (1 to 100)."""
+    return conversation_requests(spark, sf_dir).withColumn(
+        "top_k", F.least(F.col("top_k") + 1, F.lit(100)))
+
+
 def q_search_request_validation(spark, sf_dir):
     v = validate_requests(conversation_requests(spark, sf_dir))
     return v.select("query_id", "top_k", "accepted", "reason")
 
 
 def q_search_conversation_batch(spark, sf_dir):
-    """Accepted user-turn requests against documents, each with its own top_k."""
-    return search(documents_index(spark, sf_dir), conversation_requests(spark, sf_dir))
+    """Every user turn against documents, each with its own top_k."""
+    return search(documents_index(spark, sf_dir), conversation_searches(spark, sf_dir))
 
 
 def _versioned_conversations(spark, sf_dir, versions: str):

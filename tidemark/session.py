@@ -3,36 +3,53 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
+#: Set only where the launcher set nothing.
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidemark") -> SparkSession:
-    """Session tuned for the library's jobs.
+    """Session for the library's jobs.
 
-    On a cluster the builder picks up the cluster's own settings (master,
-    checkpoint dir); the values here only fill gaps left by the launcher.
+    What the launcher set (spark-submit, PYSPARK_SUBMIT_ARGS, defaults file)
+    is kept; the values here only fill gaps.  Without ``shuffle_partitions``
+    that setting is never touched.  Driver memory and the UI switch are only
+    given where this call starts the JVM itself, on a local master.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    spark = (
-        builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
-    )
+    submitted = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    starts_jvm = "PYSPARK_GATEWAY_PORT" not in os.environ and SparkContext._gateway is None
+    if starts_jvm and (master or "").startswith("local"):
+        if not re.search(r"driver[-.]memory", submitted):
+            builder = builder.config("spark.driver.memory",
+                                     os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
+        for key in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
+            if key not in submitted:
+                builder = builder.config(key, "false")
+    spark = builder.getOrCreate()
+    wanted = dict(DEFAULTS)
+    if shuffle_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    given = spark.sparkContext.getConf()
+    for key, value in wanted.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")    # part of the semantics
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -42,7 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; we never
-    override it.  Tests and local runs get a fresh folder under /tmp.
+    override it.  Local masters get a fresh folder under /tmp; on any other
+    master a missing setting is an error, since /tmp is not shared there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -12,8 +12,10 @@ Write modes:
   are lost: this is the in-memory service's behaviour, kept for parity.
 * ``merge`` (default): touched dates get their stored rows plus the delta,
   one row per (key, date), the greatest timestamp winning and the delta
-  winning ties.  The merged rows are written to the shared checkpoint
-  folder first, so the overwrite never reads the files it replaces.
+  winning ties.  The merge works on whole lines: a stored line is kept or
+  replaced as it is, and lines without a readable key stay verbatim.  The
+  merged lines are written to the shared checkpoint folder first, so the
+  overwrite never reads the files it replaces.
 """
 
 from __future__ import annotations
@@ -68,6 +70,29 @@ def _write(rows: DataFrame, path: str, ts_col: str) -> None:
      .json(path))
 
 
+def _merged_lines(spark: SparkSession, new: DataFrame, path: str, key: str, ts_col: str,
+                  dates: list[str]) -> DataFrame:
+    """Stored and new lines of the touched dates: ``(date, _ts, value)``.
+
+    One line per (key, date); lines whose key is missing or unreadable are
+    not comparable and all stay."""
+    fields = [c for c in new.columns if c != "date"]
+    kind = new.schema[key].dataType
+    old = (spark.read.option("basePath", path).text(path)
+           .withColumn("date", F.col("date").cast("string"))
+           .where(F.col("date").isin(sorted(dates)) & (F.trim("value") != "")))
+    seen = F.from_json("value", T.StructType([T.StructField(key, T.StringType()),
+                                              T.StructField(ts_col, T.StringType())]))
+    old = old.select("date", seen[key].try_cast(kind).alias("_key"),
+                     parse_iso(seen[ts_col]).alias("_ts"), "value", F.lit(0).alias("_new"))
+    fresh = new.select("date", F.col(key).alias("_key"), parse_iso(ts_col).alias("_ts"),
+                       F.to_json(F.struct(*fields)).alias("value"), F.lit(1).alias("_new"))
+    both = fresh.unionByName(old)
+    named = latest_version(both.where("_key is not null"), ["_key", "date"], ["_ts", "_new"])
+    return (named.unionByName(both.where("_key is null"))
+            .select("date", "_ts", "value"))
+
+
 def write_table(spark: SparkSession, delta: DataFrame, root: str, table: str, key: str,
                 ts_col: str, dates: list[str], mode: str = "merge") -> list[str]:
     """Write a delta into the lake; return the touched partition folders."""
@@ -76,14 +101,14 @@ def write_table(spark: SparkSession, delta: DataFrame, root: str, table: str, ke
     path = table_path(root, table)
     new = lake_rows(delta, ts_col)
     if mode == "merge" and _path_exists(spark, path) and dates:
-        old = read_raw(spark, root, table, new.schema)
-        old = old.where(F.col("date").isin(sorted(dates))).select(*new.columns)
-        both = new.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
-        both = both.withColumn("_ts", parse_iso(ts_col))
-        merged = latest_version(both, [key, "date"], ["_ts", "_new"]).drop("_ts", "_new")
+        merged = _merged_lines(spark, new, path, key, ts_col, dates)
         ensure_checkpoint_dir(spark)
-        new = merged.checkpoint(eager=True)
-    _write(new, path, ts_col)
+        staged = merged.checkpoint(eager=True)
+        (staged.repartitionByRange("date", "_ts").sortWithinPartitions("date", "_ts")
+         .select("date", "value").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("date").text(path))
+    else:
+        _write(new, path, ts_col)
     return partition_paths(root, table, dates)
 
 
