@@ -1,3 +1,201 @@
-"""DuckDB statements for the queries that SQL can express."""
+"""DuckDB statements for the queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+Each is written apart from the operator it checks: windows are compared as text instead
+of through suffix arrays, n-grams as text instead of hashes, Poisson terms through the
+gamma function, template levels as lists instead of hashes.
+"""
+
+from __future__ import annotations
+
+from tidemark.llm import secret_scan as S
+
+#: Blocks of 1,000 starts keep ``substr`` on short strings; windows are 50 bytes of hex text.
+OP1 = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM docs),
+blocks AS (SELECT doc_id, b, n, substr(h, 2 * b + 1, 2 * 1049) AS part
+  FROM (SELECT doc_id, h, n, unnest(range(0, greatest(n - 49, 0), 1000)) AS b FROM sized)),
+windows AS (SELECT doc_id, b + i AS p, substr(part, 2 * i + 1, 100) AS w
+  FROM (SELECT doc_id, b, part, unnest(range(0, least(1000, n - 49 - b))) AS i FROM blocks)),
+lowest AS (SELECT w, min(doc_id) AS lo FROM windows GROUP BY w HAVING max(doc_id) > min(doc_id)),
+hit AS (SELECT DISTINCT doc_id, p FROM windows JOIN lowest USING (w) WHERE doc_id > lo),
+stepped AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER d + 50 THEN 0 ELSE 1 END AS opens
+  FROM hit WINDOW d AS (PARTITION BY doc_id ORDER BY p)),
+numbered AS (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM stepped),
+runs AS (SELECT doc_id, run, min(p) AS s, max(p) + 50 AS e FROM numbered GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before
+  FROM runs),
+cut AS (SELECT doc_id, sum(e - s) AS removed, count(*) AS spans, max(e) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) AS head
+  FROM gaps JOIN sized USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM sized LEFT JOIN cut USING (doc_id)
+"""
+
+OP2 = """
+WITH mass AS (SELECT source, CAST(sum(length(coalesce(text, ''))) AS DOUBLE) AS mass
+  FROM documents GROUP BY source),
+total AS (SELECT sum(sqrt(mass)) AS w, sum(mass) AS m FROM mass),
+rates AS (SELECT source, CASE WHEN mass > 0 THEN sqrt(mass) * (m / w) / mass ELSE 0 END AS rate
+  FROM mass, total),
+terms AS (SELECT source, k, CASE WHEN rate = 0 THEN 1.0
+    ELSE exp(k * ln(rate) - rate - lgamma(k + 1)) END AS p
+  FROM (SELECT source, rate, unnest(range(0, CASE WHEN rate = 0 THEN 1
+    ELSE CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) + 1 END)) AS k FROM rates)),
+summed AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM terms),
+tables AS (SELECT source, list(cdf) AS cdfs FROM summed GROUP BY source),
+drawn AS (SELECT *, CAST('0x' || substr(md5('mix:n:' || coalesce(CAST(doc_id AS VARCHAR), '')
+    || ':' || md5(coalesce(text, ''))), 1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+counted AS (SELECT d.*, len(list_filter(t.cdfs, lambda c: c <= d.u)) AS n
+  FROM drawn d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source),
+copies AS (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted)
+SELECT doc_id, text, lang, source, n_chars, copy,
+  CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy), 1, 15)
+    AS BIGINT) AS shuffle_key
+FROM copies
+"""
+
+OP3 = r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')),
+    '[a-z0-9\x{80}-\x{10FFFF}]+') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS w1 FROM split),
+grams AS (SELECT doc_id, i, w1, lag(w1) OVER d || ' ' || w1 AS w2,
+    lag(w1, 2) OVER d || ' ' || lag(w1) OVER d || ' ' || w1 AS w3
+  FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+rest AS (SELECT doc_id, i, w2, w3,
+    count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS n,
+    count(*) OVER (PARTITION BY w1) - count(*) OVER (PARTITION BY doc_id, w1) AS r1,
+    CASE WHEN w2 IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY w2)
+      - count(*) OVER (PARTITION BY doc_id, w2) END AS r2,
+    CASE WHEN w3 IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY w3)
+      - count(*) OVER (PARTITION BY doc_id, w3) END AS r3
+  FROM grams),
+context AS (SELECT *, lag(r1) OVER d AS c1, lag(r2) OVER d AS c2
+  FROM rest WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+one AS (SELECT *, CASE WHEN r1 > 0 THEN r1 / greatest(n, 1) ELSE 0.4::DOUBLE / (n + 1) END AS s1
+  FROM context),
+two AS (SELECT *, CASE WHEN w2 IS NULL THEN s1 WHEN r2 > 0 THEN r2 / greatest(c1, 1)
+    ELSE 0.4::DOUBLE * s1 END AS s2 FROM one),
+three AS (SELECT *, CASE WHEN w3 IS NULL THEN s2 WHEN r3 > 0 THEN r3 / greatest(c2, 1)
+    ELSE 0.4::DOUBLE * s2 END AS s3 FROM two),
+scored AS (SELECT doc_id, count(*) AS n_tokens, sum(ln(s3)) AS total FROM three GROUP BY doc_id)
+SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, round(coalesce(total, 0), 4) AS log_score,
+  round(total / n_tokens, 6) AS mean_log_score
+FROM documents LEFT JOIN scored USING (doc_id)
+"""
+
+OP4 = """
+WITH rules(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+    ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+urls AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fits AS (SELECT host, path, rhost || rpath AS rule, verdict,
+    row_number() OVER (PARTITION BY host, path ORDER BY length(rhost) + length(rpath) DESC) AS rn
+  FROM (SELECT DISTINCT host, path FROM urls) u JOIN rules
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)),
+paths AS (SELECT host, path, any_value(f.rule) AS rule, any_value(f.verdict) AS said, count(*) AS n,
+    count(*) FILTER (f.verdict = 'block') AS bad, count(*) FILTER (f.verdict = 'allow') AS good,
+    list_filter(string_split(path, '/'), lambda s: s <> '') AS parts
+  FROM urls LEFT JOIN (FROM fits WHERE rn = 1) f USING (host, path) GROUP BY host, path),
+levels AS (SELECT host, path, n, l, parts[l] AS seg, list_transform(parts[1:l - 1],
+    lambda s: regexp_replace(s, '[0-9]+', '#', 'g')) AS above
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS l FROM paths)),
+kinds AS (SELECT host, l, above, count(DISTINCT seg) AS kinds, sum(n) AS urls
+  FROM levels GROUP BY host, l, above),
+renamed AS (SELECT host, path, list(CASE WHEN kinds >= 3 AND kinds >= 0.5 * urls THEN '*'
+    ELSE seg END ORDER BY l) AS segs FROM levels JOIN kinds USING (host, l, above) GROUP BY host, path),
+named AS (SELECT p.*, coalesce(r.segs, []) AS segs FROM paths p LEFT JOIN renamed r USING (host, path)),
+tree AS (SELECT host, segs, sum(n) AS n, sum(bad) AS bad, sum(good) AS good
+  FROM named GROUP BY host, segs),
+branch AS (SELECT *, segs[l] AS seg, segs[1:l - 1] AS above, segs[l + 1:] AS below
+  FROM (SELECT *, unnest(range(1, len(segs) + 1)) AS l FROM tree)),
+total AS (SELECT host, l, above, seg, sum(n) AS all_n, CASE WHEN sum(bad) > sum(good) THEN 'bad'
+    WHEN sum(good) > 0 THEN 'good' ELSE 'none' END AS class
+  FROM branch WHERE seg <> '*' GROUP BY host, l, above, seg),
+profile AS (SELECT host, l, above, seg, below, class, sum(n) AS m, sum(n) / any_value(all_n) AS share
+  FROM branch JOIN total USING (host, l, above, seg) GROUP BY host, l, above, seg, below, class),
+kin AS (SELECT host, l, above, class, count(*) AS kin, sum(all_n) AS kin_n
+  FROM total GROUP BY host, l, above, class),
+pooled AS (SELECT host, l, above, class, below, sum(m) / any_value(kin_n) AS pool, any_value(kin) AS kin
+  FROM profile JOIN kin USING (host, l, above, class) GROUP BY host, l, above, class, below),
+joint AS (SELECT host, l, above, seg, '*' || class AS joint
+  FROM profile JOIN pooled USING (host, l, above, class, below)
+  GROUP BY host, l, above, seg, class, kin
+  HAVING kin > 1 AND round(sum(least(share, pool)), 9) >= 0.7),
+merged AS (SELECT host, segs, list(coalesce(joint, seg) ORDER BY l) AS final
+  FROM branch LEFT JOIN joint USING (host, l, above, seg) GROUP BY host, segs),
+finals AS (SELECT t.*, coalesce(m.final, t.segs) AS final FROM tree t LEFT JOIN merged m USING (host, segs)),
+everywhere AS (SELECT final, (sum(bad) + 2 * 0.1::DOUBLE) / (sum(bad) + sum(good) + 2) AS towards
+  FROM finals GROUP BY final),
+shares AS (SELECT host, final, (sum(bad) + 2 * any_value(towards)) / (sum(bad) + sum(good) + 2)
+    AS blocked_share FROM finals JOIN everywhere USING (final) GROUP BY host, final)
+SELECT page_id, host, path, rule,
+  coalesce(said, CASE WHEN blocked_share >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+  '/' || array_to_string(final, '/') AS template, blocked_share
+FROM urls JOIN named USING (host, path) JOIN finals USING (host, segs) JOIN shares USING (host, final)
+"""
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _spans(kind: int, pattern: str) -> str:
+    """Places of the matches of one pattern, from the pieces between them."""
+    p = _quoted(pattern)
+    return f"""SELECT doc_id, {kind} AS kind, m,
+    sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS s
+  FROM (SELECT doc_id, unnest(range(len(regexp_extract_all(t, {p})))) AS i,
+      unnest(regexp_extract_all(t, {p})) AS m,
+      unnest(string_split_regex(t, {p})[:len(regexp_extract_all(t, {p}))]) AS gap
+    FROM docs WHERE regexp_matches(t, {p}))"""
+
+
+OP8 = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(_spans(k, p) for k, p in enumerate((S.ASSIGN, S.ACCESS, S.HEX, S.TOKEN)))}),
+placed AS (SELECT doc_id, kind, m, CAST(s AS BIGINT) AS s, CAST(s AS BIGINT) + length(m) AS e,
+    CASE WHEN kind = 0 THEN regexp_extract(m, {_quoted(S.ASSIGN)}, 2) ELSE m END AS v FROM found),
+base AS (FROM placed WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(m) >= 20) OR kind = 2),
+token AS (SELECT t.*, row_number() OVER () AS id FROM placed t WHERE kind = 3 AND NOT EXISTS (
+  FROM base b WHERE b.doc_id = t.doc_id AND b.s < t.e AND t.s < b.e)),
+learned AS (SELECT 1 AS y, v FROM base
+  UNION ALL SELECT 0, m FROM token WHERE regexp_matches(m, '^[A-Za-z_]+$')),
+alphabet AS (SELECT unnest(range(1, {len(S.ALPHABET) + 1})) AS c),
+step AS (SELECT y, strpos('{S.ALPHABET}', substr(v, i, 1)) AS a, strpos('{S.ALPHABET}', substr(v, i + 1, 1)) AS b
+  FROM (SELECT y, v, unnest(range(1, length(v))) AS i FROM learned)),
+counts AS (SELECT a, b, count(*) FILTER (y = 1) AS n1, count(*) FILTER (y = 0) AS n0
+  FROM step WHERE a > 0 AND b > 0 GROUP BY a, b),
+cells AS (SELECT x.c AS a, z.c AS b, coalesce(n1, 0) AS n1, coalesce(n0, 0) AS n0
+  FROM alphabet x CROSS JOIN alphabet z LEFT JOIN counts ON a = x.c AND b = z.c),
+model AS (SELECT a, b, round(ln(
+    ((n1 + 0.5::DOUBLE) / (sum(n1) OVER r + {0.5 * len(S.ALPHABET)}::DOUBLE))
+    / ((n0 + 0.5::DOUBLE) / (sum(n0) OVER r + {0.5 * len(S.ALPHABET)}::DOUBLE))), 3) AS ratio
+  FROM cells WINDOW r AS (PARTITION BY a)),
+random AS (SELECT id FROM (SELECT id, strpos('{S.ALPHABET}', substr(m, i, 1)) AS a,
+      strpos('{S.ALPHABET}', substr(m, i + 1, 1)) AS b
+    FROM (SELECT id, m, unnest(range(1, length(m))) AS i FROM token)) JOIN model USING (a, b)
+  GROUP BY id HAVING round(sum(ratio), 6) >= {S.MIN_RATIO}),
+spans AS (SELECT doc_id, kind, s, e FROM base
+  UNION ALL SELECT doc_id, kind, s, e FROM token JOIN random USING (id)),
+listed AS (SELECT *, {list(S.KINDS)!r}[kind + 1] || ':' || s || ':' || e AS x FROM spans),
+per_doc AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex, string_agg(x, ',' ORDER BY s, kind, e) AS spans,
+    string_agg(x, ',' ORDER BY s, kind, e) FILTER (kind < 3) AS base
+  FROM listed GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN per_doc USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": OP1,
+    "op2_mixing": OP2,
+    "op3_lm_scores": OP3,
+    "op4_urls": OP4,
+    "op8_secrets": OP8,
+}

@@ -19,7 +19,9 @@ def q_op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lmscore.score(load(spark, sf_dir, "documents"))
+    scored = lmscore.score(load(spark, sf_dir, "documents"))
+    return (scored.withColumn("log_score", F.round("log_score", 4))
+            .withColumn("mean_log_score", F.round("mean_log_score", 6)))
 
 
 def q_op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

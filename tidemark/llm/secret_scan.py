@@ -117,7 +117,7 @@ def scan(docs: DataFrame, text_col: str = "text", model: list[float] | None = No
     model = train(docs, text_col) if model is None else model
     text = F.coalesce(F.col(text_col), F.lit(""))
     token = F.filter(match_spans(text, TOKEN, 3), lambda s: _outside(s, F.col("__base")) & (
-        log_ratio(s["match"], model) >= F.lit(min_ratio)))
+        F.round(log_ratio(s["match"], model), 6) >= F.lit(min_ratio)))
     return (docs.withColumn("__base", base_spans(text))
             .withColumn("spans", F.concat("__base", token)).drop("__base")
             .withColumn("spans", F.transform(
