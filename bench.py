@@ -85,7 +85,7 @@ def main() -> None:
 
     def first_run(s):
         run_ingest(spark, [TableSpec("events", "event_id", "ts", early)],
-                   s.lake, s.state, s.events)
+                   s.lake, s.state, s.events, echo=False)
 
     def after_first():
         s = fresh()
@@ -94,7 +94,7 @@ def main() -> None:
 
     times["ingest_full"] = best_of(first_run, fresh)
     times["ingest_delta"] = best_of(lambda s: run_ingest(
-        spark, [TableSpec("events", "event_id", "ts", ev)], s.lake, s.state, s.events),
+        spark, [TableSpec("events", "event_id", "ts", ev)], s.lake, s.state, s.events, echo=False),
         after_first)
     times["latest_version"] = best_of(
         lambda: latest_version(ev, "user_id", ["ts"]).collect())

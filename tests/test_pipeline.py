@@ -1,11 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.index import build_index
+from tidemark.operators.index import build_index, read_index
 from tidemark.operators.quality import same_rows
 from tidemark.operators.search import search_one
 from tidemark.plans.ingest import InvalidSourceRows, run_ingest
 from tidemark.plans.pipeline import ingest_and_reindex, register_lake_views
+from tidemark.sources import lake as lake_io
 from tidemark.specs import TableSpec
 
 
@@ -57,3 +58,38 @@ def test_sql_over_lake(spark, customers, cases, tmp_path):
                        JOIN customers c USING (customer_id) GROUP BY c.name""").collect()
     assert sorted((r.name, r.n) for r in got) == [("Berth 1", 2), ("Berth 2", 2),
                                                   ("Berth 3", 1)]
+
+
+@pytest.mark.parametrize("step", ["term_vectors", "document_frequencies", "to_postings", "publish"])
+def test_failed_rebuild_keeps_the_old_index(spark, customers, cases, tmp_path, monkeypatch, step):
+    paths = [str(tmp_path / x) for x in ("lake", "st", "ev")]
+    early = cases.where("case_id <= 3")
+    args = (["title", "description"], ["title"], str(tmp_path / "idx"))
+
+    def run(source, current=None):
+        specs = _specs(customers, source)
+        return ingest_and_reindex(spark, specs, *paths, specs[1], *args, current=current)
+
+    first = run(early)
+    before = search_one(spark, first.index, "storm lamp", 5).collect()
+
+    def broken(*_, **__):
+        raise OSError("no space")
+    monkeypatch.setattr(f"tidemark.operators.index.{step}", broken)
+    second = run(cases, first.index)
+    monkeypatch.undo()
+    assert not second.rebuilt and isinstance(second.error, OSError)
+    assert second.manifest.table("cases").delta_row_count == 2
+    assert search_one(spark, second.index, "storm lamp", 5).collect() == before
+    reopened = read_index(spark, str(tmp_path / "idx"), ["title"])
+    assert search_one(spark, reopened, "storm lamp", 5).collect() == before
+
+
+def test_compaction_keeps_unreadable_lines(spark, customers, cases, tmp_path):
+    lake = str(tmp_path / "lake")
+    run_ingest(spark, _specs(customers, cases), lake, str(tmp_path / "st"), str(tmp_path / "ev"))
+    (tmp_path / "lake" / "cases" / "date=2024-01-02" / "part-x.json").write_text("not json")
+    out = lake_io.compact(spark, lake, "cases", cases.schema, ["case_id", "updated_at"],
+                          str(tmp_path / "out"), ts_col="updated_at")
+    assert out.count() == 5
+    assert [r.value for r in spark.read.text(str(tmp_path / "out_quarantine")).collect()] == ["not json"]

@@ -11,7 +11,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 FAST = ["tokens", "term_freq", "search_topk", "search_topk_batch", "search_all_versions",
         "incremental_delta", "high_water_mark", "lake_round_trip", "lake_merge_two_runs",
-        "late_row_audit", "latest_version", "dq_unique", "dq_foreign_key",
+        "late_row_audit", "latest_version", "watermark_fallback", "stream_versions", "dq_unique", "dq_foreign_key",
         "apply_change_set"]
 
 

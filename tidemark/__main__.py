@@ -8,8 +8,9 @@
     python -m tidemark search --index /index/cases --payload title,status \\
         --query "billing fraud" [--top-k 5]
 
-Sources are Parquet paths.  Output is JSON on stdout (the manifest, or
-one line per result).
+Sources are Parquet paths; ``--columns cases=case_id,title,updated_at`` reads only
+those columns of a table.  Output is JSON on stdout: one line per event and then
+the manifest, the index folder with the number of quarantined lines, or one line per result.
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ from tidemark.sources import lake as lake_io
 from tidemark.specs import TableSpec, parquet_source
 
 
-def _spec(text: str) -> TableSpec:
+def _spec(text: str, columns: list[str]) -> TableSpec:
     name, key, ts, path = text.split(":", 3)
-    return TableSpec(name, key, ts, parquet_source(path))
+    chosen = {n: tuple(_list(c)) for n, c in (x.split("=", 1) for x in columns)}
+    return TableSpec(name, key, ts, parquet_source(path), columns=chosen.get(name))
 
 
 def _list(text: str | None) -> list[str]:
@@ -44,12 +46,14 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--state", required=True)
     ing.add_argument("--events", required=True)
     ing.add_argument("--table", action="append", required=True)
+    ing.add_argument("--columns", action="append", default=[])
     ing.add_argument("--mode", default="merge", choices=["merge", "replace"])
     ing.add_argument("--dry-run", action="store_true")
     ing.add_argument("--shared", action="store_true")
     idx = sub.add_parser("index")
     idx.add_argument("--lake", required=True)
     idx.add_argument("--table", required=True)
+    idx.add_argument("--columns", action="append", default=[])
     idx.add_argument("--text", required=True)
     idx.add_argument("--payload", default="")
     idx.add_argument("--versions", default="latest", choices=["latest", "all"])
@@ -64,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
 
     if a.cmd == "ingest":
-        m = run_ingest(spark, [_spec(t) for t in a.table], a.lake, a.state, a.events,
+        m = run_ingest(spark, [_spec(t, a.columns) for t in a.table], a.lake, a.state, a.events,
                        mode=a.mode, dry_run=a.dry_run, shared=a.shared)
         print(json.dumps({
             "run_id": m.run_id, "started_at": py_iso(m.started_at),
@@ -76,12 +80,12 @@ def main(argv: list[str] | None = None) -> int:
                                  "checkpoint_after": t.checkpoint_after} for t in m.tables},
         }, ensure_ascii=False))
     elif a.cmd == "index":
-        spec = _spec(a.table)
+        spec = _spec(a.table, a.columns)
         schema = spec.read(spark).schema
-        rows, _ = lake_io.read_lake(spark, a.lake, spec.name, schema, spec.required_columns())
+        rows, bad = lake_io.read_lake(spark, a.lake, spec.name, schema, spec.required_columns())
         write_index(build_index(rows, spec.key, _list(a.text), _list(a.payload),
                                 version_col=spec.ts, versions=a.versions), a.out)
-        print(json.dumps({"index": a.out}))
+        print(json.dumps({"index": a.out, "quarantined": bad.count()}))
     else:
         index = read_index(spark, a.index, _list(a.payload), a.versions == "all")
         for r in search_one(spark, index, a.query, a.top_k).collect():

@@ -132,12 +132,13 @@ def plan_marks(summary_rows: list, specs: list[TableSpec], marks: dict[str, date
 def run_ingest(spark: SparkSession, specs: list[TableSpec], lake_root: str, state_path: str,
                events_path: str, mode: str = "merge", dry_run: bool = False,
                shared: bool = False, since: dict[str, datetime] | None = None,
-               writer: Writer | None = None, echo: bool = False) -> IngestManifest:
+               writer: Writer | None = None, echo: bool = True) -> IngestManifest:
     """Run one incremental ingest; return its manifest.
 
     ``since`` overrides the stored marks (replay / backfill from a point).
     ``writer`` replaces the lake writer (same signature as
     :func:`tidemark.sources.lake.write_table`), e.g. to inject a failure.
+    ``echo`` also prints each event as one JSON line.
     """
     run_id = str(uuid.uuid4())
     started = datetime.now(tz=timezone.utc)

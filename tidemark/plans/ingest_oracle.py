@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.plans.oracle import LATEST_CONV, index_ctes, search_sql
+
 
 def iso(x: str) -> str:
     """ISO-8601 text as the lake stores it (fraction only when non-zero)."""
@@ -106,3 +108,19 @@ SELECT {day('ts')} AS date, count(*) FILTER (WHERE event_id % 13 <> 0)::BIGINT A
 INGEST_ORACLE["lake_merge_malformed"] = f"""
 SELECT {day('ts')} AS date, count(*)::BIGINT AS readable, count(*)::BIGINT AS ids,
        count(*) FILTER (WHERE event_id % 13 = 0)::BIGINT AS malformed FROM events GROUP BY 1"""
+
+INGEST_ORACLE["search_from_lake"] = search_sql(
+    "ev AS (SELECT event_id, event_type, coalesce(event_type, '') || ' ' || coalesce(props, '') "
+    "AS text FROM events), q AS (SELECT 0 AS query_id, 'purchase 42 error' AS query)", 50,
+    "SELECT rk.doc_id AS event_id, rank, score, event_type FROM rk "
+    "JOIN ev ON ev.event_id = rk.doc_id WHERE rank <= {k}", table="ev", id_col="event_id")
+INGEST_ORACLE["watermark_fallback"] = f"""
+SELECT event_type || '_' || (event_id % 3) AS "table", CASE event_id % 3
+         WHEN 0 THEN {iso('max(ts)')}
+         WHEN 1 THEN {iso("date_trunc('second', max(ts))")}
+         ELSE {EPOCH} END AS checkpoint
+FROM events GROUP BY event_type, event_id % 3"""
+INGEST_ORACLE["stream_versions"] = f"""
+WITH {LATEST_CONV},{index_ctes('latest', 'conv_id')}
+SELECT w.doc_id AS conv_id, dim, round(w, 8) AS w, latest.role
+FROM w JOIN latest ON latest.conv_id = w.doc_id"""

@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timefmt import iso_text, py_iso
+from tidemark.operators.search import search_one
 from tidemark.operators.versions import late_rows, latest_version
-from tidemark.plans.ingest import delta_summary, run_ingest
+from tidemark.plans.ingest import delta_summary
+from tidemark.plans.ingest import run_ingest as ingest
+from tidemark.plans.pipeline import ingest_and_reindex
 from tidemark.plans.queries import load
 from tidemark.session import scratch_path
 from tidemark.sources import lake as lake_io
@@ -34,6 +37,11 @@ CUT = datetime(2024, 1, 15, 12, 0, 0, tzinfo=UTC)
 REPLAY_FROM = datetime(2024, 1, 14, 12, 0, 0, tzinfo=UTC)
 
 
+def run_ingest(*args, **kwargs):
+    """A run without the console copy of its events (they are read from the log)."""
+    return ingest(*args, echo=False, **kwargs)
+
+
 def events_spec(spark, sf_dir, source: DataFrame | None = None) -> TableSpec:
     return TableSpec("events", "event_id", "ts",
                      source if source is not None else load(spark, sf_dir, "events"))
@@ -297,3 +305,66 @@ def q_lake_merge_malformed(spark, sf_dir):
 
 INGEST_QUERIES["malformed_records"] = q_malformed_records
 INGEST_QUERIES["lake_merge_malformed"] = q_lake_merge_malformed
+
+
+LAKE_QUERY = "purchase 42 error"
+
+
+def q_search_from_lake(spark, sf_dir):
+    """The whole path: projected source, ingest, lake, written index, search.
+
+    The index text is two columns (event type and properties) of the lake's rows."""
+    spec = TableSpec("events", "event_id", "ts", load(spark, sf_dir, "events"),
+                     columns=("event_id", "ts", "event_type", "props"))
+    s = Scratch(spark, "search_from_lake")
+    done = ingest_and_reindex(spark, [spec], s.lake, s.state, s.events, spec,
+                              ["event_type", "props"], ["event_type"], f"{s.lake}_index",
+                              echo=False)
+    if done.error is not None:
+        raise done.error
+    return search_one(spark, done.index, LAKE_QUERY, 50)
+
+
+def q_watermark_fallback(spark, sf_dir):
+    """Marks from a state written by others: with offset, naive, and bad text.
+
+    One table per event type and kind of text; a table without a readable mark
+    reads as the epoch."""
+    s = Scratch(spark, "watermark_fallback")
+    kind = (F.col("event_id") % 3).cast("string")
+    ahead = F.date_format(F.col("ts").cast("timestamp") + F.expr("INTERVAL 2 HOURS"),
+                          "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = (F.when(kind == "0", F.concat(ahead, F.lit("+02:00")))
+            .when(kind == "1", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+            .when(F.col("event_id") % 2 == 0, F.concat(F.lit("soon after "), iso_text("ts"))))
+    rows = load(spark, sf_dir, "events").select(
+        F.concat_ws("_", "event_type", kind).alias("table"), text.alias("checkpoint"))
+    rows.write.json(s.state)
+    names = [r["table"] for r in rows.select("table").distinct().collect()]  # types x 3
+    marks = state_io.read_watermarks(spark, s.state, names)
+    return spark.createDataFrame([(t, py_iso(m)) for t, m in marks.items()],
+                                 "table string, checkpoint string")
+
+
+def q_stream_versions(spark, sf_dir):
+    """Conversation turns as versions landing in any order: the last turn is indexed.
+
+    Every file holds several turns of a conversation and later files bring older
+    ones; the batches are compacted before the weights are read."""
+    from tidemark.streaming.refresh import compact_refresh, refreshed_index, start_refresh
+    conv = load(spark, sf_dir, "conversations")
+    root = scratch_path(spark, "stream_versions")
+    spread = F.xxhash64("conv_id", "turn")
+    conv.repartition(3, spread).write.parquet(f"{root}/landing")
+    start_refresh(spark, f"{root}/landing", conv.schema, f"{root}/index",
+                  f"{root}/stream_ckpt", id_col="conv_id", max_files_per_trigger=1,
+                  version_col="turn", payload_cols=["role"]).awaitTermination()
+    compact_refresh(spark, f"{root}/index")
+    idx = refreshed_index(spark, f"{root}/index")
+    return idx.postings.join(idx.payload_rows, "doc_id").select(
+        F.col("doc_id").alias("conv_id"), "dim", F.round("w", 8).alias("w"), "role")
+
+
+INGEST_QUERIES["search_from_lake"] = q_search_from_lake
+INGEST_QUERIES["watermark_fallback"] = q_watermark_fallback
+INGEST_QUERIES["stream_versions"] = q_stream_versions

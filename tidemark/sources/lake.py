@@ -164,13 +164,22 @@ def read_lake(spark: SparkSession, root: str, table: str, schema: T.StructType,
 
 
 def compact(spark: SparkSession, root: str, table: str, schema: T.StructType,
-            required: list[str], out_path: str, dates: list[str] | None = None) -> DataFrame:
-    """Rewrite lake partitions as Parquet, one sorted set of files per date."""
-    good, _ = read_lake(spark, root, table, schema, required)
+            required: list[str], out_path: str, dates: list[str] | None = None,
+            ts_col: str | None = None, quarantine_path: str | None = None) -> DataFrame:
+    """Rewrite lake partitions as Parquet, one sorted set of files per date.
+
+    Rows are sorted by ``ts_col`` (by default the first timestamp, else by date
+    alone).  Lines that cannot be read are kept as text under ``quarantine_path``,
+    by default next to ``out_path``."""
+    good, bad = read_lake(spark, root, table, schema, required)
     if dates:
         good = good.where(F.col("date").isin(sorted(dates)))
-    ts = next(f.name for f in schema.fields
-              if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)))
+        bad = bad.where(F.col("date").isin(sorted(dates)))
+    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").text(quarantine_path or f"{out_path.rstrip('/')}_quarantine"))
+    times = [f.name for f in schema.fields
+             if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    ts = ts_col or (times[0] if times else "date")
     (good.repartitionByRange("date", ts).sortWithinPartitions("date", ts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(out_path))
