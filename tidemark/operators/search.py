@@ -28,6 +28,7 @@ BROADCAST_QUERY_ROWS = 2_000_000
 # A single query's dimensions become a literal IN filter up to this many
 # (a pathological query text is still answered exactly, by the join alone).
 MAX_LITERAL_DIMS = 1000
+SCORE_SCALE = 1e8                  # 8 places
 
 
 def _rank():
@@ -57,22 +58,25 @@ def validate_requests(requests: DataFrame, query_col: str = "query",
         "accepted", reason.isNull()).withColumn("reason", reason)
 
 
-def _matches(index: TextIndex, qv: DataFrame, id_col: str,
-             broadcast_rows: int | None) -> DataFrame:
-    postings = index.postings
-    limit = BROADCAST_QUERY_ROWS if broadcast_rows is None else broadcast_rows
-    small = limit > 0 and qv.count() <= limit
-    side = F.broadcast(qv) if small else qv
-    return postings.join(side, "dim")
+def _unit_postings(postings: DataFrame) -> DataFrame:
+    """Postings with the weight of the normalised document (a zero norm reads as 1)."""
+    norm = F.coalesce(F.nullif(F.col("norm"), F.lit(0.0)), F.lit(1.0))
+    return postings.select("dim", "doc_id", (F.col("w") / norm).alias("w"))
+
+
+def _unit_query(qv: DataFrame, id_col: str) -> DataFrame:
+    return qv.select(id_col, "dim", (F.col("qtf") / F.col("qnorm")).alias("qw"))
 
 
 def _scores(matches: DataFrame, id_col: str) -> DataFrame:
-    agg = matches.groupBy(id_col, "doc_id").agg(
-        F.sum(F.col("qtf") * F.col("w")).alias("dot"),
-        F.max("norm").alias("dn"), F.max("qnorm").alias("qn"))
-    dn = F.coalesce(F.nullif(F.col("dn"), F.lit(0.0)), F.lit(1.0))
-    return agg.select(id_col, "doc_id",
-                      F.round(F.col("dot") / (F.col("qn") * dn), 8).alias("score"))
+    """Both sides come normalised, so a pair's state in the aggregate is one sum.
+
+    Rounded to 8 places in double arithmetic (scores are in 0..1, and dividing the
+    whole number gives the nearest double): ``round`` goes through a decimal object
+    per pair."""
+    dot = F.sum(F.col("qw") * F.col("w"))
+    return matches.groupBy(id_col, "doc_id").agg(
+        (F.floor(dot * SCORE_SCALE + 0.5) / SCORE_SCALE).alias("score"))
 
 
 def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
@@ -96,11 +100,16 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     else:
         req = queries
         ks = None
-    n_queries = req.count()
+    # one small job sizes both sides: the requests and their dimensions
+    sized = term_vectors(req.select(id_col, query_col), query_col, [id_col]).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("dims")).first()
+    n_queries = sized["n"]
     # ranked results are at most MAX_TOP_K rows per query: a checked bound
     small_results = n_queries * MAX_TOP_K <= BROADCAST_QUERY_ROWS
-    qv = query_vectors(req.select(id_col, query_col), query_col, id_col)
-    scores = _scores(_matches(index, qv, id_col, broadcast_rows), id_col)
+    limit = BROADCAST_QUERY_ROWS if broadcast_rows is None else broadcast_rows
+    qv = _unit_query(query_vectors(req.select(id_col, query_col), query_col, id_col), id_col)
+    side = F.broadcast(qv) if 0 < limit and sized["dims"] <= limit else qv
+    scores = _scores(_unit_postings(index.postings).join(side, "dim"), id_col)
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("doc_id").asc())
     ranked = scores.withColumn("rank", F.row_number().over(w)).where(
         F.col("rank") <= MAX_TOP_K)
@@ -175,7 +184,7 @@ def search_one(spark: SparkSession, index: TextIndex, query: str,
     postings = index.postings
     if len(dims) <= MAX_LITERAL_DIMS:
         postings = postings.where(F.col("dim").isin(dims))
-    matches = postings.join(F.broadcast(qv), "dim")
+    matches = _unit_postings(postings).join(F.broadcast(_unit_query(qv, "query_id")), "dim")
     scores = _scores(matches, "query_id")
     top = scores.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(int(top_k))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
