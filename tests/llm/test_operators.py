@@ -44,6 +44,36 @@ def test_simhash_components(odd_docs, no_docs, spark):
     assert simhash.components(no_docs).count() == 0 and simhash.deduplicate(no_docs).count() == 0
 
 
+def test_crowded_keys_are_cut_into_cells(spark):
+    rng = np.random.default_rng(3)
+
+    def near(centre, n, bits):
+        flips = np.array([np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, bits).astype(np.uint64))
+                          for _ in range(n)], dtype=np.uint64)
+        return np.uint64(centre) ^ flips
+    fps = np.unique(np.concatenate([near(0x0123456789ABCDEF, 1500, 3), near(0x0F0F0F0F00FF00FF, 700, 9),
+                                    rng.integers(0, 1 << 63, 800).astype(np.uint64)]))
+    a, b = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4, 1))
+    label = local_components(len(fps), a, b)
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(3)
+    for bucket_rows in (1 << 20, 2000, 300):
+        links = simhash.fingerprint_links(df, 4, bucket_rows)
+        roots = {r["node"]: r["root"] for r in simhash.connected_components(links).collect()}
+        mine = [roots.get(f, f) for f in fps.view(np.int64).tolist()]
+        assert len(set(zip(mine, label.tolist(), strict=True))) == len(set(mine)) == len(set(label.tolist()))
+    parts = simhash.plan_parts(fps, len(fps), 4)
+    sizes = df.mapInArrow(simhash._bucket_sizes(parts, 64), "bucket long, n long").toPandas()
+    assert sizes["n"].sum() == sum(len(fps) * (1 + len(simhash.ball(len(p.bits), p.radius)))
+                                   for p in parts if p.radius >= 0)
+    # every probe meets every entry of its bucket in exactly one cell
+    bucket, flag = np.zeros(40, dtype=np.int64), np.arange(40) % 2
+    cells = simhash._in_cells(bucket, bucket, fps[:40], flag, {0: 3, 7: 2})
+    met = {(c, f, int(x)) for c, f, x in zip(cells[1].tolist(), cells[4].tolist(), cells[3], strict=True)}
+    for e in fps[:40][flag == 0]:
+        for p in fps[:40][flag == 1]:
+            assert sum((c, 0, int(e)) in met and (c, 1, int(p)) in met for c in range(9)) == 1
+
+
 def test_language_held_out_accuracy(spark, odd_docs, no_docs):
     docs = load(spark, BIG, "documents")
     model = langid.train(docs, ~held_out(F.col("doc_id")))

@@ -8,8 +8,12 @@ candidates are verified on all 64 bits.  If thresholds t_i sum to
 ``max_bits - parts + 1``, a pair within ``max_bits`` agrees within t_i on some
 part i, so nothing is lost whatever the estimates say.
 
-Documents are collapsed to distinct fingerprints first; a bucket returns a
-spanning forest of its links, never all pairs; components are joined in Spark.
+Documents are collapsed to distinct fingerprints first; keys are hashed to
+buckets, and a bucket returns a spanning forest of its links, never all pairs;
+components are joined in Spark.  Buckets are counted first: one that holds more
+than its share (a key that many fingerprints have in common) is cut into a square
+of cells, in which every probe meets every entry once, so no task gets more than
+about ``bucket_rows`` of each however many share a key.
 
 Defined cases: null and word-less texts have fingerprint zero and link like
 any other; fewer words than a shingle give one shingle of all of them;
@@ -31,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.llm.bytescan import mix64
 from tidemark.llm.common import (ball, connected_components, local_components, materialise,
                                  pack, shuffle_partitions, text_udf)
 
@@ -158,33 +163,75 @@ def _choose(n: int, k: int) -> int:
 
 # ------------------------------------------------------------------ search
 
-def _entries(parts: list[Part], buckets: int):
-    """Batches of fingerprints -> packed (bucket, keys, fingerprints, probe flags)."""
+def _probes(batch: pa.RecordBatch, parts: list[Part], balls: list[np.ndarray], buckets: int):
+    """Runs of (bucket, key, fingerprint, probe flag): every fingerprint as an entry under
+    its own keys and as a probe under all keys within the thresholds."""
+    fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    for at in range(0, len(fps), 4096):
+        some, cols = fps[at:at + 4096], []
+        for k, part in enumerate(parts):
+            if part.radius < 0:
+                continue
+            key, tag = part_keys(some, part.bits), np.int64(k << 58)
+            probe = key[:, None] ^ balls[k][None, :]
+            cols.append((key | tag, some, np.zeros(len(some), dtype=np.uint8)))
+            cols.append((probe.ravel() | tag, np.repeat(some, probe.shape[1]),
+                         np.ones(probe.size, dtype=np.uint8)))
+        keys, of, flag = (np.concatenate(x) for x in zip(*cols, strict=True))
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        yield ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), keys, of, flag
+
+
+def _bucket_sizes(parts: list[Part], buckets: int):
+    """Batches of fingerprints -> (bucket, n), one row per bucket a task has met."""
     balls = [ball(len(p.bits), p.radius) for p in parts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for at in range(0, len(fps), 4096):
-                some, cols = fps[at:at + 4096], []
-                for k, part in enumerate(parts):
-                    if part.radius < 0:
-                        continue
-                    key, tag = part_keys(some, part.bits), np.int64(k << 58)
-                    probe = key[:, None] ^ balls[k][None, :]
-                    cols.append((key | tag, some, np.zeros(len(some), dtype=np.uint8)))
-                    cols.append((probe.ravel() | tag, np.repeat(some, probe.shape[1]),
-                                 np.ones(probe.size, dtype=np.uint8)))
-                keys, of, flag = (np.concatenate(x) for x in zip(*cols, strict=True))
-                mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                cut = np.flatnonzero(np.diff(bucket[order])) + 1
-                out = [np.split(x[order], cut) for x in (bucket, keys, of, flag)]
+            for bucket, *_ in _probes(batch, parts, balls, buckets):
+                np.add.at(n, bucket, 1)
+        met = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(n[met], pa.int64())],
+                                         names=["bucket", "n"])
+    return run
+
+
+def _in_cells(bucket, keys, of, flag, sides: dict[int, int]):
+    """Cells of a bucket cut into side x side: an entry goes to a whole row of cells, a
+    probe to a whole column, both chosen by the fingerprint's hash."""
+    wide = np.array(sorted(sides), dtype=np.int64)
+    cut = np.array([sides[b] for b in wide.tolist()], dtype=np.int64)
+    at = np.searchsorted(wide, bucket)
+    at[at == len(wide)] = 0
+    side = np.where(wide[at] == bucket, cut[at], 1)
+    take = np.repeat(np.arange(len(bucket)), side)
+    step = np.arange(len(take)) - np.repeat(np.cumsum(side) - side, side)
+    side = side[take]
+    line = (mix64(of[take]) % side.astype(np.uint64)).astype(np.int64)
+    cell = np.where(flag[take] == 0, line * side + step, step * side + line)
+    return bucket[take], cell, keys[take], of[take], flag[take]
+
+
+def _entries(parts: list[Part], buckets: int, sides: dict[int, int]):
+    """Batches of fingerprints -> packed (bucket, cell, keys, fingerprints, probe flags)."""
+    balls = [ball(len(p.bits), p.radius) for p in parts]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, keys, of, flag in _probes(batch, parts, balls, buckets):
+                cell = np.zeros(len(bucket), dtype=np.int64)
+                if sides:
+                    bucket, cell, keys, of, flag = _in_cells(bucket, keys, of, flag, sides)
+                order = np.lexsort((cell, bucket)) if sides else np.argsort(bucket, kind="stable")
+                bucket, cell = bucket[order], cell[order]
+                new = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(cell) != 0)) + 1
+                head = np.concatenate([[0], new])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(b[0]) for b in out[0]], pa.int32())]
-                    + [pa.array([pack(x) for x in xs], pa.binary()) for xs in out[1:]],
-                    names=["bucket", "keys", "fps", "probe"])
+                    [pa.array(bucket[head], pa.int64()), pa.array(cell[head], pa.int64())]
+                    + [pa.array([pack(y) for y in np.split(x[order], new)], pa.binary())
+                       for x in (keys, of, flag)],
+                    names=["bucket", "cell", "keys", "fps", "probe"])
     return run
 
 
@@ -241,10 +288,14 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, bucket_rows: int = 1 <<
     parts = plan_parts(sample.to_numpy(dtype=np.int64).view(np.uint64), n, max_bits)
     rows = n * sum(1 + len(ball(len(p.bits), p.radius)) for p in parts if p.radius >= 0)
     buckets = max(shuffle_partitions(spark), -(-rows // bucket_rows))
-    packed = (fps.select("fp").repartition(shuffle_partitions(spark))
-              .mapInArrow(_entries(parts, buckets),
-                          "bucket int, keys binary, fps binary, probe binary"))
-    return packed.groupBy("bucket").applyInArrow(_forest(max_bits), "a long, b long")
+    spread = fps.select("fp").repartition(shuffle_partitions(spark))
+    sizes = spread.mapInArrow(_bucket_sizes(parts, buckets), "bucket long, n long")
+    # fewer than half the buckets can hold over twice the mean
+    wide = sizes.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > 2 * bucket_rows)
+    sides = {r["bucket"]: -(-r["n"] // bucket_rows) for r in wide.collect()}
+    packed = spread.mapInArrow(_entries(parts, buckets, sides),
+                               "bucket long, cell long, keys binary, fps binary, probe binary")
+    return packed.groupBy("bucket", "cell").applyInArrow(_forest(max_bits), "a long, b long")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
