@@ -2,7 +2,7 @@
 
 Document frequencies cover every training document; the weights are fitted on a
 bounded sample (``max_sample`` documents in all, shared equally by the languages,
-chosen by a hash of the id) with follow-the-regularised-leader and elastic-net
+chosen by a hash of the id and the text) with follow-the-regularised-leader and elastic-net
 penalties; a temperature is then fitted on a quarter of the sample that the
 weights never saw.  Prediction reads whole texts.
 
@@ -138,10 +138,10 @@ def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: s
     """Fit on the rows where ``train_on`` holds, text and language are given."""
     rows = (docs.where(train_on).where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
             .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
-                    F.xxhash64(F.col(id_col).cast("string")).alias("h")))
-    langs = [r["lang"] for r in rows.groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    langs.sort()
+                    F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h")))
+    size = {r["lang"]: r["count"] for r in rows.groupBy("lang").count()
+            .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    langs = sorted(size)
     if not langs:
         return Model((), np.zeros(DIMS), np.zeros((DIMS + 1, 0)), 1.0)
     freq = {r["dim"]: r["df"] for r in rows.select("text")
@@ -151,7 +151,13 @@ def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: s
     idf = np.log((1.0 + freq[-1]) / (1.0 + df)) + 1.0
 
     each = max(2, max_sample // len(langs))
-    known = rows.where(F.col("lang").isin(langs))
+    # hashes are uniform, so four times the share wanted holds the lowest ``each`` of them,
+    # and the window gets about 4 * each rows of a language however many it has
+    near = F.lit(False)
+    for lang, n in size.items():                         # at most MAX_LANGS literals
+        top = (1 << 63) - 1 if n <= 4 * each else -(1 << 63) + 4 * each * (1 << 64) // n
+        near = near | ((F.col("lang") == lang) & (F.col("h") <= F.lit(top)))
+    known = rows.where(near)
     order = Window.partitionBy("lang").orderBy("h")
     last = (known.select("lang", "h").withColumn("rn", F.row_number().over(order))
             .where(F.col("rn") <= each).groupBy("lang").agg(F.max("h").alias("last")).collect())
