@@ -1,3 +1,6 @@
+import random
+import string
+
 import duckdb
 import pytest
 
@@ -27,3 +30,21 @@ def test_the_statements_have_something_to_find(duck):
     assert set(found["op4_urls"]["verdict"]) == {"allow", "block"}
     assert found["op4_urls"]["template"].str.contains("*", regex=False).any()
     assert (found["op8_secrets"][["n_assign", "n_hex"]].sum() > 0).all()
+
+
+def test_added_secret_spans_match_sql(spark, tmp_path):
+    rng, letters = random.Random(5), string.ascii_letters
+    code = lambda n: "".join(rng.choices(letters + string.digits, k=n))
+    word = lambda: "_".join(rng.choices("harbour crane signal gauge repair quay pilot".split(), k=5))
+    texts = [f"é token={code(32)} and {word()}" for _ in range(120)]
+    texts += [f"bare {code(28)} beside {word()} {code(24)}" for _ in range(20)] + ["", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = QUERIES["op8_secrets"](spark, str(tmp_path)).toPandas()
+    assert _rows(got) == _rows(con.execute(ORACLE["op8_secrets"]).df())
+    added = got.sort_values("doc_id")["spans"].str.count("random:").tolist()
+    assert added[:120] == [0] * 120 and added[140:] == [0, 0]
+    # two codes a text; most run through steps that no identifier starts and stay below the ratio
+    assert sum(added) > 0 and max(added) <= 2
