@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 import numpy as np
 import xxhash
@@ -135,6 +137,32 @@ def test_secret_spans(spark, odd_docs):
     assert a > b
 
 
+def test_bare_codes_are_found_and_cut(spark):
+    rng = random.Random(5)
+    codes = ["".join(rng.choices(a, k=n)) for a in (
+        string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
+        string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits)
+        for n in (20, 32, 64) for _ in range(5)]
+    plain = ["thentionerandingather", "harbour_crane_signal_gauge_repair", "-" * 40, "=" * 25,
+             "NullPointerExceptionHandlerFactory", "internationalization/localization"]
+    docs = load(spark, BIG, "documents").select("doc_id", "text")
+    new = spark.createDataFrame([(-i, f"the code {c} was here") for i, c in enumerate(codes + plain, 1)],
+                                docs.schema)
+    found = secret_scan.scan(docs.unionByName(new))
+    added = secret_scan.only(F.col("spans"), "random")
+    got = {r["doc_id"]: r for r in found.where("doc_id < 0").select(
+        "doc_id", F.transform("spans", lambda s: s["match"]).alias("m"),
+        secret_scan.redact(F.col("text"), F.col("spans")).alias("cut")).collect()}
+    hit = [c for i, c in enumerate(codes, 1) if got[-i]["cut"] == "the code [SECRET] was here"]
+    assert len(hit) >= 0.95 * len(codes)
+    assert [got[-i]["m"] for i in range(len(codes) + 1, len(got) + 1)] == [[]] * len(plain)
+    assert found.where("doc_id >= 0").where(F.size(added) > 0).count() == 0
+    model = secret_scan.train(docs.unionByName(new))          # the statement's models find hardly any
+    old = new.where(F.col("doc_id") >= -len(codes)).where(
+        secret_scan.log_ratio(F.split("text", " ")[2], model) >= secret_scan.MIN_RATIO)
+    assert old.count() < 0.1 * len(codes)
+
+
 def test_mixing_rates(spark, odd_docs, no_docs):
     docs = load(spark, BIG, "documents").withColumn("source", F.when(
         F.col("doc_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("doc_id") % 2)))

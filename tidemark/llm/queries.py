@@ -56,7 +56,7 @@ def q_op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secret_scan.scan(docs)
+    found = secret_scan.scan(docs, stated=True)
     count = {k: F.size(secret_scan.only(F.col("spans"), k)).cast("long").alias(f"n_{k}")
              for k in ("assign", "access", "hex")}
     base = secret_scan.listed(secret_scan.only(F.col("spans"), "assign", "access", "hex"))
