@@ -106,6 +106,43 @@ def test_decontamination(spark, odd_docs):
     assert decontam.find_leaks(odd_docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+PASSAGE = ("The old harbour crane lifted 3 crates of oranges from the ship while the pilot watched the "
+           "weather and wrote a long report for the office about 3 more crates that were still waiting "
+           "under the roof of the northern warehouse until the evening train arrived with Carol and "
+           "her two brothers")
+
+
+def test_a_run_with_one_edited_slot_is_not_lost(spark):
+    bench = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    texts = [PASSAGE.replace("about 3 more", "about 4 more"),       # equal fillers made different
+             PASSAGE.replace("Carol", "3"),                         # not a slot of that type
+             PASSAGE.replace("lifted 3", "lifted 5").replace("Carol", "Dora"),
+             PASSAGE.split(" while")[0] + " yesterday"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontam.find_leaks(df, bench).collect()}
+    assert [got[i]["items"] for i in range(4)] == [[1], [1], [1], []]
+    cut = [texts[0][x["start"]:x["end"]] for x in got[0]["leaks"] if x["kind"] == "verbatim"]
+    assert any(c.startswith("The old harbour") and c.endswith("office about") for c in cut)
+    assert any(c.startswith("more crates") and c.endswith("two brothers") for c in cut)
+
+
+def test_stretches_against_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n, run = int(rng.integers(5, 40)), int(rng.integers(2, 6))
+        at = np.flatnonzero(rng.random(n) < 0.4)
+        item, doc = rng.integers(0, 4, len(at)), rng.integers(0, 4, len(at))
+        def fits(a, b, same):
+            k = (at >= a) & (at < b)
+            return np.array_equal(item[k], doc[k]) if same else decontam.consistent(item[k], doc[k])
+        def widest(least, same):
+            ok = {(a, b) for a in range(n) for b in range(a + least, n + 1) if fits(a, b, same)}
+            return {(a, b) for a, b in ok if (a - 1, b) not in ok and (a, b + 1) not in ok}
+        want = widest(run + 1, True) | widest(2 * run, False)
+        if not fits(0, n, False):
+            assert {x[:2] for x in decontam.stretches(item, doc, at, n, run)} == want
+
+
 def base(text):
     text, out = text or "", []
     for k, (p, ok) in enumerate((

@@ -7,7 +7,8 @@ diagonal form a run; a run counts if it covers ``min_run`` words (or the whole
 item, if that is shorter) and its slots are consistent: equal item fillers are
 equal in the document and different ones differ.  So a question asked again with
 other numbers or names is caught, and text that merely has a number at the same
-places is not.
+places is not.  An inconsistent run is searched for its maximal stretches: verbatim
+ones of more than ``min_run`` words count, and consistent ones of twice as many.
 
 The benchmark is read in blocks of at most ``block_words`` words; only one block's
 tables are broadcast at a time, whatever the benchmark's size.
@@ -21,8 +22,10 @@ are replaced.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -132,6 +135,31 @@ def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
     return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+def stretches(item: np.ndarray, doc: np.ndarray, at: np.ndarray, n: int,
+              min_run: int) -> Iterator[tuple[int, int, str]]:
+    """(start, end, kind) of what counts in an inconsistent run of n words with slots at ``at``."""
+    cuts = [-1, *at[item != doc].tolist(), n]
+    for a, b in pairwise(cuts):
+        if b - a - 1 > min_run:
+            yield a + 1, b, "verbatim"
+    there, back, pairs = {}, {}, Counter()
+    low = start = 0
+    fillers = list(zip(item.tolist(), doc.tolist(), at.tolist(), strict=True))
+    for k, (x, y, place) in enumerate([*fillers, (None, None, n)]):
+        clash = place == n or there.get(x, y) != y or back.get(y, x) != x
+        if clash and place - start >= 2 * min_run:
+            same = all(a == b for a, b, _ in fillers[low:k])
+            yield start, place, "verbatim" if same else "reparameterised"
+        while place < n and (there.get(x, y) != y or back.get(y, x) != x):
+            a, b, start = fillers[low]
+            low, start = low + 1, start + 1
+            pairs[a, b] -= 1
+            if not pairs[a, b]:
+                del there[a], back[b]
+        there[x], back[y] = y, x
+        pairs[x, y] += 1
+
+
 def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[int, list[tuple]]:
     """text number -> [(item id, kind, start, end)], offsets in code points."""
     buf, first = joined(run)
@@ -162,16 +190,19 @@ def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[
             if n < min(min_run, own):
                 continue
             i0, p0 = int(i[a]), int(p[a])
-            slot = block.kind[i0:i0 + n] > 0
+            slot = np.flatnonzero(block.kind[i0:i0 + n] > 0)
             mine, theirs = block.surface[i0:i0 + n][slot], w.surface[p0:p0 + n][slot]
-            if not consistent(mine, theirs):
-                continue
+            if consistent(mine, theirs):
+                same = np.array_equal(mine, theirs)
+                parts = [(0, n, "verbatim" if same else "reparameterised")]
+            else:
+                parts = stretches(mine, theirs, slot, n, min_run)
             t = int(w.text[p0])
             body = run[t]
-            s, e = int(w.start[p0] - first[t]), int(w.end[p0 + n - 1] - first[t])
-            s, e = len(body[:s].decode("utf-8", "ignore")), len(body[:e].decode("utf-8", "ignore"))
-            kind = "verbatim" if np.array_equal(mine, theirs) else "reparameterised"
-            found.setdefault(t, []).append((int(block.items[item[a]]), kind, s, e))
+            for x, y, kind in parts:
+                s, e = int(w.start[p0 + x] - first[t]), int(w.end[p0 + y - 1] - first[t])
+                s, e = len(body[:s].decode("utf-8", "ignore")), len(body[:e].decode("utf-8", "ignore"))
+                found.setdefault(t, []).append((int(block.items[item[a]]), kind, s, e))
     return {t: sorted(set(v)) for t, v in found.items()}
 
 
