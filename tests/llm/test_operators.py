@@ -126,6 +126,38 @@ def test_a_run_with_one_edited_slot_is_not_lost(spark):
     assert any(c.startswith("more crates") and c.endswith("two brothers") for c in cut)
 
 
+def plain_words(text):
+    joint = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "\0", text or "")
+    return re.sub(r"[^\w\0]|_", " ", joint).lower().split()
+
+
+def holds(words, item, width=13):
+    n = min(width, len(item))
+    mine = {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
+    return n > 0 and any(tuple(item[i:i + n]) in mine for i in range(len(item) - n + 1))
+
+
+def test_verbatim_passages_are_found_whatever_their_marks(spark):
+    items = {r["item_id"]: r["text"] for r in load(spark, SF, "benchmark").collect()}
+    items |= {-1: "Über die “Straße” fuhr — wie Élise sagte — Ångström im März. Später kam Zoë nach Köln "
+                  "und aß mit Öyvind im Gasthaus", -2: "Ask Bob. Then ask Carol"}
+    edits = [str, str.lower, str.upper, lambda t: re.sub(r"[.!?:;](?=\s|$)", "", t),
+             lambda t: re.sub(r"(?<=[a-z]) (?=[A-Z])", "\n", t), lambda t: t.replace(". ", "; "),
+             lambda t: "so they said " + t.replace("“", "'").replace("”", "'").replace("— ", "")]
+    clean = [r["text"] for r in load(spark, SF, "documents").orderBy("doc_id").limit(300).collect()]
+    some = [i for i in items if i < 12 or items[i].isupper()]
+    texts = [e(items[i]) for i in some for e in edits] + clean
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    words = {i: plain_words(t) for i, t in items.items()}
+    got = {r["doc_id"]: set(r["items"]) for r in decontam.find_leaks(df, bench).collect()}
+    for k, t in enumerate(texts):
+        w = plain_words(t)
+        want = {i for i, x in words.items() if holds(w, x)}
+        assert want <= got[k], (t, want - got[k])
+    assert all(some[k // len(edits)] in got[k] for k in range(len(some) * len(edits)))
+
+
 def test_stretches_against_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(200):

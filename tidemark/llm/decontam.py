@@ -10,18 +10,23 @@ other numbers or names is caught, and text that merely has a number at the same
 places is not.  An inconsistent run is searched for its maximal stretches: verbatim
 ones of more than ``min_run`` words count, and consistent ones of twice as many.
 
+The type of a word hangs on the punctuation before it, so windows of lower-cased words
+without types are joined too: a verbatim passage is found whatever its marks, line
+breaks or case.  Inside an inconsistent run it needs more than ``min_run`` words.
+
 The benchmark is read in blocks of at most ``block_words`` words; only one block's
 tables are broadcast at a time, whatever the benchmark's size.
 
 Defined cases: null or empty texts and items match nothing; an item with fewer
-words than a window is matched whole; windows of placeholders alone are not
-indexed; repeated items each count; repeated rows get equal results; an empty
+words than a window is matched whole; runs of placeholders alone do
+not count; repeated items each count; repeated rows get equal results; an empty
 benchmark leaves every document clean.  Columns named contaminated, items or leaks
 are replaced.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -66,14 +71,46 @@ class Words:
     template: np.ndarray   # surface hash, or the placeholder's
 
 
+def _code_points() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point below 2**16: its lower case of as many bytes, and if it is a mark."""
+    low, mark = np.arange(1 << 16), np.zeros(1 << 16, dtype=bool)
+    for c in range(128, 1 << 16):
+        if not 0xD800 <= c < 0xE000:
+            x = chr(c)
+            y = x.lower()
+            if len(y) == 1 and len(y.encode()) == len(x.encode()):
+                low[c] = ord(y)
+            mark[c] = unicodedata.category(x)[0] in "PZ"
+    return low, mark
+
+
+_LOW, _MARK = _code_points()
+
+
+def folded(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased bytes, and which bytes belong to words."""
+    out, inside = LOWER[buf], WORD[buf]
+    two = np.flatnonzero((buf >= 0xC2) & (buf < 0xE0))
+    code = ((buf[two] & 0x1F).astype(np.int64) << 6) | (buf[two + 1] & 0x3F)
+    out[two], out[two + 1] = 0xC0 | _LOW[code] >> 6, 0x80 | _LOW[code] & 0x3F
+    inside[two] = inside[two + 1] = ~_MARK[code]
+    three = np.flatnonzero((buf >= 0xE0) & (buf < 0xF0))
+    code = (((buf[three] & 0x0F).astype(np.int64) << 12) | ((buf[three + 1] & 0x3F).astype(np.int64) << 6)
+            | (buf[three + 2] & 0x3F))
+    out[three], out[three + 1] = 0xE0 | _LOW[code] >> 12, 0x80 | _LOW[code] >> 6 & 0x3F
+    out[three + 2] = 0x80 | _LOW[code] & 0x3F
+    inside[three] = inside[three + 1] = inside[three + 2] = ~_MARK[code]
+    return out, inside
+
+
 def words_of(buf: np.ndarray, first: np.ndarray) -> Words:
     """The typed words of joined texts."""
-    inside = WORD[buf]
+    lower, inside = folded(buf)
     point = np.flatnonzero((buf == 46) | (buf == 44))            # 3.5 and 1,000 are one word
     point = point[(point > 0) & (point < len(buf) - 1)]
     inside[point[DIGIT[buf[point - 1]] & DIGIT[buf[point + 1]]]] = True
     start, end = spans(inside)
-    surface = span_hashes(LOWER[buf], start, end)
+    surface = span_hashes(lower, start, end)
     kind = np.zeros(len(start), dtype=np.int8)
     digit = DIGIT[buf[start]]
     kind[digit] = NUMBER
@@ -92,41 +129,53 @@ def words_of(buf: np.ndarray, first: np.ndarray) -> Words:
     return Words(start, end, text, surface, kind, np.where(kind > 0, _SLOT[kind], surface))
 
 
+@dataclass
+class Windows:
+    """The sorted hashes of an item list's windows, by width."""
+    hashes: dict[int, np.ndarray]
+    at: dict[int, np.ndarray]    # word number of each window
+    sieve: dict[int, np.ndarray]
+
+
 @dataclass
 class Block:
-    """A part of the benchmark: its words and the sorted hashes of its windows."""
+    """A part of the benchmark: its words and windows."""
     items: np.ndarray            # item ids
     first: np.ndarray            # first word of each item, and one past the last
     surface: np.ndarray
     kind: np.ndarray
-    widths: tuple[int, ...]
-    hashes: dict[int, np.ndarray]
-    at: dict[int, np.ndarray]    # word number of each window
-    sieve: dict[int, np.ndarray]
+    typed: Windows               # of templates
+    plain: Windows               # of lower-cased words
 
 
-def make_block(items: list[tuple[int, str | None]], window: int = WINDOW) -> Block:
-    buf, first = joined([(t or "").encode("utf-8") for _, t in items])
-    w = words_of(buf, first)
-    bound = np.searchsorted(w.text, np.arange(len(items) + 1))
-    size = np.diff(bound)
-    hashes, at, sieve = {}, {}, {}
+def _index(value: np.ndarray, w: Words, size: np.ndarray, window: int, mixed: bool) -> Windows:
+    """Windows of ``value``; of a shorter item the whole; ``mixed``: none of slots alone."""
+    out = Windows({}, {}, {})
     for width in sorted({window, *(int(s) for s in size if 0 < s < window)}):
-        h = window_hashes(w.template, width)
+        h = window_hashes(value, width)
         i = np.arange(len(h))
         ok = w.text[i] == w.text[i + width - 1] if len(h) else np.zeros(0, dtype=bool)
         if width < window:
             ok &= size[w.text[i]] == width
-        slots = np.concatenate([[0], np.cumsum(w.kind > 0)])
-        ok &= slots[i + width] - slots[i] < width
+        if mixed or width < window:
+            slots = np.concatenate([[0], np.cumsum(w.kind > 0)])
+            ok &= slots[i + width] - slots[i] < width
         i = i[ok]
         i = i[np.argsort(h[i], kind="stable")]
         if len(i):
-            hashes[width], at[width] = h[i], i
-            sieve[width] = np.zeros(1 << 20, dtype=bool)
-            sieve[width][(h[i] >> np.uint64(44)).astype(np.int64)] = True
+            out.hashes[width], out.at[width] = h[i], i
+            out.sieve[width] = np.zeros(1 << 20, dtype=bool)
+            out.sieve[width][(h[i] >> np.uint64(44)).astype(np.int64)] = True
+    return out
+
+
+def make_block(items: list[tuple[int, str | None]], window: int = WINDOW) -> Block:
+    buf, first = joined([(t or "").encode("utf-8") for _, t in items])
+    w = words_of(buf, first)
+    bound = np.searchsorted(w.text, np.arange(len(items) + 1))
+    size = np.diff(bound)
     return Block(np.array([i for i, _ in items], dtype=np.int64), bound, w.surface, w.kind,
-                 tuple(hashes), hashes, at, sieve)
+                 _index(w.template, w, size, window, True), _index(w.surface, w, size, window, False))
 
 
 def consistent(item: np.ndarray, doc: np.ndarray) -> bool:
@@ -160,22 +209,20 @@ def stretches(item: np.ndarray, doc: np.ndarray, at: np.ndarray, n: int,
         pairs[x, y] += 1
 
 
-def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[int, list[tuple]]:
-    """text number -> [(item id, kind, start, end)], offsets in code points."""
-    buf, first = joined(run)
-    w = words_of(buf, first)
-    found: dict[int, list[tuple]] = {}
-    for width in block.widths:
-        h = window_hashes(w.template, width)
-        pos = np.flatnonzero(block.sieve[width][(h >> np.uint64(44)).astype(np.int64)])
+def _runs(value: np.ndarray, w: Words, windows: Windows, block: Block,
+          min_run: int) -> Iterator[tuple[int, int, int, int]]:
+    """(number of the item, its word, the text's word, length) of the runs on one diagonal."""
+    for width, keys in windows.hashes.items():
+        h = window_hashes(value, width)
+        pos = np.flatnonzero(windows.sieve[width][(h >> np.uint64(44)).astype(np.int64)])
         pos = pos[w.text[pos] == w.text[pos + width - 1]]
-        lo = np.searchsorted(block.hashes[width], h[pos], "left")
-        many = np.searchsorted(block.hashes[width], h[pos], "right") - lo
+        lo = np.searchsorted(keys, h[pos], "left")
+        many = np.searchsorted(keys, h[pos], "right") - lo
         pos, lo, many = pos[many > 0], lo[many > 0], many[many > 0]
         if not len(pos):
             continue
         step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        i = block.at[width][np.repeat(lo, many) + step]
+        i = windows.at[width][np.repeat(lo, many) + step]
         p = np.repeat(pos, many)
         item = np.searchsorted(block.first, i, "right") - 1
         order = np.lexsort((p, p - i, item, w.text[p]))
@@ -184,25 +231,48 @@ def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[
         new[1:] = ~((w.text[p][1:] == w.text[p][:-1]) & (item[1:] == item[:-1])
                     & (p[1:] == p[:-1] + 1) & (i[1:] == i[:-1] + 1))
         heads = np.flatnonzero(new)
-        for a, b in zip(heads, np.append(heads[1:], len(p)), strict=True):
-            n = int(b - a) + width - 1
-            own = int(block.first[item[a] + 1] - block.first[item[a]])
-            if n < min(min_run, own):
-                continue
-            i0, p0 = int(i[a]), int(p[a])
-            slot = np.flatnonzero(block.kind[i0:i0 + n] > 0)
-            mine, theirs = block.surface[i0:i0 + n][slot], w.surface[p0:p0 + n][slot]
-            if consistent(mine, theirs):
-                same = np.array_equal(mine, theirs)
-                parts = [(0, n, "verbatim" if same else "reparameterised")]
-            else:
-                parts = stretches(mine, theirs, slot, n, min_run)
-            t = int(w.text[p0])
-            body = run[t]
-            for x, y, kind in parts:
-                s, e = int(w.start[p0 + x] - first[t]), int(w.end[p0 + y - 1] - first[t])
-                s, e = len(body[:s].decode("utf-8", "ignore")), len(body[:e].decode("utf-8", "ignore"))
-                found.setdefault(t, []).append((int(block.items[item[a]]), kind, s, e))
+        n = np.diff(np.append(heads, len(p))) + width - 1
+        own = block.first[item[heads] + 1] - block.first[item[heads]]
+        long = n >= np.minimum(min_run, own)
+        heads, n = heads[long], n[long]
+        yield from zip(item[heads].tolist(), i[heads].tolist(), p[heads].tolist(), n.tolist(),
+                       strict=True)
+
+
+def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[int, list[tuple]]:
+    """text number -> [(item id, kind, start, end)], offsets in code points."""
+    buf, first = joined(run)
+    w = words_of(buf, first)
+    seen: dict[tuple[int, int], set[tuple]] = {}     # (text, item) -> (first word, end, kind)
+    clash: dict[tuple[int, int], list[tuple]] = {}   # inconsistent runs: (diagonal, first word, end)
+    for k, i0, p0, n in _runs(w.template, w, block.typed, block, min_run):
+        slot = np.flatnonzero(block.kind[i0:i0 + n] > 0)
+        mine, theirs = block.surface[i0:i0 + n][slot], w.surface[p0:p0 + n][slot]
+        if consistent(mine, theirs):
+            same = np.array_equal(mine, theirs)
+            parts = [(0, n, "verbatim" if same else "reparameterised")]
+        else:
+            parts = stretches(mine, theirs, slot, n, min_run)
+            clash.setdefault((int(w.text[p0]), k), []).append((p0 - i0, p0, p0 + n))
+        for x, y, kind in parts:
+            seen.setdefault((int(w.text[p0]), k), set()).add((p0 + x, p0 + y, kind))
+    for k, i0, p0, n in _runs(w.surface, w, block.plain, block, min_run):
+        t = int(w.text[p0])
+        whole = n == block.first[k + 1] - block.first[k]
+        if (block.kind[i0:i0 + n] > 0).all() or (n == min_run and not whole and any(
+                d == p0 - i0 and a <= p0 and p0 + n <= b for d, a, b in clash.get((t, k), ()))):
+            continue
+        parts = seen.setdefault((t, k), set())
+        if not any(a <= p0 and p0 + n <= b for a, b, _ in parts):
+            parts -= {x for x in parts if x[2] == "verbatim" and p0 <= x[0] and x[1] <= p0 + n}
+            parts.add((p0, p0 + n, "verbatim"))
+    found: dict[int, list[tuple]] = {}
+    for (t, k), parts in seen.items():
+        body = run[t]
+        for a, b, kind in parts:
+            s, e = int(w.start[a] - first[t]), int(w.end[b - 1] - first[t])
+            s, e = len(body[:s].decode("utf-8", "ignore")), len(body[:e].decode("utf-8", "ignore"))
+            found.setdefault(t, []).append((int(block.items[k]), kind, s, e))
     return {t: sorted(set(v)) for t, v in found.items()}
 
 
