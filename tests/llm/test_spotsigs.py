@@ -73,6 +73,16 @@ def test_near_duplicates_lose_no_pair(spark):
     assert got == want
 
 
+def test_near_duplicates_of_shared_and_null_ids(spark):
+    one = " ".join(f"the {w}ing {w}s" for w in "crane harbour signal gauge quay pilot train roof ship".split())
+    two = " ".join(f"the {w}er {w}ed" for w in "walk paint climb build farm mine sort plan print".split())
+    rows = [(1, one), (1, two), (2, one + " the last word"), (3, two + " the last word"),
+            (None, one + " the other end"), (4, None), (5, "")]
+    got = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), threshold=0.8)
+    assert sorted(((r["a"], r["b"]) for r in got.collect()), key=str) == sorted(
+        [(1, 2), (1, 3), (1, None), (2, None)], key=str)
+
+
 def test_range_bucket(spark):
     df = spark.range(1000).selectExpr("id * id as v")
     bounds = range_bounds(df, "v", 10)

@@ -102,26 +102,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: float = 0.8) -> DataFrame:
     """Pairs (a, b, likeness >= threshold) of the smallest ids of distinct signature sets.
 
-    Equal sets are one class, so copies are never paired with each other."""
+    Equal sets are one class, so copies are never paired with each other.  Sets are known
+    by a hash of theirs: an id may hold several sets, and a set with null ids only has a
+    null in its pairs.  Texts without a word are one class of their own, like no other."""
     sets = (docs.select(F.col(id_col).alias("doc_id"), signatures(F.coalesce(
         F.col(text_col), F.lit(""))).alias("sigs"))
         .where(F.size("sigs") > 0).groupBy("sigs").agg(F.min("doc_id").alias("doc_id"))
-        .withColumn("n", F.size("sigs")))
+        .withColumn("n", F.size("sigs")).withColumn("key", F.sha2(as_string(F.col("sigs")).cast("binary"), 256)))
     # length partitions: bounds grow by 1 / threshold, so partners are at most one apart
     part = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9)
     df = sets.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
-    ranked = (sets.select("doc_id", "n", F.explode("sigs").alias("sig")).join(df, "sig")
+    ranked = (sets.select("key", "n", F.explode("sigs").alias("sig")).join(df, "sig")
               .withColumn("rank", F.row_number().over(
-                  Window.partitionBy("doc_id").orderBy("df", "sig"))))
+                  Window.partitionBy("key").orderBy("df", "sig"))))
     prefix = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-    prefix = prefix.select("doc_id", "n", "sig", part.alias("part"))
-    probe = prefix.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), "sig",
+    prefix = prefix.select("key", "n", "sig", part.alias("part"))
+    probe = prefix.select(F.col("key").alias("kb"), F.col("n").alias("nb"), "sig",
                           F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
-    cand = (prefix.withColumnRenamed("doc_id", "a").join(probe, ["sig", "part"])
-            .where((F.col("a") != F.col("b")) & (F.col("nb") >= F.col("n") * threshold - 1e-9)
+    cand = (prefix.withColumnRenamed("key", "ka").join(probe, ["sig", "part"])
+            .where((F.col("ka") != F.col("kb")) & (F.col("nb") >= F.col("n") * threshold - 1e-9)
                    & (F.col("n") >= F.col("nb") * threshold - 1e-9))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    own = sets.select(F.col("doc_id"), "sigs")
-    return (cand.join(own.toDF("a", "sa"), "a").join(own.toDF("b", "sb"), "b")
+            .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb")).distinct())
+    own = sets.select("key", "doc_id", "sigs")
+    by_id = F.array_sort(F.array("ia", "ib"))           # a null comes last
+    return (cand.join(own.toDF("ka", "ia", "sa"), "ka").join(own.toDF("kb", "ib", "sb"), "kb")
             .withColumn("likeness", likeness(F.col("sa"), F.col("sb")))
-            .where(F.col("likeness") >= threshold).select("a", "b", "likeness"))
+            .where(F.col("likeness") >= threshold)
+            .select(by_id[0].alias("a"), by_id[1].alias("b"), "likeness"))
