@@ -192,10 +192,87 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN per_doc USING (doc_id)
 """
 
+#: Rows of five words at equal distances instead of an automaton; the echo as the contract edits it.
+OP11 = r"""
+WITH crc AS (SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+docs AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+      string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]))) AS h FROM documents, crc),
+keyed AS (SELECT *, len(w) AS n, h // 10 AS g,
+    CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM docs),
+cut AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM keyed),
+texts AS (SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n),
+    lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM cut),
+words AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM texts),
+rows5 AS (SELECT doc_id, i, concat_ws(' ', w, lead(w) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o,
+    lead(w, 4) OVER o) AS r, lead(i, 4) OVER o AS whole
+  FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS p FROM rows5 x JOIN rows5 y
+    ON x.doc_id = y.doc_id AND x.r = y.r AND x.i < y.i
+  WHERE x.whole IS NOT NULL AND y.whole IS NOT NULL),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM pairs),
+held AS (SELECT doc_id, p, min(i) AS s, count(*) + 4 + p AS l FROM islands
+  GROUP BY doc_id, p, island HAVING count(*) + 4 + p >= greatest(6, 4 * p)),
+runs AS (SELECT doc_id, s, l, min(p) AS p FROM held GROUP BY doc_id, s, l),
+listed AS (SELECT doc_id, count(*) AS n, string_agg(s || ',' || l || ',' || p || chr(10), ''
+    ORDER BY s, p) AS t FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id
+    ORDER BY CAST(l AS DOUBLE) / p DESC, s, p) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + p, s + l)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone
+    USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(l.n, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start,
+  CAST(b.l AS BIGINT) AS length, CAST(b.p AS BIGINT) AS period,
+  CAST(1000 * b.l // b.p AS BIGINT) AS exponent_milli, sha256(coalesce(l.t, '')) AS runs_sha256,
+  sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id)
+  LEFT JOIN kept k USING (doc_id)
+"""
+
+
+def _op13(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain Lloyd rounds in one statement: distances from the numbers themselves."""
+    steps = [f"""
+kept AS (SELECT vec_id, label, list_transform(embedding,
+    lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding,
+    lambda x: coalesce(NOT isfinite(x), true))) = 0),
+cut AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // {parts} + 1
+    :(part + 1) * len(v) // {parts}] AS s
+  FROM (SELECT *, unnest(range({parts})) AS part FROM kept)),
+book0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, s AS c
+  FROM cut QUALIFY entry < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (SELECT vec_id, label, part, s, min(struct_pack(d := CAST(list_sum(
+    list_transform(list_zip(s, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT),
+    e := entry)) AS best
+  FROM cut JOIN book{r} USING (part) GROUP BY vec_id, label, part, s),
+book{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m, c) AS c FROM book{r}
+  LEFT JOIN (SELECT part, entry, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m
+    FROM (SELECT part, best.e AS entry, i, count(*) AS n, sum(s[i]) AS t
+      FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM near{r}) GROUP BY ALL)
+    GROUP BY part, entry) USING (part, entry))""")
+    steps.append(f"""
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code,
+    CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id, label),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS h
+  FROM book{rounds})""")
+    return ("WITH" + ",".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  h AS codebooks_sha256 FROM coded, books""")
+
+
 ORACLE: dict[str, str] = {
     "op1_suffix_dedup": OP1,
     "op2_mixing": OP2,
     "op3_lm_scores": OP3,
     "op4_urls": OP4,
     "op8_secrets": OP8,
+    "op11_word_runs": OP11,
+    "op13_vector_codes": _op13(),
 }
