@@ -168,3 +168,31 @@ def test_shared_mark_skips_rows_per_table_marks_read_them(spark, customers, case
         m = run_ingest(spark, _specs(early_customers.unionByName(late), cases), lake, st, ev,
                        shared=shared)
         assert m.table("customers").delta_row_count == expected, shared
+
+
+@pytest.mark.parametrize("left", ["_temporary/0/x", "date=2024-01-02/_temporary/x", "date=2024-01-02/.part-0.crc"])
+def test_a_failed_first_write_can_be_repeated(spark, cases, tmp_path, left):
+    lake, st, ev = _dirs(tmp_path)
+
+    def dies(*args, **kw):
+        path = tmp_path / "lake" / "cases" / left
+        path.parent.mkdir(parents=True)
+        path.write_text("half a line")
+        raise RuntimeError("disk full")
+
+    spec = [TableSpec("cases", "case_id", "updated_at", cases)]
+    with pytest.raises(RuntimeError):
+        run_ingest(spark, spec, lake, st, ev, writer=dies)
+    m = run_ingest(spark, spec, lake, st, ev)
+    assert m.table("cases").delta_row_count == 5
+    assert _lake_rows(spark, lake, "cases", cases.schema).count() == 5
+
+
+def test_merge_keeps_files_of_other_writers(spark, cases, tmp_path):
+    """A lake whose files another program named is merged, not taken for empty."""
+    lake, st, ev = _dirs(tmp_path)
+    d = tmp_path / "lake" / "cases" / "date=2024-01-02"
+    d.mkdir(parents=True)
+    (d / "data.jsonl").write_text('{"case_id": 77, "title": "old", "updated_at": "2024-01-02T00:00:00+00:00"}\n')
+    run_ingest(spark, [TableSpec("cases", "case_id", "updated_at", cases)], lake, st, ev)
+    assert _lake_rows(spark, lake, "cases", cases.schema).where("case_id = 77").count() == 1

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import apply_change_set, dense_ids
+from tidemark.operators.changes import RepeatedKeys, apply_change_set, dense_ids, merge_updates
 from tidemark.operators.quality import (domain_violations, duplicate_keys, null_counts,
                                         orphans)
 from tidemark.operators.versions import latest_version
@@ -42,6 +42,30 @@ def test_apply_change_set(spark):
         (6, "n0", "open", "insert"), (7, "n1", "open", "insert")]
 
 
+def test_updates_change_the_given_columns_only(spark):
+    target = spark.createDataFrame([(1, "Ann", "a@x", "NO"), (2, "Bo", None, "SE"), (None, "Cy", "c@x", "FI")],
+                                   "id long, name string, email string, country string")
+    updates = spark.createDataFrame([(1, "new@x"), (7, "no@x"), (None, "null@x")], "id long, email string")
+    out = {r.name: r for r in merge_updates(target, updates, "id").collect()}
+    assert tuple(out["Ann"]) == (1, "Ann", "new@x", "NO", True)
+    assert tuple(out["Bo"]) == (2, "Bo", None, "SE", False)
+    assert tuple(out["Cy"]) == (None, "Cy", "c@x", "FI", False) and len(out) == 3
+    masked = spark.createDataFrame([(1, None, "DK", ["email"]), (2, "b@x", "DK", None)],
+                                   "id long, email string, country string, given array<string>")
+    out = {r.id: r for r in merge_updates(target, masked, "id", "given").collect()}
+    assert (out[1].email, out[1].country) == (None, "NO")           # NULL given, country not
+    assert (out[2].email, out[2].country) == ("b@x", "DK")
+    flagged = apply_change_set(target, updates, target.limit(0).drop("id"), "id", ["name"])
+    assert {r.name: r.change for r in flagged.collect()} == {"Ann": "update", "Bo": "keep", "Cy": "keep"}
+    twice = updates.unionByName(spark.createDataFrame([(1, "other@x")], "id long, email string"))
+    with pytest.raises(RepeatedKeys):
+        merge_updates(target, twice, "id")
+    with pytest.raises(ValueError):
+        merge_updates(target, updates.withColumnRenamed("email", "mail"), "id")
+    both = target.unionByName(target)                               # a target key twice: both rows
+    assert merge_updates(both, updates, "id").where("_updated").count() == 2
+
+
 def test_latest_version_hot_key(spark):
     # one key holds most rows; the partial aggregate keeps one per task
     df = spark.range(0, 5000).select(

@@ -1,10 +1,12 @@
-import pytest
+import random
 
-from conftest import SEARCH_CASES, golden
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.index import build_index, write_index
-from tidemark.operators.search import search, search_one, validate_requests
+from tests.corpora import SEARCH_CASES, golden
+from tidemark.operators.index import RepeatedIds, build_index, write_index
+from tidemark.operators.search import (bounded_pairs, query_rows, search, search_one,
+                                       validate_requests)
 
 QUERY = "harbour storm"
 GOLDEN = golden(SEARCH_CASES, QUERY, 10)
@@ -151,3 +153,67 @@ def test_batch_default_k(spark, search_cases):
     assert _pairs(got) == GOLDEN[:2]
     with pytest.raises(ValueError):
         search(idx, q, k_col=None, default_k=0)
+
+
+def _both(index, q, **kw):
+    rows = [search(index, q, bounded=b, **kw).orderBy("query_id", "rank").collect() for b in (False, True)]
+    assert [tuple(r) for r in rows[0]] == [tuple(r) for r in rows[1]]
+    return rows[0]
+
+
+def _corpus(spark, n=1500, seed=3):
+    """Texts of a few hot words each and some of many rare ones; junk, copies for ties."""
+    rng = random.Random(seed)
+    hot = lambda: f"hot{rng.randrange(12)}"
+    rare = lambda: f"rare{rng.randrange(600)}"
+    texts = [" ".join([hot() for _ in range(rng.randint(8, 30))] + [rare() for _ in range(rng.randint(0, 4))])
+             for _ in range(n)]
+    texts += texts[:50] + ["", "hot1", "hot1 hot1 hot1", "rare1 " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = [(i, " ".join([hot() for _ in range(rng.randint(1, 6))] + [rare() for _ in range(rng.randint(0, 2))]),
+              rng.choice([1, 3, 5, 100])) for i in range(80)]
+    asked += [(900, "xyzzy", 5), (901, " ", 5), (902, "hot1", 100), (903, "rare1 rare1", 2)]
+    return docs, spark.createDataFrame(asked, "query_id long, query string, top_k int")
+
+
+@pytest.mark.parametrize("share", [0.05, 1.0])
+def test_bounded_search_gives_the_same_rows_from_fewer_pairs(spark, tmp_path, monkeypatch, share):
+    monkeypatch.setattr("tidemark.operators.search.MAX_ESSENTIAL", share)
+    docs, q = _corpus(spark)
+    idx = write_index(build_index(docs), str(tmp_path / "idx"), buckets=3)
+    rows = _both(idx, q)
+    assert {r.query_id for r in rows} >= {0, 902, 903} and not [r for r in rows if r.query_id == 900]
+    _both(idx, q, broadcast_rows=0)                      # nothing broadcast: hot dimensions shuffled
+    _both(idx, q.select("query_id", "query"), k_col=None, default_k=7)
+    req = q.where("top_k <= 5 and query like '%rare%'").withColumn("_k", F.col("top_k"))
+    vectors = query_rows(req, "query", "query_id").checkpoint()
+    found = bounded_pairs(idx, vectors, vectors.count(), req.count(), "query_id", 100_000)
+    if share < 1:
+        return
+    every = vectors.join(idx.postings, "dim").select("query_id", "doc_id").distinct().count()
+    assert 0 < found[1].count() < every / 3, (found[1].count(), every)
+
+
+def test_completion_meets_the_vectors_without_an_exchange(spark, tmp_path):
+    docs, q = _corpus(spark)
+    idx = write_index(build_index(docs), str(tmp_path / "idx"), buckets=3)
+    plan = search(idx, q, bounded=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(doc_id" not in plan and "WindowGroupLimit" in plan
+    with pytest.raises(ValueError):
+        search(build_index(docs), q, bounded=True)
+
+
+def test_repeated_ids(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "harbour crane"), (1, "harbour storm"), (2, "storm lamp"), (3, "quay"),
+                                  (None, "storm"), (None, "gale")], "doc_id long, text string")
+    kept = docs.where("text not in ('harbour crane', 'gale')")
+    q = spark.createDataFrame([(1, "harbour storm gale")], "query_id long, query string")
+    for repeated in (build_index(docs), write_index(build_index(docs), str(tmp_path / "idx"))):
+        got = search(repeated, q, k_col=None).orderBy("rank").collect()
+        want = search(build_index(kept, repeated="trusted"), q, k_col=None).orderBy("rank").collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in want] and max(r.score for r in got) <= 1
+        assert repeated.n_docs.first().n == 4
+    with pytest.raises(RepeatedIds):
+        build_index(docs, repeated="error")
+    with pytest.raises(ValueError):
+        build_index(docs, repeated="any")

@@ -39,6 +39,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import DIM, concat_text, term_vectors, vector_norm
 
+NORM_CLASSES = 32
+
+
 @dataclass
 class TextIndex:
     """The tables of one index.  All lazily defined unless read from disk."""
@@ -53,7 +56,13 @@ class TextIndex:
     versions: DataFrame | None = None   # all-versions mode: id, version order, payload
     id_name: str = "doc_id"             # the source id column; results use this name
     payload_rows: DataFrame | None = None  # doc_id + payload only (joined to results)
-    source: DataFrame | None = None     # versioned builds: the latest-version rows
+    source: DataFrame | None = None     # latest-version rows, where ids may repeat
+    vectors: DataFrame | None = None    # written indexes: doc_id, norm, dims, ws by document
+    dim_stats: DataFrame | None = None  # written indexes: dim, cls, df, top (greatest unit weight)
+
+
+class RepeatedIds(ValueError):
+    """Documents share an id and the build was told to refuse that."""
 
 
 def _parallel_input(df: DataFrame, key: str) -> DataFrame:
@@ -124,6 +133,16 @@ def weigh(terms: DataFrame, idf: DataFrame, keep: list[str]) -> DataFrame:
     return weighted.select(*keep, "terms", vector_norm("terms", "w").alias("norm"))
 
 
+def norm_class(norm: str) -> Column:
+    """Documents of like norm: half a power of two apart, NORM_CLASSES at most.
+
+    A unit weight is tf * idf / norm, so its greatest value in a class says much more of a
+    long text than the greatest of all, which belongs to some text of one word.
+    """
+    return F.least(F.greatest(F.floor(2 * F.log2(F.greatest(F.col(norm), F.lit(1.0)))), F.lit(0)),
+                   F.lit(NORM_CLASSES - 1)).cast("int")
+
+
 def to_postings(weighted: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return (explode_terms(weighted.select(F.col(id_col).alias("doc_id"), "norm", "terms"),
                           ["doc_id", "norm"])
@@ -136,7 +155,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id",
                 payload_cols: tuple[str, ...] | list[str] = (),
                 version_col: str | None = None,
                 versions: str = "latest",
-                spread: bool = True) -> TextIndex:
+                spread: bool = True, repeated: str = "last") -> TextIndex:
     """Define the index over a documents DataFrame (lazy).
 
     ``versions``:
@@ -145,13 +164,21 @@ def build_index(docs: DataFrame, id_col: str = "doc_id",
       * ``"all"``: reproduce the in-memory service exactly: N counts every
         row, each id is indexed with its last version's text, and search
         lists every version row with its id's score.
+
+    ``repeated`` says what ids that occur more than once mean without a version
+    column: ``"last"`` (default) keeps the row whose text, then payload, is greatest
+    (rows of a table have no order of their own; name a ``version_col`` to choose),
+    ``"error"`` raises :class:`RepeatedIds`, ``"trusted"`` skips the check of the ids,
+    one aggregate over the id column alone.  Null ids count as one id.
     """
+    if repeated not in ("last", "error", "trusted"):
+        raise ValueError(f"unknown way to treat repeated ids {repeated!r}")
     payload = list(payload_cols)
     src = docs.select(F.col(id_col).alias("doc_id"),
                       concat_text(*text_cols).alias("_text"),
                       *([F.col(version_col).alias("_ver")] if version_col else []),
                       *payload)
-    version_rows = None
+    version_rows = latest = None
     if version_col:
         from tidemark.operators.versions import latest_version
         latest = latest_version(src, "doc_id", ["_ver"])
@@ -162,20 +189,29 @@ def build_index(docs: DataFrame, id_col: str = "doc_id",
             n_docs = corpus_size(latest)
         src = latest
     else:
+        if repeated != "trusted" and _repeats(docs, id_col):
+            if repeated == "error":
+                raise RepeatedIds(f"column {id_col!r} holds an id more than once")
+            from tidemark.operators.versions import latest_version
+            latest = src = latest_version(src, "doc_id", ["_text"])
         n_docs = corpus_size(src)
     if spread:
         src = _parallel_input(src, "doc_id")
     terms = term_vectors(src, "_text", ["doc_id"])
     idx = _assemble(terms, n_docs, src.select("doc_id", *payload), payload, version_rows)
     idx.id_name = id_col
-    if version_col:
-        idx.source = latest
+    idx.source = latest
     return idx
 
 
+def _repeats(docs: DataFrame, id_col: str) -> bool:
+    return not docs.groupBy(id_col).count().where("count > 1").limit(1).isEmpty()
+
+
 def _assemble(terms: DataFrame, n_docs: DataFrame, doc_rows: DataFrame,
-              payload: list[str], version_rows: DataFrame | None) -> TextIndex:
-    dfreq = document_frequencies(terms)
+              payload: list[str], version_rows: DataFrame | None,
+              doc_freq: DataFrame | None = None) -> TextIndex:
+    dfreq = document_frequencies(terms) if doc_freq is None else doc_freq
     idf = idf_table(dfreq, n_docs)
     weighted = weigh(terms, idf, ["doc_id"])
     postings = to_postings(weighted)
@@ -237,10 +273,12 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
     1. term vectors are written once (the expensive tokenise + hash pass);
     2. df is re-derived from that table (a tiny aggregate) and written;
     3. the per-document term arrays are hash-partitioned on ``doc_id``
-       (the one shuffle of the build, on the compact array form), weights
-       are computed in-row and the postings are written as a table
-       *bucketed* by ``doc_id`` and sorted by ``(dim, doc_id)``: one file
-       per bucket, no further shuffle.
+       (a shuffle of the compact array form), weights are computed in-row
+       and the postings are written as a table *bucketed* by ``doc_id`` and
+       sorted by ``(dim, doc_id)``: one file per bucket, no further shuffle;
+    4. the weighted arrays themselves are written with the same buckets, and
+       the greatest unit weight of every dimension and norm class beside its df:
+       with them a batch search leaves out documents that cannot reach a top k.
 
     Bucketing lets every search sum scores per (query, doc) without an
     exchange (a document's postings are all in one bucket), and the sort
@@ -278,11 +316,20 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
     n_buckets = buckets or max(cores, -(-_dir_bytes(spark, f"{path}/terms") // bucket_bytes))
     name = _table_name(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (to_postings(weigh(terms.repartition(n_buckets, "doc_id"), idf, ["doc_id"]))
+    weighted = weigh(terms.repartition(n_buckets, "doc_id"), idf, ["doc_id"])
+    (to_postings(weighted)
      .write.mode("overwrite").option("parquet.block.size", row_group_bytes)
      .option("path", f"{path}/postings")
      .bucketBy(n_buckets, "doc_id").sortBy("dim", "doc_id")
      .saveAsTable(name))
+    vectors = f"{name}_vectors"
+    spark.sql(f"DROP TABLE IF EXISTS {vectors}")
+    (weighted.select("doc_id", "norm", F.col("terms.dim").alias("dims"), F.col("terms.w").alias("ws"))
+     .write.mode("overwrite").option("path", f"{path}/vectors")
+     .bucketBy(n_buckets, "doc_id").sortBy("doc_id").saveAsTable(vectors))
+    (spark.table(name).groupBy("dim", norm_class("norm").alias("cls")).agg(
+        F.count(F.lit(1)).alias("df"), F.max(F.col("w") / F.col("norm")).alias("top"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/dim_stats"))   # DIM x classes at most
     spark.createDataFrame([(n_buckets, name, index.id_name)],
                           "buckets int, table string, id_name string").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")
@@ -302,6 +349,18 @@ def _postings_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.table(name)
 
 
+def _vectors_table(spark: SparkSession, path: str) -> DataFrame:
+    """The bucketed table of weighted arrays, registered from its folder if needed."""
+    meta = spark.read.json(f"{path}/meta").first()
+    name = f"{meta['table']}_vectors"
+    if not spark.catalog.tableExists(name):
+        id_type = spark.read.parquet(f"{path}/vectors").schema["doc_id"].dataType.simpleString()
+        spark.sql(f"""CREATE TABLE {name} (doc_id {id_type}, norm DOUBLE, dims ARRAY<INT>,
+                      ws ARRAY<DOUBLE>) USING parquet CLUSTERED BY (doc_id) SORTED BY (doc_id)
+                      INTO {int(meta["buckets"])} BUCKETS LOCATION '{path}/vectors'""")
+    return spark.table(name)
+
+
 def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
                has_versions: bool = False) -> TextIndex:
     path = current_build(spark, path.rstrip("/"))
@@ -318,4 +377,6 @@ def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
     return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs, idf=idf,
                      postings=_postings_table(spark, path),
                      docs=docs, payload=payload, versions=versions,
-                     id_name=meta["id_name"] or "doc_id", payload_rows=payload_rows)
+                     id_name=meta["id_name"] or "doc_id", payload_rows=payload_rows,
+                     vectors=_vectors_table(spark, path),
+                     dim_stats=spark.read.parquet(f"{path}/dim_stats"))

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import term_vectors, vector_norm
-from tidemark.operators.index import TextIndex, explode_terms
+from tidemark.operators.index import NORM_CLASSES, TextIndex, explode_terms, norm_class
+from tidemark.session import ensure_checkpoint_dir
 
 MAX_TOP_K = 100
 DEFAULT_TOP_K = 5
@@ -29,6 +30,10 @@ BROADCAST_QUERY_ROWS = 2_000_000
 # (a pathological query text is still answered exactly, by the join alone).
 MAX_LITERAL_DIMS = 1000
 SCORE_SCALE = 1e8                  # 8 places
+SLACK = 4e-8                       # more than rounding can move two scores against each other
+SEED_DOCS = 10                     # seeds hold about so many times k documents
+REST_SHARE = 0.5                   # of the floor that the cells left out may add up to
+MAX_ESSENTIAL = 0.05               # of a query's postings that are read before all are
 
 
 def _rank():
@@ -58,10 +63,14 @@ def validate_requests(requests: DataFrame, query_col: str = "query",
         "accepted", reason.isNull()).withColumn("reason", reason)
 
 
+def _unit_norm():
+    """A zero norm reads as 1."""
+    return F.coalesce(F.nullif(F.col("norm"), F.lit(0.0)), F.lit(1.0))
+
+
 def _unit_postings(postings: DataFrame) -> DataFrame:
-    """Postings with the weight of the normalised document (a zero norm reads as 1)."""
-    norm = F.coalesce(F.nullif(F.col("norm"), F.lit(0.0)), F.lit(1.0))
-    return postings.select("dim", "doc_id", (F.col("w") / norm).alias("w"))
+    """Postings with the weight of the normalised document."""
+    return postings.select("dim", "doc_id", (F.col("w") / _unit_norm()).alias("w"))
 
 
 def _unit_query(qv: DataFrame, id_col: str) -> DataFrame:
@@ -76,12 +85,137 @@ def _scores(matches: DataFrame, id_col: str) -> DataFrame:
     per pair."""
     dot = F.sum(F.col("qw") * F.col("w"))
     return matches.groupBy(id_col, "doc_id").agg(
-        (F.floor(dot * SCORE_SCALE + 0.5) / SCORE_SCALE).alias("score"))
+        _rounded(dot).alias("score"))
+
+
+def _rounded(dot):
+    return F.floor(dot * SCORE_SCALE + 0.5) / SCORE_SCALE
+
+
+def query_rows(requests: DataFrame, query_col: str, id_col: str) -> DataFrame:
+    """``(id, _k, dim, qw)``: the unit vectors of the requests."""
+    qv = query_vectors(requests.select(id_col, query_col), query_col, id_col)
+    return qv.join(requests.select(id_col, "_k"), id_col).select(
+        id_col, "_k", "dim", (F.col("qtf") / F.col("qnorm")).alias("qw"))
+
+
+def _small(df: DataFrame, rows: int, limit: int) -> DataFrame:
+    return F.broadcast(df) if 0 < rows <= limit else df
+
+
+def _complete(index: TextIndex, pairs: DataFrame, vectors: DataFrame, id_col: str,
+              small: bool) -> DataFrame:
+    """Exact dot products of (query, document) pairs from the documents' own vectors.
+
+    ``vectors`` has one row for each query: ``_q`` its (dim, qw).  Candidates that come
+    from the bucketed postings meet the vectors bucket by bucket, without an exchange.
+    """
+    # an array lookup in every step: the query's dimensions are few, the document's are read once
+    dot = F.aggregate("_q", F.lit(0.0).cast("double"), lambda s, e: s + e["qw"] * F.coalesce(
+        F.try_element_at("ws", F.nullif(F.array_position("dims", e["dim"]), F.lit(0)).cast("int")),
+        F.lit(0.0)))
+    return (pairs.join(index.vectors, "doc_id")
+            .join(F.broadcast(vectors) if small else vectors, id_col)
+            .select(id_col, "doc_id", (dot / _unit_norm()).alias("dot")))
+
+
+def bounded_pairs(index: TextIndex, rows: DataFrame, n_rows: int, n_queries: int, id_col: str,
+                  limit: int) -> tuple[DataFrame, DataFrame] | None:
+    """(query ids, pairs to be scored) of the queries that bounds serve; None if there are none.
+
+    A cell is a dimension within a class of documents of like norm; ``ub`` is what it can
+    add to a score of the query at most.
+
+    1. A query's cells of greatest bound, until they hold ``SEED_DOCS`` times k documents,
+       give partial scores; the k best documents of these are completed.  The least of
+       their k exact scores is a floor: the k-th best score is not below it.
+    2. In every class, cells are left out from the least bound on while their bounds add up to
+       less than ``REST_SHARE`` of the floor: a document that holds no other dimension cannot
+       reach the top k, so only the other (essential) cells are joined with the postings.
+    3. A pair stays if its partial score and the bounds left out can reach the floor.
+
+    Weights are not negative, so every bound holds exactly; ``SLACK`` covers the rounding of
+    scores, ties included.  Not served are queries with fewer than k seeds, which have no
+    floor, and those whose essential cells hold more than ``MAX_ESSENTIAL`` of their postings
+    (long texts of common words): adding up all of them costs less than completing many pairs.
+    """
+    stats = index.dim_stats                               # DIM x classes at most
+    bounds = rows.join(F.broadcast(stats), "dim").withColumn("ub", F.col("qw") * F.col("top"))
+    small_rows = 0 < n_rows * NORM_CLASSES <= limit
+    small = 0 < n_queries * max(MAX_TOP_K, NORM_CLASSES) <= limit
+
+    def near(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    unit = index.postings.withColumn("cls", norm_class("norm"))
+
+    def partial(cells: DataFrame) -> DataFrame:
+        cells = cells.select(id_col, "dim", "cls", "qw")
+        met = unit.join(F.broadcast(cells) if small_rows else cells, ["dim", "cls"])
+        return met.groupBy(id_col, "doc_id").agg(
+            F.sum(F.col("qw") * F.col("w") / _unit_norm()).alias("part"), F.first("cls").alias("cls"))
+
+    best = Window.partitionBy(id_col).orderBy(F.col("ub").desc(), "dim", "cls")
+    earlier = F.coalesce(F.sum("df").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    seeds = bounds.withColumn("_df", earlier).where(F.col("_df") < F.col("_k") * SEED_DOCS)
+    ks = rows.select(id_col, "_k").distinct()
+    order = Window.partitionBy(id_col).orderBy(F.col("part").desc(), "doc_id")
+    first = (partial(seeds).withColumn("_rn", F.row_number().over(order))
+             .where(F.col("_rn") <= MAX_TOP_K).join(near(ks), id_col)
+             .where(F.col("_rn") <= F.col("_k")).select(id_col, "doc_id"))
+    floors = (_complete(index, near(first), query_arrays(rows, id_col), id_col, small_rows)
+              .groupBy(id_col).agg(F.min("dot").alias("_floor"), F.count(F.lit(1)).alias("_n"))
+              .join(near(ks), id_col).where(F.col("_n") == F.col("_k"))
+              .select(id_col, (F.col("_floor") - SLACK).alias("_floor")))
+    least = Window.partitionBy(id_col, "cls").orderBy("ub", "dim")
+    cells = (bounds.join(near(floors), id_col).withColumn("_cum", F.sum("ub").over(least))
+             .withColumn("_essential", F.col("_cum") >= F.col("_floor") * REST_SHARE).checkpoint())
+    served = (cells.groupBy(id_col).agg(
+        F.sum(F.when(F.col("_essential"), F.col("df")).otherwise(F.lit(0))).alias("_some"),
+        F.sum("df").alias("_all")).where(F.col("_some") <= F.col("_all") * MAX_ESSENTIAL)
+        .select(id_col).checkpoint())
+    if served.isEmpty():
+        return None
+    cells = cells.join(near(served), id_col, "left_semi")
+    rest = cells.groupBy(id_col, "cls").agg(
+        F.max("_floor").alias("_floor"),
+        F.coalesce(F.max(F.when(~F.col("_essential"), F.col("_cum"))), F.lit(0.0)).alias("_rest"))
+    found = partial(cells.where("_essential")).join(near(rest), [id_col, "cls"]).where(
+        F.col("part") + F.col("_rest") >= F.col("_floor"))
+    return served, found.select(id_col, "doc_id")
+
+
+def query_arrays(rows: DataFrame, id_col: str) -> DataFrame:
+    return rows.groupBy(id_col).agg(F.collect_list(F.struct("dim", "qw")).alias("_q"))
+
+
+def _bounded_scores(index: TextIndex, requests: DataFrame, query_col: str, id_col: str,
+                    limit: int) -> DataFrame:
+    """(id, doc_id, score) of every pair that can be among a query's top k, exactly."""
+    ensure_checkpoint_dir(requests.sparkSession)
+    rows = query_rows(requests, query_col, id_col).checkpoint()
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("q")).first()
+    found = bounded_pairs(index, rows, size["n"], size["q"], id_col, limit)
+    if found is None:
+        return _all_scores(index, rows, size["n"], id_col, limit)
+    served, pairs = found
+    done = _complete(index, pairs, query_arrays(rows.join(served, id_col, "left_semi"), id_col), id_col,
+                     0 < size["n"] <= limit)
+    others = rows.join(served, id_col, "left_anti")
+    return done.select(id_col, "doc_id", _rounded(F.col("dot")).alias("score")).unionByName(
+        _all_scores(index, others, size["n"], id_col, limit))
+
+
+def _all_scores(index: TextIndex, rows: DataFrame, n_rows: int, id_col: str, limit: int) -> DataFrame:
+    """Every pair that shares a dimension."""
+    return _scores(_unit_postings(index.postings).join(
+        _small(rows.select(id_col, "dim", "qw"), n_rows, limit), "dim"), id_col)
 
 
 def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
            id_col: str = "query_id", k_col: str | None = "top_k",
-           broadcast_rows: int | None = None, default_k: int = DEFAULT_TOP_K) -> DataFrame:
+           broadcast_rows: int | None = None, default_k: int = DEFAULT_TOP_K,
+           bounded: bool = False) -> DataFrame:
     """Top-k documents for every query in a table.
 
     ``k_col`` names a per-request top_k column; without one every query
@@ -91,15 +225,21 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     ``<id>`` being the id column the index was built on.
     Rejected requests (blank, top_k outside 1..100) produce no rows; use
     :func:`validate_requests` to see why.
+
+    ``bounded`` (written indexes only, which store the bounds): leave out documents that
+    cannot reach a query's top k, see :func:`bounded_pairs`; the results are the same.  It
+    pays for short queries whose rare words decide; not the default, since raw counts let
+    common words rule the scores of long texts.  Query ids are taken to be distinct.
     """
     if not (1 <= int(default_k) <= MAX_TOP_K):
         raise ValueError(f"top_k must be in 1..{MAX_TOP_K}")
+    if bounded and index.vectors is None:
+        raise ValueError("bounds are stored with a written index: write_index first")
     if k_col and k_col in queries.columns:
-        req = validate_requests(queries, query_col, k_col).where("accepted")
-        ks = req.select(id_col, F.col(k_col).alias("_k"))
+        req = validate_requests(queries, query_col, k_col).where("accepted").withColumn(
+            "_k", F.col(k_col))
     else:
-        req = queries
-        ks = None
+        req = queries.withColumn("_k", F.lit(int(default_k)))
     # one small job sizes both sides: the requests and their dimensions
     sized = term_vectors(req.select(id_col, query_col), query_col, [id_col]).agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("dims")).first()
@@ -107,19 +247,17 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     # ranked results are at most MAX_TOP_K rows per query: a checked bound
     small_results = n_queries * MAX_TOP_K <= BROADCAST_QUERY_ROWS
     limit = BROADCAST_QUERY_ROWS if broadcast_rows is None else broadcast_rows
-    qv = _unit_query(query_vectors(req.select(id_col, query_col), query_col, id_col), id_col)
-    side = F.broadcast(qv) if 0 < limit and sized["dims"] <= limit else qv
-    scores = _scores(_unit_postings(index.postings).join(side, "dim"), id_col)
+    if bounded:
+        scores = _bounded_scores(index, req, query_col, id_col, limit)
+    else:
+        qv = _unit_query(query_vectors(req.select(id_col, query_col), query_col, id_col), id_col)
+        scores = _all_scores(index, qv, sized["dims"], id_col, limit)
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("doc_id").asc())
     ranked = scores.withColumn("rank", F.row_number().over(w)).where(
         F.col("rank") <= MAX_TOP_K)
-    if ks is not None:
-        small_ks = n_queries <= BROADCAST_QUERY_ROWS
-        ranked = ranked.join(F.broadcast(ks) if small_ks else ks, id_col).where(
-            F.col("rank") <= F.col("_k"))
-    else:
-        ranked = ranked.where(F.col("rank") <= int(default_k)).withColumn(
-            "_k", F.lit(int(default_k)))
+    ks = req.select(id_col, "_k")
+    ranked = ranked.join(F.broadcast(ks) if n_queries <= BROADCAST_QUERY_ROWS else ks, id_col).where(
+        F.col("rank") <= F.col("_k"))
     return _attach_payload(index, ranked, id_col, small_results)
 
 

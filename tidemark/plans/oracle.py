@@ -104,6 +104,15 @@ FROM req""",
         "AND top_k BETWEEN 1 AND 100)", 0,
         "SELECT rk.query_id, doc_id, rank, score FROM rk JOIN req USING (query_id) "
         "WHERE rank <= req.top_k"),
+    "search_rare_words": search_sql(
+        "q AS (SELECT doc_id AS query_id, concat_ws(' ', 'the of and in', "
+        "list_max(list_transform(" + tokens("text") + ", lambda t: struct_pack(n := length(t), t := t))).t) "
+        "AS query FROM documents WHERE doc_id % 20 = 0)", 3,
+        "SELECT query_id, doc_id, rank, score FROM rk WHERE rank <= {k}"),
+    "search_repeated_ids": search_sql(
+        BENCH_Q + ", greatest_text AS (SELECT doc_id // 2 AS doc_id, max(text) AS text "
+        "FROM documents GROUP BY 1)", 5,
+        "SELECT query_id, doc_id, rank, score FROM rk WHERE rank <= {k}", table="greatest_text"),
     "search_all_versions": search_sql(
         LATEST_CONV + ", q AS (SELECT 0 AS query_id, 'the and le la' AS query)", 10,
         """, top AS (SELECT * FROM rk WHERE rank <= {k}),

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import apply_change_set
+from tidemark.operators.changes import apply_change_set, merge_updates
 from tidemark.operators.quality import (domain_counts, foreign_key_summary, null_counts,
                                         unique_summary)
 from tidemark.plans.queries import load
@@ -78,7 +78,24 @@ def q_insert_orders(spark, sf_dir):
     return out.where("change = 'insert'").select("c_custkey", "c_acctbal")
 
 
+def q_partial_update(spark, sf_dir):
+    """Updates that name some columns only, as ``UPDATE ... SET c = ... WHERE key``.
+
+    Every seventh customer gets a new balance; of these, the even ones also lose their
+    segment (set to NULL).  Name and nation are never given and stay.
+    """
+    cust = load(spark, sf_dir, "customer")
+    updates = cust.where("c_custkey % 7 = 0").select(
+        "c_custkey", (F.col("c_acctbal") + 100).alias("c_acctbal"),
+        F.lit(None).cast("string").alias("c_mktsegment"),
+        F.when(F.col("c_custkey") % 2 == 1, F.array(F.lit("c_acctbal"))).alias("given"))
+    done = merge_updates(cust, updates, "c_custkey", "given")
+    return done.withColumn("c_acctbal", F.round("c_acctbal", 2)).withColumnRenamed(
+        "_updated", "updated")
+
+
 QUALITY_QUERIES = {
+    "partial_update": q_partial_update,
     "insert_orders": q_insert_orders,
     "dq_not_null": q_dq_not_null,
     "dq_domain": q_dq_domain,
@@ -107,6 +124,12 @@ _BLANKED = {"o_orderstatus": "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus E
             "o_totalprice": "CASE WHEN o_custkey % 5 <> 0 THEN o_totalprice END"}
 
 QUALITY_ORACLE = {
+    "partial_update": """
+SELECT c_custkey, c_name, c_nationkey,
+       round(CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 100 ELSE c_acctbal END, 2) AS c_acctbal,
+       CASE WHEN c_custkey % 14 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+       c_custkey % 7 = 0 AS updated
+FROM customer""",
     "insert_orders": """
 SELECT ((SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY o_orderkey))::BIGINT
        AS c_custkey, o_totalprice AS c_acctbal FROM orders""",

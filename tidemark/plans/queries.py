@@ -115,8 +115,30 @@ def q_search_request_validation(spark, sf_dir):
 
 
 def q_search_conversation_batch(spark, sf_dir):
-    """Every user turn against documents, each with its own top_k."""
-    return search(documents_index(spark, sf_dir), conversation_searches(spark, sf_dir))
+    """Every user turn against documents, each with its own top_k (written index)."""
+    idx = write_index(documents_index(spark, sf_dir), scratch_path(spark, "conversation-index"))
+    return search(idx, conversation_searches(spark, sf_dir))
+
+
+def rare_word_requests(spark, sf_dir) -> DataFrame:
+    """The longest token of every twentieth document, asked for beside common words."""
+    docs = load(spark, sf_dir, "documents").where("doc_id % 20 = 0")
+    longest = F.array_max(F.transform(tokenize("text"), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))
+    return docs.select(F.col("doc_id").alias("query_id"), F.concat_ws(
+        " ", F.lit("the of and in"), longest["t"]).alias("query"))
+
+
+def q_search_rare_words(spark, sf_dir):
+    """Rare and common words together on the written index: few documents need scoring."""
+    idx = write_index(documents_index(spark, sf_dir), scratch_path(spark, "rare-index"))
+    return search(idx, rare_word_requests(spark, sf_dir), k_col=None, default_k=3, bounded=True)
+
+
+def q_search_repeated_ids(spark, sf_dir):
+    """Two documents under every id: the greater text of an id is indexed."""
+    docs = load(spark, sf_dir, "documents").select(
+        F.floor(F.col("doc_id") / 2).alias("doc_id"), "text")
+    return search(build_index(docs), benchmark_queries(spark, sf_dir), k_col=None)
 
 
 def _versioned_conversations(spark, sf_dir, versions: str):
@@ -152,6 +174,8 @@ SEARCH_QUERIES = {
     "search_batch_stored": q_search_batch_stored,
     "search_request_validation": q_search_request_validation,
     "search_conversation_batch": q_search_conversation_batch,
+    "search_rare_words": q_search_rare_words,
+    "search_repeated_ids": q_search_repeated_ids,
     "search_all_versions": q_search_all_versions,
     "search_latest_version": q_search_latest_version,
 }

@@ -47,6 +47,15 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """A partition folder with a data file: what a failed first write leaves is none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/date=*/[^_.]*")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def lake_rows(delta: DataFrame, ts_col: str) -> DataFrame:
     """Source rows as lake rows: timestamps as ISO text, plus ``date``."""
     cols = []
@@ -100,7 +109,7 @@ def write_table(spark: SparkSession, delta: DataFrame, root: str, table: str, ke
         raise ValueError(f"unknown lake write mode {mode!r}")
     path = table_path(root, table)
     new = lake_rows(delta, ts_col)
-    if mode == "merge" and _path_exists(spark, path) and dates:
+    if mode == "merge" and dates and _has_rows(spark, path):
         merged = _merged_lines(spark, new, path, key, ts_col, dates)
         ensure_checkpoint_dir(spark)
         staged = merged.checkpoint(eager=True)
