@@ -105,9 +105,9 @@ FROM req""",
         "SELECT rk.query_id, doc_id, rank, score FROM rk JOIN req USING (query_id) "
         "WHERE rank <= req.top_k"),
     "search_rare_words": search_sql(
-        "q AS (SELECT doc_id AS query_id, concat_ws(' ', 'the of and in', "
+        "q AS (SELECT item_id AS query_id, concat_ws(' ', 'the of', "
         "list_max(list_transform(" + tokens("text") + ", lambda t: struct_pack(n := length(t), t := t))).t) "
-        "AS query FROM documents WHERE doc_id % 20 = 0)", 3,
+        "AS query FROM benchmark)", 3,
         "SELECT query_id, doc_id, rank, score FROM rk WHERE rank <= {k}"),
     "search_repeated_ids": search_sql(
         BENCH_Q + ", greatest_text AS (SELECT doc_id // 2 AS doc_id, max(text) AS text "

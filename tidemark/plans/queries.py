@@ -115,17 +115,16 @@ def q_search_request_validation(spark, sf_dir):
 
 
 def q_search_conversation_batch(spark, sf_dir):
-    """Every user turn against documents, each with its own top_k (written index)."""
-    idx = write_index(documents_index(spark, sf_dir), scratch_path(spark, "conversation-index"))
-    return search(idx, conversation_searches(spark, sf_dir))
+    """Every user turn against documents, each with its own top_k."""
+    return search(documents_index(spark, sf_dir), conversation_searches(spark, sf_dir))
 
 
 def rare_word_requests(spark, sf_dir) -> DataFrame:
-    """The longest token of every twentieth document, asked for beside common words."""
-    docs = load(spark, sf_dir, "documents").where("doc_id % 20 = 0")
+    """The longest token of every benchmark item, asked for beside common words."""
+    items = load(spark, sf_dir, "benchmark")
     longest = F.array_max(F.transform(tokenize("text"), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))
-    return docs.select(F.col("doc_id").alias("query_id"), F.concat_ws(
-        " ", F.lit("the of and in"), longest["t"]).alias("query"))
+    return items.select(F.col("item_id").alias("query_id"), F.concat_ws(
+        " ", F.lit("the of"), longest["t"]).alias("query"))
 
 
 def q_search_rare_words(spark, sf_dir):

@@ -3,18 +3,27 @@ freshness, snapshots, digest audit, compacted state.  SQL beside each."""
 
 from __future__ import annotations
 
+import contextlib
+import io
 from datetime import datetime, timedelta, timezone
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefmt import iso_text
+from tidemark.functions.timefmt import iso_text, parse_iso
 from tidemark.operators import freshness
 from tidemark.operators.search import search
-from tidemark.plans.ingest_queries import CUT, with_date
+from tidemark.operators.versions import late_rows_by_digest
+from tidemark.plans.ingest import run_ingest as ingest
+from tidemark.plans.ingest_queries import (CUT, Scratch, _two_runs, events_spec, orders_spec, run_ingest,
+                                           with_date)
 from tidemark.plans.oracle import BENCH_Q, search_sql
+from tidemark.plans.pipeline import register_lake_views
 from tidemark.plans.queries import benchmark_queries, load
 from tidemark.session import scratch_path
+from tidemark.sources import lake as lake_io
 from tidemark.sources import snapshots, tenants
+from tidemark.sources import state as state_io
 from tidemark.sources.lake import lake_rows
 from tidemark.sources.tables import mark_literal
 from tidemark.streaming.dedup import start_dedup
@@ -148,7 +157,86 @@ def q_lake_snapshot_read(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"), F.max("ts").alias("last"))
 
 
+def q_late_row_digest(spark, sf_dir):
+    """The late-row audit by digests: only the date of the cut is joined."""
+    s, src = _two_runs(spark, sf_dir, "digest", "replace", replay=False)
+    mark = state_io.read_watermarks(spark, s.state, ["events"])["events"]
+    good, _ = lake_io.read_lake(spark, s.lake, "events", with_date(src.schema), ["event_id", "ts"])
+    have = good.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "date")
+    audit = late_rows_by_digest(src, have, "event_id", "ts", mark_literal(mark, src.schema["ts"].dataType))
+    return lake_rows(audit.rows, "ts").withColumn("dates_joined", F.lit(len(audit.differ)).cast("long"))
+
+
+def q_compacted_state(spark, sf_dir):
+    """Marks of every event type after daily runs, folded twice, with runs between and after."""
+    ev = load(spark, sf_dir, "events").select("event_type", "ts", F.dayofmonth("ts").alias("day"))
+    path = scratch_path(spark, "folded-state")
+    for low, high in ((1, 10), (11, 20), (21, 31)):
+        runs = ev.where(F.col("day").between(low, high)).groupBy("event_type", "day").agg(
+            iso_text(F.max("ts")).alias("checkpoint"))
+        (runs.select(F.col("event_type").alias("table"), "checkpoint",
+                     F.concat(F.lit("run-"), "day").alias("run_id"), F.lit(None).cast("string").alias("written_at"))
+         .repartition(high - low + 1, "day").write.mode("append").json(path))
+        if high < 31:
+            state_io.compact_state(spark, path)
+    return state_io.watermark_table(state_io.read_state(spark, path)).select(
+        "table", F.col("mark").alias("checkpoint"))
+
+
+def q_lake_sql_view(spark, sf_dir):
+    """Ad-hoc SQL over a validated lake table registered as a view."""
+    src = load(spark, sf_dir, "events")
+    s = Scratch(spark, "sql-view")
+    run_ingest(spark, [events_spec(spark, sf_dir)], s.lake, s.state, s.events)
+    register_lake_views(spark, s.lake, {"events": (with_date(src.schema), ["event_id", "ts"])})
+    return spark.sql("""SELECT event_type, date, count(*) AS rows, round(sum(value), 4) AS total
+                        FROM events GROUP BY event_type, date""")
+
+
+def q_lake_line_order(spark, sf_dir):
+    """Lines of every lake file ascend by time: (date, lines, lines out of order)."""
+    s = Scratch(spark, "line-order")
+    run_ingest(spark, [events_spec(spark, sf_dir)], s.lake, s.state, s.events)
+    lines = (spark.read.option("basePath", f"{s.lake}/events").text(f"{s.lake}/events")
+             .withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
+             .select(F.col("date").cast("string").alias("date"), "file", "at",
+                     F.get_json_object("value", "$.ts").alias("ts")))
+    before = F.lag("ts").over(Window.partitionBy("date", "file").orderBy("at"))
+    late = F.coalesce(parse_iso("ts") < parse_iso(before), F.lit(False))
+    return lines.withColumn("late", late).groupBy("date").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if("late").alias("out_of_order"))
+
+
+def q_lake_set_difference(spark, sf_dir):
+    """Rows that only the source or only a replaced lake holds (with counts of repeats)."""
+    s, src = _two_runs(spark, sf_dir, "difference", "replace", replay=False)
+    good, _ = lake_io.read_lake(spark, s.lake, "events", with_date(src.schema), ["event_id", "ts"])
+    view = good.select(*[F.col(c).cast(t) for c, t in src.dtypes])
+    sides = (("source", src.exceptAll(view)), ("lake", view.exceptAll(src)))
+    out = [df.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(F.count(F.lit(1)).alias("rows"))
+           .select(F.lit(name).alias("only_in"), "date", "rows") for name, df in sides]
+    return out[0].unionByName(out[1])
+
+
+def q_event_echo(spark, sf_dir):
+    """What a run prints: its events, one JSON line each, as the log holds them."""
+    s, printed = Scratch(spark, "echo"), io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        ingest(spark, [events_spec(spark, sf_dir), orders_spec(spark, sf_dir)], s.lake, s.state, s.events)
+    lines = spark.createDataFrame([(x,) for x in printed.getvalue().splitlines()], "line string")
+    told = lines.select(F.from_json("line", state_io.EVENT_SCHEMA).alias("e")).select("e.*")
+    same = told.exceptAll(state_io.read_events(spark, s.events)).count() == 0
+    return told.select("table", "delta_row_count", F.size("lake_paths").cast("long").alias("n_paths"),
+                       "checkpoint_after", F.lit(same).alias("as_logged"))
+
+
 SERVICE_QUERIES = {
+    "late_row_digest": q_late_row_digest,
+    "compacted_state": q_compacted_state,
+    "lake_sql_view": q_lake_sql_view,
+    "lake_line_order": q_lake_line_order,
+    "lake_set_difference": q_lake_set_difference,
+    "event_echo": q_event_echo,
     "stream_segments_search": q_stream_segments_search,
     "event_dedup": q_event_dedup,
     "tenant_marks": q_tenant_marks,
@@ -168,6 +256,27 @@ _CUT = f"TIMESTAMP '{CUT:%Y-%m-%d %H:%M:%S}'"
 _OCUT = f"TIMESTAMP '{ORDERS_CUT:%Y-%m-%d %H:%M:%S}'"
 
 SERVICE_ORACLE = {
+    "late_row_digest": f"""
+SELECT event_id, {_iso('ts')} AS ts, user_id, event_type, value, props,
+  strftime(ts, '%Y-%m-%d') AS date, 1::BIGINT AS dates_joined
+FROM events WHERE CAST(ts AS DATE) = CAST({_CUT} AS DATE) AND ts <= {_CUT}""",
+    "compacted_state": f"""
+SELECT event_type AS "table", {_iso('max(ts)')} AS checkpoint FROM events GROUP BY 1""",
+    "lake_sql_view": """
+SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, count(*) AS rows, round(sum(value), 4) AS total
+FROM events GROUP BY 1, 2""",
+    "lake_line_order": """
+SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS lines, 0::BIGINT AS out_of_order
+FROM events GROUP BY 1""",
+    "lake_set_difference": f"""
+SELECT 'source' AS only_in, strftime(ts, '%Y-%m-%d') AS date, count(*) AS rows FROM events
+WHERE CAST(ts AS DATE) = CAST({_CUT} AS DATE) AND ts <= {_CUT} GROUP BY 2""",
+    "event_echo": f"""
+SELECT 'events' AS "table", count(*) AS delta_row_count,
+  count(DISTINCT CAST(ts AS DATE)) AS n_paths, {_iso('max(ts)')} AS checkpoint_after, true AS as_logged
+FROM events UNION ALL
+SELECT 'orders', count(*), count(DISTINCT CAST(o_orderdate AS DATE)), {_iso('max(o_orderdate)')}, true
+FROM orders""",
     "stream_segments_search": search_sql(
         BENCH_Q + """, newest AS (SELECT doc_id, CASE WHEN doc_id % 6 = 0
   THEN coalesce(text, '') || ' revised ' || coalesce(lang, '') ELSE text END AS text FROM documents)""",
