@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import string
@@ -200,9 +201,9 @@ def test_secret_spans(spark, odd_docs):
         assert r["s"] == ",".join(base(r["text"]))
         assert hexa not in r["cut"]
     assert next(r["cut"] for r in got if r["text"] == texts[0]) == "é [SECRET]' x"
-    model = secret_scan.train(df)
+    model = secret_scan.train_words(df)
     score = spark.createDataFrame([("q7Zx0Kp93LmT4vB1nR8s",), ("thentionerandingather",)], "t string")
-    a, b = (r[0] for r in score.select(secret_scan.log_ratio(F.col("t"), model)).collect())
+    a, b = (r[0] for r in score.select(secret_scan.word_ratio(F.col("t"), model)).collect())
     assert a > b
 
 
@@ -226,10 +227,6 @@ def test_bare_codes_are_found_and_cut(spark):
     assert len(hit) >= 0.95 * len(codes)
     assert [got[-i]["m"] for i in range(len(codes) + 1, len(got) + 1)] == [[]] * len(plain)
     assert found.where("doc_id >= 0").where(F.size(added) > 0).count() == 0
-    model = secret_scan.train(docs.unionByName(new))          # the statement's models find hardly any
-    old = new.where(F.col("doc_id") >= -len(codes)).where(
-        secret_scan.log_ratio(F.split("text", " ")[2], model) >= secret_scan.MIN_RATIO)
-    assert old.count() < 0.1 * len(codes)
 
 
 def test_mixing_rates(spark, odd_docs, no_docs):
@@ -249,6 +246,33 @@ def test_mixing_rates(spark, odd_docs, no_docs):
     assert {r["copy"] for r in mixing.mix(odd_docs, budget=9.0).collect()} >= {1}
 
 
+def test_poisson_tables():
+    for rate in (0.0, 0.01, 0.7, 3.0, 40.0, 900.0, 1500.0):
+        low, cdf = mixing.poisson_table(rate)
+        p = [math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) if rate else float(k == 0)
+             for k in range(low + len(cdf))]
+        assert np.allclose(cdf, np.cumsum(p)[low:], atol=1e-11) and abs(cdf[-1] - 1) < 1e-11
+    low, cdf = mixing.poisson_table(1e6)                       # a table of the root of the rate
+    assert len(cdf) < 30_000 and abs(low + np.searchsorted(cdf, 0.5) - 1e6) < 2
+
+
+def test_rows_without_an_id_are_dealt_to_all_partitions(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(
+        F.lit("text "), F.col("id")).alias("text"), F.lit("s").alias("source"), F.lit("x").alias("copy"))
+    out = mixing.mix(docs)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.5 * sum(sizes) / 8
+    assert dict(out.dtypes)["copy"] == "bigint"                # replaced, as stated
+
+
+def test_sources_beyond_the_broadcast_bound(spark, monkeypatch):
+    docs = load(spark, SF, "documents")
+    want = mixing.mix(docs)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_BYTES", 1)
+    got = mixing.mix(docs)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_toxicity_held_out(spark, odd_docs, no_docs):
     docs, labels = load(spark, "/root/testdata/sf0.1", "documents"), load(spark, "/root/testdata/sf0.1", "labels")
     model = toxicity.train(docs.select("doc_id", "text"), labels, ~held_out(F.col("doc_id")))

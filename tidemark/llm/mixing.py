@@ -4,7 +4,7 @@ Source s with mass m_s (sum of text lengths) and target weight w_s gets the mean
 repetition rate r_s = w_s * budget / m_s.  Every document draws its number of
 copies by inverting the Poisson distribution of that mean at a number hashed from
 (seed, id, text), so a rerun, a lost executor or another engine draws the same
-copies.  Copies are dealt to partitions by a hash of (seed, id, copy) and sorted by
+copies.  Copies are dealt to partitions by a hash of (seed, id, text, copy) and sorted by
 it there: a global shuffle without a driver-side permutation.
 
 Defined cases: a null source is a source of its own; null texts have length 0; a
@@ -15,12 +15,16 @@ weights has weight 0; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import hash_unit, materialise, shuffle_partitions
 
-MAX_BROADCAST_SOURCES = 100_000   # above this the rates are joined by shuffle
+MAX_BROADCAST_BYTES = 64 << 20    # above this the rates are joined by shuffle
 
 
 def source_rates(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "source",
@@ -47,45 +51,66 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, source_col:
                                          / F.col("mass")).otherwise(F.lit(0.0)))
 
 
-def poisson_cdf(rate):
-    """P(N <= k) for k = 0, 1, ... as an array, long enough for 53-bit numbers.
+def poisson_table(rate: float) -> tuple[int, np.ndarray]:
+    """(low, P(N <= k) for k = low, low + 1, ...), long enough for 53-bit numbers.
+
+    Terms are taken outward from the mode by their ratios, in log space, within 12 standard
+    deviations and 40 (what lies outside is below the resolution of a draw): the table
+    grows with the root of the rate, and so does its cost.
+    """
+    if not rate > 0:
+        return 0, np.ones(1)
+    mode, reach = math.floor(rate), math.ceil(12 * math.sqrt(rate) + 40)
+    low = max(0, mode - reach)
+    up = np.log(rate) - np.log(np.arange(mode + 1, mode + reach + 1, dtype=np.float64))
+    down = np.log(np.arange(mode, low, -1, dtype=np.float64)) - np.log(rate)
+    logs = np.concatenate([np.cumsum(down)[::-1], [0.0], np.cumsum(up)])
+    at_mode = mode * math.log(rate) - rate - math.lgamma(mode + 1)
+    terms = np.exp(logs + at_mode)
+    # for large rates the log of the mode's term has few exact places left, the sum has them all
+    return low, np.cumsum(terms / terms.sum() if rate > 1000 else terms)
+
 
-    Terms are taken in log space, so large rates do not underflow."""
-    top = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    logs = F.aggregate(
-        F.sequence(F.lit(1), top),
-        F.array(-rate),
-        lambda acc, k: F.concat(acc, F.array(F.element_at(acc, -1) + F.log(rate) - F.log(
-            k.cast("double")))))
-    return F.when(rate > 0, F.aggregate(
-        logs, F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("cdf")),
-        lambda acc, t: F.struct((acc["sum"] + F.exp(t)).alias("sum"),
-                                F.concat(acc["cdf"], F.array(acc["sum"] + F.exp(t))).alias("cdf")),
-        lambda acc: acc["cdf"])).otherwise(F.array(F.lit(1.0)))
+def poisson_tables(rate: Column) -> Column:
+    @F.pandas_udf("low long, cdf array<double>")
+    def tables(rates: pd.Series) -> pd.DataFrame:
+        found = [poisson_table(r) for r in rates]
+        return pd.DataFrame({"low": [f[0] for f in found], "cdf": [f[1] for f in found]})
+
+    return tables(rate)
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id",
         source_col: str = "source", text_col: str = "text", alpha: float = 0.5,
         budget: float = 1.0, seed: str = "mix") -> DataFrame:
-    """``docs`` exploded to their copies, with copy (1..n) and shuffle_key."""
+    """``docs`` exploded to their copies, with copy (1..n) and shuffle_key.
+
+    Input columns named copy or shuffle_key are replaced, others are kept.  Texts of any
+    length are only measured and hashed.  Sources are broadcast while their tables stay
+    within ``MAX_BROADCAST_BYTES``; beyond that they are joined by a shuffle, in which
+    Spark splits the partitions of a hot source at run time.
+    """
     rates = source_rates(docs, weights, source_col, text_col, alpha, budget)
-    rates = materialise(rates.select(F.col("source").alias("__src"),
-                                     poisson_cdf(F.col("rate")).alias("__cdf")))
-    if rates.count() <= MAX_BROADCAST_SOURCES:
+    rates = materialise(rates.select(F.col("source").alias("__src"), F.col("rate").alias("__rate"))
+                        .withColumn("__p", poisson_tables(F.col("__rate"))))
+    size = rates.agg(F.sum(F.octet_length(F.coalesce(F.col("__src").cast("string"), F.lit("")))
+                           + 8 * F.size("__p.cdf") + 64)).first()[0] or 0
+    if size <= MAX_BROADCAST_BYTES:
         rates = F.broadcast(rates)
-    drawn = hash_unit(F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")),
-                      seed=seed + ":n")
-    copies = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
-    out = (docs.withColumn("__u", drawn)
+    text_md5 = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    copies = F.col("__p.low") + F.size(F.filter("__p.cdf", lambda c: c <= F.col("__u")))
+    out = (docs.withColumn("__text", text_md5)
+           .withColumn("__u", hash_unit(F.col(id_col), F.col("__text"), seed=seed + ":n"))
            .join(rates, F.col(source_col).eqNullSafe(F.col("__src")))
            .withColumn("__n", copies).where("__n > 0")
-           .drop("__u", "__cdf", "__src")
+           .drop("__u", "__p", "__src", "__rate")
            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"),
                                                    F.col("__n").cast("long"))))
            .drop("__n"))
+    # of the text too: rows without an id are dealt to all partitions
     key = F.conv(F.substring(F.md5(F.concat_ws(
-        ":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+        ":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("__text"),
         F.col("copy").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
-    out = out.withColumn("shuffle_key", key)
+    out = out.withColumn("shuffle_key", key).drop("__text")
     return out.repartition(shuffle_partitions(docs.sparkSession), "shuffle_key"
                            ).sortWithinPartitions("shuffle_key", id_col)

@@ -52,7 +52,8 @@ counted AS (SELECT d.*, len(list_filter(t.cdfs, lambda c: c <= d.u)) AS n
   FROM drawn d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source),
 copies AS (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted)
 SELECT doc_id, text, lang, source, n_chars, copy,
-  CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy), 1, 15)
+  CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':'
+    || md5(coalesce(text, '')) || ':' || copy), 1, 15)
     AS BIGINT) AS shuffle_key
 FROM copies
 """
@@ -163,23 +164,43 @@ placed AS (SELECT doc_id, kind, m, CAST(s AS BIGINT) AS s, CAST(s AS BIGINT) + l
 base AS (FROM placed WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(m) >= 20) OR kind = 2),
 token AS (SELECT t.*, row_number() OVER () AS id FROM placed t WHERE kind = 3 AND NOT EXISTS (
   FROM base b WHERE b.doc_id = t.doc_id AND b.s < t.e AND t.s < b.e)),
-learned AS (SELECT 1 AS y, v FROM base
-  UNION ALL SELECT 0, m FROM token WHERE regexp_matches(m, '^[A-Za-z_]+$')),
+cuts AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM (
+    SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY s, kind, e) AS run FROM (
+      SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY doc_id ORDER BY s, kind, e
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM base))
+  GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, substr(t, lo + 1, s - lo) AS gap FROM docs JOIN (SELECT *,
+    coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS lo FROM cuts) USING (doc_id)
+  UNION ALL SELECT doc_id, substr(t, coalesce(e, 0) + 1) FROM docs LEFT JOIN (
+    SELECT doc_id, max(e) AS e FROM cuts GROUP BY doc_id) USING (doc_id)),
+words AS (SELECT v, count(*) AS n FROM (
+    SELECT unnest(string_split_regex(gap, '{S.NOT_TOKEN}')) AS v FROM gaps)
+  WHERE regexp_matches(v, '{S.WORD}') GROUP BY v),
+learned AS (SELECT 1 AS y, v, 1 AS n FROM base UNION ALL SELECT 0, v, n FROM words),
 alphabet AS (SELECT unnest(range(1, {len(S.ALPHABET) + 1})) AS c),
-step AS (SELECT y, strpos('{S.ALPHABET}', substr(v, i, 1)) AS a, strpos('{S.ALPHABET}', substr(v, i + 1, 1)) AS b
-  FROM (SELECT y, v, unnest(range(1, length(v))) AS i FROM learned)),
-counts AS (SELECT a, b, count(*) FILTER (y = 1) AS n1, count(*) FILTER (y = 0) AS n0
+step AS (SELECT y, n, strpos('{S.ALPHABET}', substr(v, i, 1)) AS a,
+    strpos('{S.ALPHABET}', substr(v, i + 1, 1)) AS b
+  FROM (SELECT y, v, n, unnest(range(1, length(v))) AS i FROM learned)),
+counts AS (SELECT a, b, sum(n) FILTER (y = 1) AS n1, sum(n) FILTER (y = 0) AS n0
   FROM step WHERE a > 0 AND b > 0 GROUP BY a, b),
-cells AS (SELECT x.c AS a, z.c AS b, coalesce(n1, 0) AS n1, coalesce(n0, 0) AS n0
+cells AS (SELECT x.c AS a, z.c AS b, coalesce(n1, 0)::DOUBLE AS n1, coalesce(n0, 0)::DOUBLE AS n0
   FROM alphabet x CROSS JOIN alphabet z LEFT JOIN counts ON a = x.c AND b = z.c),
-model AS (SELECT a, b, round(ln(
-    ((n1 + 0.5::DOUBLE) / (sum(n1) OVER r + {0.5 * len(S.ALPHABET)}::DOUBLE))
-    / ((n0 + 0.5::DOUBLE) / (sum(n0) OVER r + {0.5 * len(S.ALPHABET)}::DOUBLE))), 3) AS ratio
-  FROM cells WINDOW r AS (PARTITION BY a)),
-random AS (SELECT id FROM (SELECT id, strpos('{S.ALPHABET}', substr(m, i, 1)) AS a,
+seconds AS (SELECT b, sum(n0) + 0.5 AS m FROM cells GROUP BY b),
+shares AS (SELECT a, b, (n1 + 0.5) / (sum(n1) OVER r + {0.5 * len(S.ALPHABET)}) AS p,
+    (n0 + {0.5 * len(S.ALPHABET)} * m / (SELECT sum(m) FROM seconds))
+      / (sum(n0) OVER r + {0.5 * len(S.ALPHABET)}) AS q
+  FROM cells JOIN seconds USING (b) WINDOW r AS (PARTITION BY a)),
+model AS (SELECT a, b, round(ln(p / f), 3) AS ratio, round(-ln(f), 3) AS surprise
+  FROM (SELECT *, {1 - S.FLOOR} * q + {S.FLOOR / len(S.ALPHABET)} AS f FROM shares)),
+random AS (SELECT id FROM (SELECT id, m, strpos('{S.ALPHABET}', substr(m, i, 1)) AS a,
       strpos('{S.ALPHABET}', substr(m, i + 1, 1)) AS b
     FROM (SELECT id, m, unnest(range(1, length(m))) AS i FROM token)) JOIN model USING (a, b)
-  GROUP BY id HAVING round(sum(ratio), 6) >= {S.MIN_RATIO}),
+  GROUP BY id, m HAVING round(greatest(sum(ratio), sum(surprise) - (length(m) - 1) * ln(
+      CASE WHEN regexp_matches(m, '[a-z]') THEN 26 ELSE 0 END
+      + CASE WHEN regexp_matches(m, '[A-Z]') THEN 26 ELSE 0 END
+      + CASE WHEN regexp_matches(m, '[0-9]') THEN 10 ELSE 0 END
+      + CASE WHEN regexp_matches(m, '[+/_=-]') THEN 5 ELSE 0 END)), 6)
+    >= greatest(1.0, (length(m) - 1) / {S.SHORTEST - 1.0}) * {S.MIN_RATIO}),
 spans AS (SELECT doc_id, kind, s, e FROM base
   UNION ALL SELECT doc_id, kind, s, e FROM token JOIN random USING (id)),
 listed AS (SELECT *, {list(S.KINDS)!r}[kind + 1] || ':' || s || ':' || e AS x FROM spans),

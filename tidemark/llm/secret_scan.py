@@ -10,13 +10,11 @@ base value has does not count against it.  Long tokens whose log-likelihood rati
 passes ``min_ratio``, which grows with the length, add spans of kind ``random``; base
 spans always stay.
 
-``stated`` asks for the models of the DuckDB statement of op8 instead: there only
-letter-only tokens of 20 characters train the identifiers, and few codes are found.
-
 Defined cases: null text is empty text; no match gives zero counts and empty span
 lists; overlapping spans of different kinds are all listed; with no training token
 at all both models are uniform and nothing is added; repeated rows get equal
-results.  Offsets are code points, ends exclusive.  Columns named spans are replaced.
+results.  Offsets are code points, ends exclusive.  A column named spans is replaced,
+others are kept.  Very long texts are scanned whole, in one row.
 """
 
 from __future__ import annotations
@@ -32,7 +30,6 @@ ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]{24,}"            # the same spans as runs of [0-9a-f]+ with 24 or more
 TOKEN = "[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = "^[A-Za-z_]+$"
 NOT_TOKEN = "[^A-Za-z0-9+/_=-]+"
 WORD = "^(?:.{2,19}|[A-Za-z_]+|[+/_=-]+)$"       # of token characters; long codes train nothing
 KINDS = ("assign", "access", "hex", "random")
@@ -86,36 +83,6 @@ def _steps(token: Column) -> Column:
                   ).otherwise(F.array().cast("array<int>"))
 
 
-def train(docs: DataFrame, text_col: str = "text") -> list[float]:
-    """Log-likelihood ratio (random over identifier) of every character step, as in op8's statement.
-
-    Counts cover all documents; at most 2 * len(ALPHABET)**2 of them reach the
-    driver.  Both models are smoothed towards the uniform one."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    seen = (docs.select(text.alias("t"))
-            .where(F.col("t").rlike(f"{ASSIGN}|{ACCESS}|{TOKEN}"))
-            .withColumn("base", base_spans(F.col("t")))
-            .withColumn("token", match_spans(F.col("t"), TOKEN, 3)))
-    value = F.transform("base", lambda b: F.struct(
-        F.lit(1).alias("y"), F.when(b["kind"] == 0, F.regexp_extract(b["match"], ASSIGN, 2))
-        .otherwise(b["match"]).alias("v")))
-    plain = F.transform(
-        F.filter("token", lambda s: s["match"].rlike(IDENTIFIER) & _outside(s, F.col("base"))),
-        lambda s: F.struct(F.lit(0).alias("y"), s["match"].alias("v")))
-    steps = (seen.select(F.explode(F.concat(value, plain)).alias("x"))
-             .select("x.y", F.explode(_steps(F.col("x.v"))).alias("step")).where("step > 0"))
-    count = {(r["y"], r["step"]): r["n"] for r in
-             steps.groupBy("y", "step").agg(F.count(F.lit(1)).alias("n")).collect()}
-    k, ratio = len(ALPHABET), []
-    for a in range(k):
-        row = [[count.get((y, a * k + b + 1), 0) for b in range(k)] for y in (0, 1)]
-        total = [sum(r) for r in row]
-        for b in range(k):
-            p = [(row[y][b] + 0.5) / (total[y] + 0.5 * k) for y in (0, 1)]
-            ratio.append(round(math.log(p[1] / p[0]), 3))
-    return ratio
-
-
 def train_words(docs: DataFrame, text_col: str = "text") -> tuple[list[float], list[float]]:
     """(log-likelihood ratio, minus the log-likelihood as a word) of every character step.
 
@@ -156,10 +123,6 @@ def _sum_of(steps: Column, model: list[float]) -> Column:
                        lambda acc, i: acc + F.when(i > 0, F.element_at(table, i)).otherwise(0.0))
 
 
-def log_ratio(token: Column, model: list[float]) -> Column:
-    return _sum_of(_steps(token), model)
-
-
 def word_ratio(token: Column, model: tuple[list[float], list[float]]) -> Column:
     """The larger of the counted random model's ratio and that of the token's classes."""
     ratio, surprise = model
@@ -176,20 +139,14 @@ def is_random(token: Column, model: tuple[list[float], list[float]],
         F.lit(1.0), (F.length(token) - 1) / F.lit(SHORTEST - 1.0)) * F.lit(min_ratio)
 
 
-def scan(docs: DataFrame, text_col: str = "text", model=None, min_ratio: float = MIN_RATIO,
-         stated: bool = False) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", model=None,
+         min_ratio: float = MIN_RATIO) -> DataFrame:
     """``docs`` with spans: array of (kind, start, end, match), by start then kind."""
     if model is None:
-        model = train(docs, text_col) if stated else train_words(docs, text_col)
+        model = train_words(docs, text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
-
-    def random(match: Column) -> Column:
-        if not stated:
-            return is_random(match, model, min_ratio)
-        return F.round(log_ratio(match, model), 6) >= F.lit(min_ratio)
-
-    token = F.filter(match_spans(text, TOKEN, 3),
-                     lambda s: _outside(s, F.col("__base")) & random(s["match"]))
+    token = F.filter(match_spans(text, TOKEN, 3), lambda s: _outside(s, F.col("__base"))
+                     & is_random(s["match"], model, min_ratio))
     return (docs.withColumn("__base", base_spans(text))
             .withColumn("spans", F.concat("__base", token)).drop("__base")
             .withColumn("spans", F.transform(
