@@ -98,46 +98,44 @@ fits AS (SELECT host, path, rhost || rpath AS rule, verdict,
     row_number() OVER (PARTITION BY host, path ORDER BY length(rhost) + length(rpath) DESC) AS rn
   FROM (SELECT DISTINCT host, path FROM urls) u JOIN rules
     ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)),
-paths AS (SELECT host, path, any_value(f.rule) AS rule, any_value(f.verdict) AS said, count(*) AS n,
-    count(*) FILTER (f.verdict = 'block') AS bad, count(*) FILTER (f.verdict = 'allow') AS good,
+paths AS (SELECT host, path, f.rule, f.verdict AS said,
+    CAST(coalesce(f.verdict = 'block', false) AS INT) AS bad,
+    CAST(coalesce(f.verdict = 'allow', false) AS INT) AS good,
     list_filter(string_split(path, '/'), lambda s: s <> '') AS parts
-  FROM urls LEFT JOIN (FROM fits WHERE rn = 1) f USING (host, path) GROUP BY host, path),
-levels AS (SELECT host, path, n, l, parts[l] AS seg, list_transform(parts[1:l - 1],
+  FROM (SELECT DISTINCT host, path FROM urls) LEFT JOIN (FROM fits WHERE rn = 1) f USING (host, path)),
+levels AS (SELECT host, path, l, parts[l] AS seg, list_transform(parts[1:l - 1],
     lambda s: regexp_replace(s, '[0-9]+', '#', 'g')) AS above
   FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS l FROM paths)),
-kinds AS (SELECT host, l, above, count(DISTINCT seg) AS kinds, sum(n) AS urls
+kinds AS (SELECT host, l, above, count(DISTINCT seg) AS kinds, count(*) AS paths
   FROM levels GROUP BY host, l, above),
-renamed AS (SELECT host, path, list(CASE WHEN kinds >= 3 AND kinds >= 0.5 * urls THEN '*'
+renamed AS (SELECT host, path, list(CASE WHEN kinds >= 3 AND kinds >= 0.5 * paths THEN '*'
     ELSE seg END ORDER BY l) AS segs FROM levels JOIN kinds USING (host, l, above) GROUP BY host, path),
 named AS (SELECT p.*, coalesce(r.segs, []) AS segs FROM paths p LEFT JOIN renamed r USING (host, path)),
-tree AS (SELECT host, segs, sum(n) AS n, sum(bad) AS bad, sum(good) AS good
+tree AS (SELECT host, segs, count(*) AS n, sum(bad) AS bad, sum(good) AS good
   FROM named GROUP BY host, segs),
 branch AS (SELECT *, segs[l] AS seg, segs[1:l - 1] AS above, segs[l + 1:] AS below
   FROM (SELECT *, unnest(range(1, len(segs) + 1)) AS l FROM tree)),
-total AS (SELECT host, l, above, seg, sum(n) AS all_n, CASE WHEN sum(bad) > sum(good) THEN 'bad'
-    WHEN sum(good) > 0 THEN 'good' ELSE 'none' END AS class
-  FROM branch WHERE seg <> '*' GROUP BY host, l, above, seg),
-profile AS (SELECT host, l, above, seg, below, class, sum(n) AS m, sum(n) / any_value(all_n) AS share
-  FROM branch JOIN total USING (host, l, above, seg) GROUP BY host, l, above, seg, below, class),
-kin AS (SELECT host, l, above, class, count(*) AS kin, sum(all_n) AS kin_n
-  FROM total GROUP BY host, l, above, class),
-pooled AS (SELECT host, l, above, class, below, sum(m) / any_value(kin_n) AS pool, any_value(kin) AS kin
-  FROM profile JOIN kin USING (host, l, above, class) GROUP BY host, l, above, class, below),
-joint AS (SELECT host, l, above, seg, '*' || class AS joint
-  FROM profile JOIN pooled USING (host, l, above, class, below)
-  GROUP BY host, l, above, seg, class, kin
-  HAVING kin > 1 AND round(sum(least(share, pool)), 9) >= 0.7),
+total AS (SELECT host, l, above, seg, sum(n) AS all_n FROM branch WHERE seg <> '*'
+  GROUP BY host, l, above, seg),
+profile AS (SELECT host, l, above, seg, below, sum(n) AS m, sum(n) / any_value(all_n) AS share
+  FROM branch JOIN total USING (host, l, above, seg) GROUP BY host, l, above, seg, below),
+kin AS (SELECT host, l, above, count(*) AS kin, sum(all_n) AS kin_n FROM total GROUP BY host, l, above),
+pooled AS (SELECT host, l, above, below, sum(m) / any_value(kin_n) AS pool, any_value(kin) AS kin
+  FROM profile JOIN kin USING (host, l, above) GROUP BY host, l, above, below),
+joint AS (SELECT host, l, above, seg, '*' AS joint FROM profile JOIN pooled USING (host, l, above, below)
+  GROUP BY host, l, above, seg, kin HAVING kin > 1 AND round(sum(least(share, pool)), 9) >= 0.7),
 merged AS (SELECT host, segs, list(coalesce(joint, seg) ORDER BY l) AS final
   FROM branch LEFT JOIN joint USING (host, l, above, seg) GROUP BY host, segs),
 finals AS (SELECT t.*, coalesce(m.final, t.segs) AS final FROM tree t LEFT JOIN merged m USING (host, segs)),
-everywhere AS (SELECT final, (sum(bad) + 2 * 0.1::DOUBLE) / (sum(bad) + sum(good) + 2) AS towards
-  FROM finals GROUP BY final),
-shares AS (SELECT host, final, (sum(bad) + 2 * any_value(towards)) / (sum(bad) + sum(good) + 2)
-    AS blocked_share FROM finals JOIN everywhere USING (final) GROUP BY host, final)
+everywhere AS (SELECT segs, (sum(bad) + 2 * 0.1::DOUBLE) / (sum(bad) + sum(good) + 2) AS towards
+  FROM tree GROUP BY segs),
+own AS (SELECT host, final, sum(bad) AS bad, sum(good) AS good FROM finals GROUP BY host, final),
+shares AS (SELECT host, segs, final, (own.bad + 2 * towards) / (own.bad + own.good + 2) AS blocked_share
+  FROM finals JOIN own USING (host, final) JOIN everywhere USING (segs))
 SELECT page_id, host, path, rule,
   coalesce(said, CASE WHEN blocked_share >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
   '/' || array_to_string(final, '/') AS template, blocked_share
-FROM urls JOIN named USING (host, path) JOIN finals USING (host, segs) JOIN shares USING (host, final)
+FROM urls JOIN named USING (host, path) JOIN shares USING (host, segs)
 """
 
 
