@@ -98,7 +98,7 @@ def test_decontamination(spark, odd_docs):
              "clean text of no interest at all", "some tiny item here", None, "", "9 8 7 6 5 4 3 2 1"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r for r in decontam.find_leaks(df, bench).collect()}
-    assert [got[i]["items"] for i in range(8)] == [[1], [1], [], [], [3], [], [], []]
+    assert [got[i]["items"] for i in range(8)] == [[1], [1], [1], [], [3], [], [], []]
     assert got[0]["leaks"][0]["kind"] == "verbatim" and got[1]["leaks"][0]["kind"] == "reparameterised"
     leak = got[1]["leaks"][0]
     assert texts[1][leak["start"]:leak["end"]] == again
@@ -127,6 +127,42 @@ def test_a_run_with_one_edited_slot_is_not_lost(spark):
     assert any(c.startswith("more crates") and c.endswith("two brothers") for c in cut)
 
 
+def test_items_without_an_id_names_of_any_script_and_blocks(spark):
+    told = ("As the day began Élise gave 12 books to her cousin Ömer and later Élise asked what "
+            "Ömer would pay for 3 of them")
+    bench = spark.createDataFrame([(None, PASSAGE), (7, told), (8, "x")], "item_id long, text string")
+    texts = [PASSAGE, told.replace("Élise", "Zoë").replace("Ömer", "Åke").replace("12", "30"),
+             told.replace("Élise", "Anna").replace("Ömer", "Bert"),
+             "nothing of the kind " * 9]
+    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts)], "doc_id long, text string, n string")
+    for words in (1 << 20, 20, 3):
+        got = {r["doc_id"]: r for r in decontam.find_leaks(df, bench, block_words=words).collect()}
+        assert [got[i]["items"] for i in range(4)] == [[None], [7], [7], []]
+        assert [got[i]["contaminated"] for i in range(4)] == [True, True, True, False] and got[0]["n"] == "kept"
+        assert got[1]["leaks"][0]["kind"] == "reparameterised"
+
+
+def test_recall_on_items_with_one_edited_slot(spark):
+    """Items of the given table with numbers and names planted; one of them changed in the copy."""
+    rng, items, texts, target = random.Random(4), {}, [], []
+    for r in load(spark, BIG, "benchmark").orderBy("item_id").collect():
+        words = (r["text"] or "").lower().split()
+        slots = list(range(4, len(words), 9))
+        for i in slots:                                     # few fillers, so equal ones must be made different
+            words[i] = rng.choice(["3", "12", "Quentin", "Zoë"])
+        items[r["item_id"]] = " ".join(words)
+        for i in rng.sample(slots, min(3, len(slots))):
+            new = "4711" if words[i].isdigit() else "Rosalind"
+            texts.append(" ".join([*words[:i], new, *words[i + 1:]]))
+            target.append((r["item_id"], max(i, len(words) - i - 1)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {r["doc_id"]: set(r["items"]) for r in decontam.find_leaks(df, bench).collect()}
+    hit = sum(item in got[i] for i, (item, _) in enumerate(target))
+    assert len(target) > 40 and hit >= 0.9 * len(target)
+    assert all(item in got[i] for i, (item, left) in enumerate(target) if left >= 13)
+
+
 def plain_words(text):
     joint = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "\0", text or "")
     return re.sub(r"[^\w\0]|_", " ", joint).lower().split()
@@ -171,7 +207,7 @@ def test_stretches_against_brute_force():
         def widest(least, same):
             ok = {(a, b) for a in range(n) for b in range(a + least, n + 1) if fits(a, b, same)}
             return {(a, b) for a, b in ok if (a - 1, b) not in ok and (a, b + 1) not in ok}
-        want = widest(run + 1, True) | widest(2 * run, False)
+        want = widest(run, True) | widest(run, False)
         if not fits(0, n, False):
             assert {x[:2] for x in decontam.stretches(item, doc, at, n, run)} == want
 

@@ -8,20 +8,22 @@ item, if that is shorter) and its slots are consistent: equal item fillers are
 equal in the document and different ones differ.  So a question asked again with
 other numbers or names is caught, and text that merely has a number at the same
 places is not.  An inconsistent run is searched for its maximal stretches: verbatim
-ones of more than ``min_run`` words count, and consistent ones of twice as many.
+and consistent ones of ``min_run`` words count.
 
 The type of a word hangs on the punctuation before it, so windows of lower-cased words
-without types are joined too: a verbatim passage is found whatever its marks, line
-breaks or case.  Inside an inconsistent run it needs more than ``min_run`` words.
-
-The benchmark is read in blocks of at most ``block_words`` words; only one block's
-tables are broadcast at a time, whatever the benchmark's size.
-
-Defined cases: null or empty texts and items match nothing; an item with fewer
-words than a window is matched whole; runs of placeholders alone do
-not count; repeated items each count; repeated rows get equal results; an empty
-benchmark leaves every document clean.  Columns named contaminated, items or leaks
-are replaced.
+without types are joined too: a verbatim passage of ``min_run`` words is found whatever
+its marks, line breaks or case, also inside an inconsistent run.
+
+The benchmark is read in blocks of at most ``block_words`` words.  One block's tables are
+broadcast at a time, whatever the benchmark's size: with more than one block the documents
+found so far are written to the shared folder before the next one is read, a pass over
+the texts for each block.
+
+Defined cases: null or empty texts and items match nothing; an item without an id counts
+and is listed as null; an item with fewer words than a window is matched whole; runs of
+placeholders alone do not count; repeated items each count; repeated rows get equal
+results; very long texts are scanned whole; an empty benchmark leaves every document
+clean.  Columns named contaminated, items or leaks are replaced, others are kept.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bytescan import (DIGIT, LOWER, WORD, chunks, joined, span_hashes, spans,
                                    window_hashes)
+from tidemark.llm.common import materialise
 
 WINDOW = 8
 MIN_RUN = 13
@@ -103,6 +106,15 @@ def folded(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, inside
 
 
+def _capital(buf: np.ndarray, lower: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Words whose first character, of up to three bytes, has another lower case."""
+    out = buf[start] != lower[start]
+    for more, lead in ((1, 0xC2), (2, 0xE0)):
+        at = np.minimum(start + more, len(buf) - 1)
+        out |= (buf[start] >= lead) & (buf[start] < 0xF0) & (start + more < len(buf)) & (buf[at] != lower[at])
+    return out
+
+
 def words_of(buf: np.ndarray, first: np.ndarray) -> Words:
     """The typed words of joined texts."""
     lower, inside = folded(buf)
@@ -119,7 +131,7 @@ def words_of(buf: np.ndarray, first: np.ndarray) -> Words:
     seen = np.maximum.accumulate(seen)
     before = np.where(start > 0, seen[np.maximum(start - 1, 0)], -1)
     opens = (before < 0) | np.isin(buf[np.maximum(before, 0)], np.frombuffer(b".!?:\n\r\0", np.uint8))
-    kind[(buf[start] >= 65) & (buf[start] <= 90) & ~opens] = NAME
+    kind[_capital(buf, lower, start) & ~opens] = NAME
     text = np.searchsorted(first, start, "right") - 1
     unit = np.zeros(len(start), dtype=bool)
     if len(start) > 1:
@@ -140,7 +152,7 @@ class Windows:
 @dataclass
 class Block:
     """A part of the benchmark: its words and windows."""
-    items: np.ndarray            # item ids
+    items: list[int | None]      # item ids
     first: np.ndarray            # first word of each item, and one past the last
     surface: np.ndarray
     kind: np.ndarray
@@ -169,12 +181,12 @@ def _index(value: np.ndarray, w: Words, size: np.ndarray, window: int, mixed: bo
     return out
 
 
-def make_block(items: list[tuple[int, str | None]], window: int = WINDOW) -> Block:
+def make_block(items: list[tuple[int | None, str | None]], window: int = WINDOW) -> Block:
     buf, first = joined([(t or "").encode("utf-8") for _, t in items])
     w = words_of(buf, first)
     bound = np.searchsorted(w.text, np.arange(len(items) + 1))
     size = np.diff(bound)
-    return Block(np.array([i for i, _ in items], dtype=np.int64), bound, w.surface, w.kind,
+    return Block([i for i, _ in items], bound, w.surface, w.kind,
                  _index(w.template, w, size, window, True), _index(w.surface, w, size, window, False))
 
 
@@ -189,14 +201,14 @@ def stretches(item: np.ndarray, doc: np.ndarray, at: np.ndarray, n: int,
     """(start, end, kind) of what counts in an inconsistent run of n words with slots at ``at``."""
     cuts = [-1, *at[item != doc].tolist(), n]
     for a, b in pairwise(cuts):
-        if b - a - 1 > min_run:
+        if b - a - 1 >= min_run:
             yield a + 1, b, "verbatim"
     there, back, pairs = {}, {}, Counter()
     low = start = 0
     fillers = list(zip(item.tolist(), doc.tolist(), at.tolist(), strict=True))
     for k, (x, y, place) in enumerate([*fillers, (None, None, n)]):
         clash = place == n or there.get(x, y) != y or back.get(y, x) != x
-        if clash and place - start >= 2 * min_run:
+        if clash and place - start >= min_run:
             same = all(a == b for a, b, _ in fillers[low:k])
             yield start, place, "verbatim" if same else "reparameterised"
         while place < n and (there.get(x, y) != y or back.get(y, x) != x):
@@ -244,7 +256,6 @@ def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[
     buf, first = joined(run)
     w = words_of(buf, first)
     seen: dict[tuple[int, int], set[tuple]] = {}     # (text, item) -> (first word, end, kind)
-    clash: dict[tuple[int, int], list[tuple]] = {}   # inconsistent runs: (diagonal, first word, end)
     for k, i0, p0, n in _runs(w.template, w, block.typed, block, min_run):
         slot = np.flatnonzero(block.kind[i0:i0 + n] > 0)
         mine, theirs = block.surface[i0:i0 + n][slot], w.surface[p0:p0 + n][slot]
@@ -253,14 +264,11 @@ def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[
             parts = [(0, n, "verbatim" if same else "reparameterised")]
         else:
             parts = stretches(mine, theirs, slot, n, min_run)
-            clash.setdefault((int(w.text[p0]), k), []).append((p0 - i0, p0, p0 + n))
         for x, y, kind in parts:
             seen.setdefault((int(w.text[p0]), k), set()).add((p0 + x, p0 + y, kind))
     for k, i0, p0, n in _runs(w.surface, w, block.plain, block, min_run):
         t = int(w.text[p0])
-        whole = n == block.first[k + 1] - block.first[k]
-        if (block.kind[i0:i0 + n] > 0).all() or (n == min_run and not whole and any(
-                d == p0 - i0 and a <= p0 and p0 + n <= b for d, a, b in clash.get((t, k), ()))):
+        if (block.kind[i0:i0 + n] > 0).all():
             continue
         parts = seen.setdefault((t, k), set())
         if not any(a <= p0 and p0 + n <= b for a, b, _ in parts):
@@ -272,14 +280,14 @@ def leaks_in(run: list[bytes], block: Block, window: int, min_run: int) -> dict[
         for a, b, kind in parts:
             s, e = int(w.start[a] - first[t]), int(w.end[b - 1] - first[t])
             s, e = len(body[:s].decode("utf-8", "ignore")), len(body[:e].decode("utf-8", "ignore"))
-            found.setdefault(t, []).append((int(block.items[k]), kind, s, e))
-    return {t: sorted(set(v)) for t, v in found.items()}
+            found.setdefault(t, []).append((block.items[k], kind, s, e))
+    return {t: sorted(set(v), key=lambda x: (x[0] is None, x)) for t, v in found.items()}
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple]]:
     block, size = [], 0
     rows = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(
-        "t is not null and i is not null").orderBy("i", "t")
+        "t is not null").orderBy(F.col("i").asc_nulls_last(), "t")
     for row in rows.toLocalIterator():
         n = 1 + row["t"].count(" ")
         if block and size + n > most:
@@ -308,12 +316,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                min_run: int = MIN_RUN, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with contaminated, items (sorted item ids) and leaks (runs)."""
     spark = docs.sparkSession
-    parts = []
-    for rows in _blocks(benchmark, item_id, item_text, block_words):
+    blocks = _blocks(benchmark, item_id, item_text, block_words)
+    rows, found = next(blocks, None), docs.withColumn("leaks", F.array().cast(LEAKS))
+    while rows is not None:
         shared = spark.sparkContext.broadcast(make_block(rows, window))
-        parts.append(_scanner(shared, window, min_run)(F.col(text_col)))
-    leaks = F.concat(*parts) if parts else F.array().cast(LEAKS)
-    return (docs.withColumn("leaks", leaks)
-            .withColumn("items", F.array_sort(F.array_distinct(
+        found = found.withColumn("leaks", F.concat("leaks", _scanner(shared, window, min_run)(F.col(text_col))))
+        rows = next(blocks, None)
+        if rows is not None:
+            found = materialise(found)
+            shared.unpersist()
+    return (found.withColumn("items", F.array_sort(F.array_distinct(
                 F.transform("leaks", lambda x: x["item"]))))
             .withColumn("contaminated", F.size("leaks") > 0))
