@@ -4,6 +4,7 @@ import re
 import string
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -84,6 +85,8 @@ def test_language_held_out_accuracy(spark, odd_docs, no_docs):
     assert got.where("lang = lang_pred").count() >= 0.98 * got.count()
     odd = {r["text"]: r for r in langid.predict(odd_docs, model).collect()}
     assert all(odd[t]["lang_pred"] == "und" and odd[t]["score"] == 0 for t in (None, "", "!!! ??? ..."))
+    with pytest.raises(ValueError):                        # no language is dropped in silence
+        langid.train(docs, F.lit(True), max_langs=3)
     none = langid.train(no_docs, F.lit(True))
     assert langid.predict(odd_docs, none).where("lang_pred <> 'und'").count() == 0
 

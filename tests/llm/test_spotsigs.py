@@ -4,13 +4,15 @@ import re
 from tidemark.llm import spotsigs as S
 from tidemark.llm.common import load
 from tidemark.llm.queries import q_op6_spotsigs
-from tidemark.operators.ranges import range_bounds, range_bucket
+from tidemark.llm.ranges import range_bounds, range_bucket
 
 SF = "/root/testdata/sf0.001"
 
 
 def chains(text):
     words = re.sub(r"[\W_]+", " ", text.lower()).strip().split()
+    if not set(words) & set(S.ANCHORS):
+        return {" ".join(words[i:i + 1 + S.CHAIN]) for i in range(len(words))}
     out, now = set(), ["^"]
     for w in words + [S.ANCHORS[0]]:
         if w in S.ANCHORS:
@@ -22,6 +24,31 @@ def chains(text):
     return out
 
 
+def murmur3(text, seed=42):
+    """32-bit murmur3 with every byte of the tail mixed as a block of its own."""
+    def mix(h, k):
+        k = k * 0xCC9E2D51 & 0xFFFFFFFF
+        k = (k << 15 | k >> 17) & 0xFFFFFFFF
+        h ^= k * 0x1B873593 & 0xFFFFFFFF
+        h = (h << 13 | h >> 19) & 0xFFFFFFFF
+        return (h * 5 + 0xE6546B64) & 0xFFFFFFFF
+    raw, h = text.encode(), seed
+    whole = len(raw) // 4 * 4
+    for i in range(0, whole, 4):
+        h = mix(h, int.from_bytes(raw[i:i + 4], "little"))
+    for byte in raw[whole:]:
+        h = mix(h, (byte - 256 if byte > 127 else byte) & 0xFFFFFFFF)
+    h ^= len(raw)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ h >> shift) * factor & 0xFFFFFFFF
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def fingerprint(text):
+    return "".join(f"{h & 0xFFFFFFFF:08x}" for h in sorted({murmur3(c) for c in chains(text)}))
+
+
 def test_query_against_brute_force(spark):
     docs = sorted(((r["doc_id"], r["text"]) for r in load(spark, SF, "documents").collect()),
                   reverse=True)
@@ -35,7 +62,7 @@ def test_query_against_brute_force(spark):
         r = got[i]
         assert r["n_chars"] == len(t)
         assert r["edited_sha256"] == hashlib.sha256(edit.encode()).hexdigest()
-        assert len(r["fingerprint"]) == 8 * len(chains(t))
+        assert r["fingerprint"] == fingerprint(t) and r["edited_fingerprint"] == fingerprint(edit)
         assert abs(r["near_edited"] - jac(chains(t), chains(edit))) < 1e-9
         assert abs(r["near_next"] - jac(chains(t), chains(nxt))) < 1e-9
 
@@ -52,6 +79,17 @@ def test_next_wraps_and_crosses_buckets(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_texts_without_common_words_are_spanned(spark):
+    words = [f"слово{i} líne{i}" for i in range(40)]
+    text, half = " ".join(words), " ".join(words[:20] + [f"other{i} quux{i}" for i in range(20)])
+    rows = [(1, text), (2, half), (3, "def f(x):\n    return x+1"), (4, "one"), (5, "!?")]
+    got = {r["doc_id"]: r for r in S.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(set(got[i]["sigs"]) == {murmur3(c) for c in chains(t)} for i, t in rows)
+    assert len(got[1]["sigs"]) == 80 and got[5]["sigs"] == []
+    both = len(set(got[1]["sigs"]) & set(got[2]["sigs"]))
+    assert 30 <= both <= 45                       # half the words changed: half the signatures
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = S.with_next(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -9,8 +9,11 @@ weights never saw.  Prediction reads whole texts.
 Defined cases: null text or text without a letter -> ``und`` with score 0; no
 training row -> every document ``und``; a single language -> that language with
 score 1; null language rows and null texts never train; repeated rows are rows of
-their own; the id is only hashed, so a null id is an ordinary (training) id.
-Result columns replace input columns of the same name in ``predict``.
+their own; the id is only hashed (whether a null id trains is the caller's condition).
+More than ``max_langs`` languages raise ValueError: the model, which is broadcast, has a
+column of weights for each.  Languages of equal probability go to the first by name.
+Very long texts are read whole.  Result columns replace input columns of the same name
+in ``predict``, others are kept.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ UNKNOWN = "und"
 DIMS = 1 << 14
 ORDERS = 3
 MAX_SAMPLE = 4096      # documents the weights and the temperature are fitted on
-MAX_LANGS = 256        # the most frequent training languages are learned
+MAX_LANGS = 256        # more training languages are refused, none is dropped
 _MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], dtype=np.uint32)
 
 
@@ -134,13 +137,15 @@ def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", max_sample: int = MAX_SAMPLE) -> Model:
+          lang_col: str = "lang", max_sample: int = MAX_SAMPLE, max_langs: int = MAX_LANGS) -> Model:
     """Fit on the rows where ``train_on`` holds, text and language are given."""
     rows = (docs.where(train_on).where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
             .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                     F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h")))
     size = {r["lang"]: r["count"] for r in rows.groupBy("lang").count()
-            .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+            .orderBy("lang").limit(max_langs + 1).collect()}
+    if len(size) > max_langs:
+        raise ValueError(f"more than {max_langs} languages to learn; raise max_langs")
     langs = sorted(size)
     if not langs:
         return Model((), np.zeros(DIMS), np.zeros((DIMS + 1, 0)), 1.0)
@@ -154,7 +159,7 @@ def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: s
     # hashes are uniform, so four times the share wanted holds the lowest ``each`` of them,
     # and the window gets about 4 * each rows of a language however many it has
     near = F.lit(False)
-    for lang, n in size.items():                         # at most MAX_LANGS literals
+    for lang, n in size.items():                         # at most max_langs literals
         top = (1 << 63) - 1 if n <= 4 * each else -(1 << 63) + 4 * each * (1 << 64) // n
         near = near | ((F.col("lang") == lang) & (F.col("h") <= F.lit(top)))
     known = rows.where(near)
@@ -162,7 +167,7 @@ def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: s
     last = (known.select("lang", "h").withColumn("rn", F.row_number().over(order))
             .where(F.col("rn") <= each).groupBy("lang").agg(F.max("h").alias("last")).collect())
     upto = F.lit(False)
-    for r in last:                                       # at most MAX_LANGS literals
+    for r in last:                                       # at most max_langs literals
         upto = upto | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["last"]))
     got = (known.where(upto).withColumn("t", F.xxhash64("text"))
            .orderBy("h", "t").limit(2 * max_sample)      # ids that repeat share a hash
@@ -194,7 +199,7 @@ def classify(text: str | None, model: Model) -> tuple[str, float]:
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (the calibrated probability)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x MAX_LANGS numbers at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x max_langs numbers at most
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(text: pd.Series) -> pd.DataFrame:

@@ -1,8 +1,9 @@
 """Document fingerprints by SpotSigs, in DataFrame functions only.
 
 A signature is a common-word anchor with the chain of up to ``chain`` content words
-that follow it before the next anchor; the start of a text is an anchor too, so every
-text with a word has one.  A fingerprint is the sorted set of 32-bit signature
+that follow it before the next anchor; the start of a text is an anchor too.  In a text
+without any common word (another language, code, lists) every word is an anchor, with
+the ``chain`` words after it, so the signatures span the whole text.  A fingerprint is the sorted set of 32-bit signature
 hashes; likeness is the Jaccard share of two sets.
 
 ``near_duplicates`` compares sets through partitions of set length: two sets can
@@ -13,7 +14,9 @@ other pairs are pruned before any set is compared.
 Defined cases: null text is empty text; a text without a word has the empty set and
 fingerprint ``''``; two empty sets have likeness 1, an empty and a filled one 0;
 repeated rows are rows of their own; null ids come after all others in
-descending order; rows of equal id are ordered by text; one document is its own next.
+descending order; rows of equal id are ordered by text; one document is its own next;
+very long texts are read whole; columns other than the id and the text, whatever their
+names, are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.ranges import range_bounds, range_bucket
+from tidemark.llm.ranges import range_bounds, range_bucket
 
 #: Common words of English, German, French and Spanish that serve as anchors.
 ANCHORS = ("the of and to in is that it for with as on by at from this are was be or an a "
@@ -41,6 +44,13 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     pieces = F.split(F.concat(F.lit("^ "), words, F.lit(" ")), f" (?=(?:{anchor}) )")
     chains = F.transform(pieces, lambda p: F.substring_index(F.rtrim(p), " ", 1 + chain))
     kept = F.filter(chains, lambda p: F.instr(p, " ") > 0)
+    # one array, shifted against itself: no lambda reads another array
+    one = F.filter(F.split(words, " "), lambda w: w != "")
+    every = one
+    for k in range(1, chain + 1):
+        every = F.zip_with(every, F.slice(one, F.lit(1 + k), F.greatest(F.size(one), F.lit(1))),
+                           lambda a, b: F.concat_ws(" ", a, b))
+    kept = F.when(F.concat(F.lit(" "), words, F.lit(" ")).rlike(f" (?:{anchor}) "), kept).otherwise(every)
     return F.array_sort(F.array_distinct(F.transform(kept, lambda p: F.hash(p))))
 
 
