@@ -329,7 +329,7 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
      .bucketBy(n_buckets, "doc_id").sortBy("doc_id").saveAsTable(vectors))
     (spark.table(name).groupBy("dim", norm_class("norm").alias("cls")).agg(
         F.count(F.lit(1)).alias("df"), F.max(F.col("w") / F.col("norm")).alias("top"))
-     .coalesce(1).write.mode("overwrite").parquet(f"{path}/dim_stats"))   # DIM x classes at most
+     .write.mode("overwrite").parquet(f"{path}/dim_stats"))               # DIM x classes at most
     spark.createDataFrame([(n_buckets, name, index.id_name)],
                           "buckets int, table string, id_name string").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")

@@ -32,6 +32,7 @@ MAX_LITERAL_DIMS = 1000
 SCORE_SCALE = 1e8                  # 8 places
 SLACK = 4e-8                       # more than rounding can move two scores against each other
 SEED_DOCS = 10                     # seeds hold about so many times k documents
+SEED_CELL = 20                     # a seed cell holds at most so many times that
 REST_SHARE = 0.5                   # of the floor that the cells left out may add up to
 MAX_ESSENTIAL = 0.05               # of a query's postings that are read before all are
 
@@ -128,7 +129,8 @@ def bounded_pairs(index: TextIndex, rows: DataFrame, n_rows: int, n_queries: int
 
     1. A query's cells of greatest bound, until they hold ``SEED_DOCS`` times k documents,
        give partial scores; the k best documents of these are completed.  The least of
-       their k exact scores is a floor: the k-th best score is not below it.
+       their k exact scores is a floor: the k-th best score is not below it.  Cells of very
+       many documents are no seeds (a group of copies would be read for every query).
     2. In every class, cells are left out from the least bound on while their bounds add up to
        less than ``REST_SHARE`` of the floor: a document that holds no other dimension cannot
        reach the top k, so only the other (essential) cells are joined with the postings.
@@ -157,7 +159,8 @@ def bounded_pairs(index: TextIndex, rows: DataFrame, n_rows: int, n_queries: int
 
     best = Window.partitionBy(id_col).orderBy(F.col("ub").desc(), "dim", "cls")
     earlier = F.coalesce(F.sum("df").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    seeds = bounds.withColumn("_df", earlier).where(F.col("_df") < F.col("_k") * SEED_DOCS)
+    few = bounds.where(F.col("df") <= F.col("_k") * SEED_DOCS * SEED_CELL)
+    seeds = few.withColumn("_df", earlier).where(F.col("_df") < F.col("_k") * SEED_DOCS)
     ks = rows.select(id_col, "_k").distinct()
     order = Window.partitionBy(id_col).orderBy(F.col("part").desc(), "doc_id")
     first = (partial(seeds).withColumn("_rn", F.row_number().over(order))
