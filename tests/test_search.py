@@ -217,3 +217,18 @@ def test_repeated_ids(spark, tmp_path):
         build_index(docs, repeated="error")
     with pytest.raises(ValueError):
         build_index(docs, repeated="any")
+
+
+def test_old_builds_are_removed(spark, search_cases, tmp_path):
+    from tidemark.operators.index import current_build, expire_builds, read_index
+    path = str(tmp_path / "idx")
+    for _ in range(3):
+        write_index(_index(search_cases), path, buckets=2)
+    (tmp_path / "idx" / "build=half" / "terms").mkdir(parents=True)
+    assert len(expire_builds(spark, path)) == 1                  # the oldest; the unpublished one is young
+    assert expire_builds(spark, path, keep=1, older_than_ms=0) and not (tmp_path / "idx" / "build=half").exists()
+    assert [p.name for p in (tmp_path / "idx").glob("build=*")] == [current_build(spark, path).rsplit("/", 1)[1]]
+    idx = read_index(spark, path, ["title", "status"])
+    assert _pairs(search_one(spark, idx, QUERY, 10).collect()) == GOLDEN
+    with pytest.raises(ValueError):
+        expire_builds(spark, path, keep=0)

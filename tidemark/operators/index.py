@@ -261,6 +261,43 @@ def current_build(spark: SparkSession, path: str) -> str:
     return f"{path}/build={max(done)}"
 
 
+def expire_builds(spark: SparkSession, path: str, keep: int = 2,
+                  older_than_ms: int = 24 * 3600 * 1000) -> list[str]:
+    """Remove all but the newest ``keep`` published builds; returns the builds removed.
+
+    Builds that were never published go too once they are ``older_than_ms`` old (a younger
+    one may still be written).  Readers that opened a build that goes lose its files, so
+    keep as many as there can be open.
+    """
+    if keep < 1:
+        raise ValueError("keep one build at least")
+    jvm, root = spark.sparkContext._jvm, path.rstrip("/")
+    to_path = jvm.org.apache.hadoop.fs.Path
+    fs = to_path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def listed(folder: str) -> dict[str, int]:
+        p = to_path(folder)
+        return {s.getPath().getName(): s.getModificationTime()
+                for s in (fs.listStatus(p) if fs.exists(p) else [])}
+
+    done = sorted(b for b in listed(f"{root}/published")
+                  if fs.exists(to_path(f"{root}/published/{b}/_SUCCESS")))
+    kept, now = set(done[-keep:]), int(jvm.java.lang.System.currentTimeMillis())
+    gone = []
+    for folder, changed in sorted(listed(root).items()):
+        build = folder.removeprefix("build=")
+        if not folder.startswith("build=") or build in kept or (
+                build not in done and now - changed < older_than_ms):
+            continue
+        fs.delete(to_path(f"{root}/published/{build}"), True)      # first: no reader starts with it
+        name = _table_name(f"{root}/{folder}")
+        for table in (name, f"{name}_vectors"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        fs.delete(to_path(f"{root}/{folder}"), True)
+        gone.append(build)
+    return gone
+
+
 def write_index(index: TextIndex, path: str, buckets: int | None = None,
                 bucket_bytes: int = 512 * 1024 * 1024,
                 row_group_bytes: int = 16 * 1024 * 1024) -> TextIndex:
