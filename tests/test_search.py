@@ -180,7 +180,7 @@ def _corpus(spark, n=1500, seed=3):
 def test_bounded_search_gives_the_same_rows_from_fewer_pairs(spark, tmp_path, monkeypatch, share):
     monkeypatch.setattr("tidemark.operators.search.MAX_ESSENTIAL", share)
     docs, q = _corpus(spark)
-    idx = write_index(build_index(docs), str(tmp_path / "idx"), buckets=3)
+    idx = write_index(build_index(docs), str(tmp_path / "idx"), buckets=3, bounds=True)
     rows = _both(idx, q)
     assert {r.query_id for r in rows} >= {0, 902, 903} and not [r for r in rows if r.query_id == 900]
     _both(idx, q, broadcast_rows=0)                      # nothing broadcast: hot dimensions shuffled
@@ -196,11 +196,12 @@ def test_bounded_search_gives_the_same_rows_from_fewer_pairs(spark, tmp_path, mo
 
 def test_completion_meets_the_vectors_without_an_exchange(spark, tmp_path):
     docs, q = _corpus(spark)
-    idx = write_index(build_index(docs), str(tmp_path / "idx"), buckets=3)
+    idx = write_index(build_index(docs), str(tmp_path / "idx"), buckets=3, bounds=True)
     plan = search(idx, q, bounded=True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(doc_id" not in plan and "WindowGroupLimit" in plan
-    with pytest.raises(ValueError):
-        search(build_index(docs), q, bounded=True)
+    for plain in (build_index(docs), write_index(build_index(docs), str(tmp_path / "plain"))):
+        with pytest.raises(ValueError):
+            search(plain, q, bounded=True)
 
 
 def test_repeated_ids(spark, tmp_path):

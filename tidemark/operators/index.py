@@ -57,8 +57,8 @@ class TextIndex:
     id_name: str = "doc_id"             # the source id column; results use this name
     payload_rows: DataFrame | None = None  # doc_id + payload only (joined to results)
     source: DataFrame | None = None     # latest-version rows, where ids may repeat
-    vectors: DataFrame | None = None    # written indexes: doc_id, norm, dims, ws by document
-    dim_stats: DataFrame | None = None  # written indexes: dim, cls, df, top (greatest unit weight)
+    vectors: DataFrame | None = None    # written with bounds: doc_id, norm, dims, ws by document
+    dim_stats: DataFrame | None = None  # written with bounds: dim, cls, df, top unit weight
 
 
 class RepeatedIds(ValueError):
@@ -300,7 +300,7 @@ def expire_builds(spark: SparkSession, path: str, keep: int = 2,
 
 def write_index(index: TextIndex, path: str, buckets: int | None = None,
                 bucket_bytes: int = 512 * 1024 * 1024,
-                row_group_bytes: int = 16 * 1024 * 1024) -> TextIndex:
+                row_group_bytes: int = 16 * 1024 * 1024, bounds: bool = False) -> TextIndex:
     """Materialise the index as a new build under ``path`` and return it read back.
 
     A build has its own folder and table name; readers follow the newest
@@ -313,9 +313,10 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
        (a shuffle of the compact array form), weights are computed in-row
        and the postings are written as a table *bucketed* by ``doc_id`` and
        sorted by ``(dim, doc_id)``: one file per bucket, no further shuffle;
-    4. the weighted arrays themselves are written with the same buckets, and
-       the greatest unit weight of every dimension and norm class beside its df:
-       with them a batch search leaves out documents that cannot reach a top k.
+    4. with ``bounds``, the weighted arrays themselves are written with the same
+       buckets, and the greatest unit weight of every dimension and norm class beside
+       its df: with them a batch search can leave out documents that cannot reach a
+       top k (``search(bounded=True)``).
 
     Bucketing lets every search sum scores per (query, doc) without an
     exchange (a document's postings are all in one bucket), and the sort
@@ -359,16 +360,17 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
      .option("path", f"{path}/postings")
      .bucketBy(n_buckets, "doc_id").sortBy("dim", "doc_id")
      .saveAsTable(name))
-    vectors = f"{name}_vectors"
-    spark.sql(f"DROP TABLE IF EXISTS {vectors}")
-    (weighted.select("doc_id", "norm", F.col("terms.dim").alias("dims"), F.col("terms.w").alias("ws"))
-     .write.mode("overwrite").option("path", f"{path}/vectors")
-     .bucketBy(n_buckets, "doc_id").sortBy("doc_id").saveAsTable(vectors))
-    (spark.table(name).groupBy("dim", norm_class("norm").alias("cls")).agg(
-        F.count(F.lit(1)).alias("df"), F.max(F.col("w") / F.col("norm")).alias("top"))
-     .write.mode("overwrite").parquet(f"{path}/dim_stats"))               # DIM x classes at most
-    spark.createDataFrame([(n_buckets, name, index.id_name)],
-                          "buckets int, table string, id_name string").coalesce(1) \
+    if bounds:
+        vectors = f"{name}_vectors"
+        spark.sql(f"DROP TABLE IF EXISTS {vectors}")
+        (weighted.select("doc_id", "norm", F.col("terms.dim").alias("dims"), F.col("terms.w").alias("ws"))
+         .write.mode("overwrite").option("path", f"{path}/vectors")
+         .bucketBy(n_buckets, "doc_id").sortBy("doc_id").saveAsTable(vectors))
+        (spark.table(name).groupBy("dim", norm_class("norm").alias("cls")).agg(
+            F.count(F.lit(1)).alias("df"), F.max(F.col("w") / F.col("norm")).alias("top"))
+         .write.mode("overwrite").parquet(f"{path}/dim_stats"))               # DIM x classes at most
+    spark.createDataFrame([(n_buckets, name, index.id_name, bounds)],
+                          "buckets int, table string, id_name string, bounds boolean").coalesce(1) \
         .write.mode("overwrite").json(f"{path}/meta")
     publish(spark, root, build)
     return read_index(spark, root, index.payload, index.versions is not None)
@@ -411,9 +413,10 @@ def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
     docs = norms.join(payload_rows, "doc_id") if payload else norms
     versions = spark.read.parquet(f"{path}/versions") if has_versions else None
     meta = spark.read.json(f"{path}/meta").first()
+    bounds = "bounds" in meta and bool(meta["bounds"])
     return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs, idf=idf,
                      postings=_postings_table(spark, path),
                      docs=docs, payload=payload, versions=versions,
                      id_name=meta["id_name"] or "doc_id", payload_rows=payload_rows,
-                     vectors=_vectors_table(spark, path),
-                     dim_stats=spark.read.parquet(f"{path}/dim_stats"))
+                     vectors=_vectors_table(spark, path) if bounds else None,
+                     dim_stats=spark.read.parquet(f"{path}/dim_stats") if bounds else None)

@@ -229,7 +229,7 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     Rejected requests (blank, top_k outside 1..100) produce no rows; use
     :func:`validate_requests` to see why.
 
-    ``bounded`` (written indexes only, which store the bounds): leave out documents that
+    ``bounded`` (indexes written with ``bounds`` only): leave out documents that
     cannot reach a query's top k, see :func:`bounded_pairs`; the results are the same.  It
     pays for short queries whose rare words decide; not the default, since raw counts let
     common words rule the scores of long texts.  Query ids are taken to be distinct.
@@ -237,7 +237,7 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     if not (1 <= int(default_k) <= MAX_TOP_K):
         raise ValueError(f"top_k must be in 1..{MAX_TOP_K}")
     if bounded and index.vectors is None:
-        raise ValueError("bounds are stored with a written index: write_index first")
+        raise ValueError("this index stores no bounds: write_index(bounds=True) first")
     if k_col and k_col in queries.columns:
         req = validate_requests(queries, query_col, k_col).where("accepted").withColumn(
             "_k", F.col(k_col))

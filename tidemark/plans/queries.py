@@ -129,7 +129,7 @@ def rare_word_requests(spark, sf_dir) -> DataFrame:
 
 def q_search_rare_words(spark, sf_dir):
     """Rare and common words together on the written index: few documents need scoring."""
-    idx = write_index(documents_index(spark, sf_dir), scratch_path(spark, "rare-index"))
+    idx = write_index(documents_index(spark, sf_dir), scratch_path(spark, "rare-index"), bounds=True)
     return search(idx, rare_word_requests(spark, sf_dir), k_col=None, default_k=3, bounded=True)
 
 
