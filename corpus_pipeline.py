@@ -3,6 +3,14 @@
 Every stage takes (spark, docs, sf_dir) and returns documents; all but the last
 return exactly the columns they got.  ``run`` writes each stage as Parquet in the
 shared folder and reads it back, so a lost executor never reaches past one stage.
+
+Defined cases, beside those of the operators: a null or empty text has no language and
+goes in the first stage; the other stages keep such a row if they are given it (copies of
+it are one component).  A null language or source is a value like any other; a null id
+counts as empty text where ids are hashed.  Repeated rows are copies, of which the second
+stage keeps one.  Texts of any length are read whole.  Further columns are carried along; the
+last stage replaces ones named copy or shuffle_key.  Ties: of a component the smallest id
+stays, then the smaller text.  An empty table passes every stage.
 """
 
 from __future__ import annotations

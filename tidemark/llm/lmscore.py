@@ -12,8 +12,9 @@ document's score is the sum of the natural logs.
 
 Tokens: maximal runs of letters and digits of the lower-cased text.  Defined cases:
 null, empty or word-less texts have 0 tokens, sum 0.0 and null mean; repeated rows are
-documents of their own and count for each other; null ids are allowed; an empty table
-gives an empty result.
+documents of their own and count for each other; null ids are allowed; very long texts
+are read whole; columns other than the id and the text, whatever their names, are not
+looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ labelled rows and ``max_unlabelled`` others, chosen by a hash of the id.
 Defined cases: null text is empty text; an empty text gets the score of the bias
 alone; without any labelled row every score is 0.0; a null or other label counts as
 unlabelled; documents labelled twice train once per label row; repeated rows get equal
-scores.  Columns named score or predicted are replaced.
+scores; very long texts are read whole; a score of exactly 0.5 predicts 1; an empty table
+gives an empty result.  Columns named score or predicted are replaced, others are kept.
 """
 
 from __future__ import annotations
