@@ -2,7 +2,7 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Times are warm (the JVM and the code paths are exercised once first) and
-each is the best of BENCH_REPEATS (default 2) runs, since run-to-run noise
+each is the best of BENCH_REPEATS (default 3) runs, since run-to-run noise
 on a shared VM is large; stateful steps start from fresh folders each run:
 
 * index_build     tokenise + hash + df/idf + weights, postings written
@@ -39,7 +39,7 @@ from tidemark.sources.tables import mark_literal  # noqa: E402
 from tidemark.specs import TableSpec  # noqa: E402
 
 
-REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 
 def best_of(fn, setup=None) -> float:
