@@ -7,6 +7,9 @@ from tidemark.functions.text import token_dim, tokenize
 from tidemark.functions.timefmt import iso_text, parse_iso
 
 
+# Fixed values of the index and event formats: dimensions, fingerprints and time texts that
+# were recorded elsewhere.  Another value means that stored indexes and logs do not match.
+
 def test_tokenize_drops_short_and_non_ascii(spark):
     df = spark.createDataFrame([("ÉTÉ x a1-b2_c3",), ("",), (None,)], "t string")
     got = [r[0] for r in df.select(tokenize("t")).collect()]
