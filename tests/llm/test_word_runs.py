@@ -4,9 +4,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import word_runs
+from tidemark.llm.common import slices
 from tidemark.llm.queries import QUERIES
 
 BLANKS = "[^\x20\x09-\x0D]+"
@@ -115,3 +117,13 @@ def test_operator_returns_runs_and_texts(spark, odd_docs, no_docs):
     assert word_runs.find_runs(no_docs).count() == 0
     with pytest.raises(ValueError):
         word_runs.find_runs(df, min_exponent=1)
+
+
+def test_batches_are_cut_by_bytes():
+    texts = ["a" * 10, None, "", "é" * 30, "b" * 500, "c", "d" * 60]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["i", "t"])
+    parts = list(slices(batch, 1, 70))
+    assert [p.num_rows for p in parts] == [4, 1, 2] and pa.Table.from_batches(parts).to_pydict() == {
+        "i": list(range(7)), "t": texts}
+    assert list(slices(batch.slice(0, 0), 1)) == []
+    assert [p.num_rows for p in slices(batch.slice(4), 1, 1)] == [1, 1, 1]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,21 @@ def text_udf(fn: Callable[[str | None], object], returns: str):
     return apply
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, cut so that a text column holds about ``most`` bytes.
+
+    A longer text is a slice of its own: what a task keeps in Python does not grow with
+    the number of rows that Spark puts into a batch."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False),
+                     dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        done = size[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(size, done + most, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def held_out(id_col: Column) -> Column:
     """crc32 of the id as text mod 5 is 0; a null id counts as empty text."""
     return (F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5) == 0

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
 
@@ -186,8 +188,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                yield _batch(batch.slice(at, 1000))
+            yield from map(_batch, slices(batch, 1))
 
     def _batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [(t or "").encode().split() for t in batch.column(1).to_pylist()]
