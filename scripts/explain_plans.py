@@ -15,13 +15,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.operators.index import build_index, write_index  # noqa: E402
-from tidemark.operators.search import query_vectors, search  # noqa: E402
+from tidemark.operators import freshness  # noqa: E402
+from tidemark.operators.search import query_vectors, search, search_one  # noqa: E402
 from tidemark.operators.versions import latest_version  # noqa: E402
 from tidemark.plans.ingest import delta_summary  # noqa: E402
 from tidemark.plans.ingest_queries import EVENTS_MARK, events_spec, orders_spec  # noqa: E402
 from tidemark.plans.quality_queries import q_dq_foreign_key  # noqa: E402
 from tidemark.plans.queries import benchmark_queries, load  # noqa: E402
+from tidemark.plans.service_queries import _order_runs, lagged_events  # noqa: E402
 from tidemark.session import get_session, scratch_path  # noqa: E402
+from tidemark.sources import tenants  # noqa: E402
+from tidemark.streaming.segments import segment_index, start_segments  # noqa: E402
 
 
 def plan(df) -> str:
@@ -64,6 +68,26 @@ def main():
          latest_version(ev, "user_id", ["ts"])),
         ("Foreign keys: anti-joins on key columns only", q_dq_foreign_key(spark, sf_dir)),
     ]
+    root = scratch_path(spark, "plans-service")
+    landed = docs.select("doc_id", "text")
+    landed.write.parquet(f"{root}/landing")
+    start_segments(spark, f"{root}/landing", landed.schema, f"{root}/segments",
+                   f"{root}/stream").awaitTermination()
+    orders, early, marks = _order_runs(spark, sf_dir)
+    tenants.run_tenant_ingest(spark, early, "o_custkey", "o_orderkey", "o_orderdate", None, marks)
+    tenants.run_tenant_ingest(spark, ev, "event_type", "event_id", "ts", f"{root}/lake", f"{root}/marks")
+    ahead = tenants.read_marks(spark, f"{root}/marks").where(
+        F.col("mark") > F.lit("2024-01-30 23:59:00").cast("timestamp")).select("tenant")
+    sections += [
+        ("Stored segments: live rows weighed with summed counts; no tokenising, no corpus aggregate",
+         search_one(spark, segment_index(spark, f"{root}/segments"), "the of and", 10)),
+        ("Tenant delta: the least mark reaches the scan, marks are joined",
+         tenants.tenant_delta(orders, tenants.read_marks(spark, marks), "o_custkey", "o_orderdate")),
+        ("Tenant lake: partitions pruned at run time by a joined table of tenants",
+         tenants.read_tenant_lake(spark, f"{root}/lake").join(F.broadcast(ahead), "tenant")),
+        ("Freshness: one partial aggregate per window, sketches merged from stored ones",
+         freshness.sketch_report(freshness.sketches(lagged_events(spark, sf_dir)))),
+    ]
     out = ["# Physical plans", "",
            f"Generated by `scripts/explain_plans.py` on `{sf_dir}` (local[8], AQE on; "
            "final plans may change at run time).", "",
