@@ -38,9 +38,9 @@ def _cut(df, ts, at):
 
 
 def q_stream_segments_search(spark, sf_dir):
-    """Documents landing in three files: new ones, revised ones, and an old version late.
+    """Documents landing in three batches: new ones, revised ones, and an old version late.
 
-    Two files are indexed and compacted into a base, the third stays a segment; the
+    Two batches are indexed and compacted into a base, the third stays a segment; the
     search reads both.
     """
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -50,18 +50,13 @@ def q_stream_segments_search(spark, sf_dir):
     again = docs.where("doc_id % 6 = 0").withColumn("text", revised).withColumn("version", F.lit(2))
     stale = docs.where("doc_id % 6 = 0").withColumn("text", F.lit("stale words only")).withColumn(
         "version", F.lit(0))
-    files = [first, docs.where(third == 1).withColumn("version", F.lit(1)).unionByName(again),
-             docs.where(third == 2).withColumn("version", F.lit(1)).unionByName(stale)]
+    landed = [first, docs.where(third == 1).withColumn("version", F.lit(1)).unionByName(again),
+              docs.where(third == 2).withColumn("version", F.lit(1)).unionByName(stale)]
     root = scratch_path(spark, "segments")
-
-    def drain():
+    for n, part in enumerate(landed):
+        part.write.mode("append").parquet(f"{root}/landing")
         start_segments(spark, f"{root}/landing", first.schema, f"{root}/index", f"{root}/stream",
-                       version_col="version", max_files_per_trigger=1).awaitTermination()
-
-    for n, part in enumerate(files):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
-        if n:
-            drain()
+                       version_col="version").awaitTermination()
         if n == 1:
             compact_segments(spark, f"{root}/index")
     return search(segment_index(spark, f"{root}/index"), benchmark_queries(spark, sf_dir), k_col=None)
@@ -70,7 +65,7 @@ def q_stream_segments_search(spark, sf_dir):
 def q_event_dedup(spark, sf_dir):
     """Events that arrive again: within two minutes (dropped), after 16 days (kept), late (dropped).
 
-    The second file comes to a stream restarted from its checkpoint.
+    The second batch of files comes to a stream restarted from its checkpoint.
     """
     ev = load(spark, sf_dir, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
@@ -84,7 +79,7 @@ def q_event_dedup(spark, sf_dir):
     files = [old.unionByName(inside), ev.where(F.col("ts") >= cut).unionByName(outside).unionByName(late)]
     root = scratch_path(spark, "event-dedup")
     for n, part in enumerate(files, start=1):
-        part.withColumn("arrival", F.lit(n)).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        part.withColumn("arrival", F.lit(n)).write.mode("append").parquet(f"{root}/landing")
         start_dedup(spark, f"{root}/landing", part.withColumn("arrival", F.lit(n)).schema, f"{root}/out",
                     f"{root}/stream", ["event_id"], "ts").awaitTermination()
     return spark.read.parquet(f"{root}/out").select("event_id", "arrival", "event_type")

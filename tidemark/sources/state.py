@@ -113,7 +113,7 @@ def compact_log(spark: SparkSession, path: str, schema: T.StructType, keep_rows:
         if keep_rows:
             rows = rows.dropDuplicates(keep_rows)
         temp = f"{path}/{CHECKPOINTS}/.{uuid.uuid4().hex}"
-        (fold(rows) if fold else rows).coalesce(1).write.parquet(f"{temp}/rows")
+        (fold(rows) if fold else rows).write.parquet(f"{temp}/rows")
         told("rows")
         left = sorted((known & set(files)) | set(fresh))
         spark.createDataFrame([(f,) for f in left], "file string").coalesce(1).write.parquet(f"{temp}/files")

@@ -40,7 +40,7 @@ def write_marks(marks: DataFrame, path: str, run_id: str) -> None:
     """Append the marks of all tenants in one job; a repeated write changes nothing."""
     (marks.select(F.col("tenant").cast("string").alias("tenant"), iso_text("mark").alias("mark"),
                   F.lit(run_id).alias("run_id"))
-     .coalesce(1).write.mode("append").json(path))
+     .write.mode("append").json(path))
 
 
 def tenant_delta(source: DataFrame, marks: DataFrame, tenant: str, ts: str) -> DataFrame:

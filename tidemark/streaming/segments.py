@@ -130,7 +130,7 @@ def _segment_writer(root: str, id_col: str, text_cols: list[str], version_col: s
         if taken is not None:
             counts = counts.unionByName(_dim_counts(taken, -1)).groupBy("dim").agg(
                 F.sum("df").alias("df"))
-        _write(counts.withColumn("batch_id", F.lit(batch_id)).coalesce(1), f"{root}/counts")
+        _write(counts.withColumn("batch_id", F.lit(batch_id)), f"{root}/counts")
     return write
 
 
@@ -184,6 +184,6 @@ def compact_segments(spark: SparkSession, path: str) -> int:
     build = f"{new_build().split('-')[0]}-{top:08x}"
     base = f"{segments.root}/build={build}"
     _write(rows.withColumn("batch_id", F.lit(top)), f"{base}/terms")
-    _write(counts.where("df <> 0").withColumn("batch_id", F.lit(top)).coalesce(1), f"{base}/counts")
+    _write(counts.where("df <> 0").withColumn("batch_id", F.lit(top)), f"{base}/counts")
     publish(spark, segments.root, build)
     return top
