@@ -233,3 +233,39 @@ def test_old_builds_are_removed(spark, search_cases, tmp_path):
     assert _pairs(search_one(spark, idx, QUERY, 10).collect()) == GOLDEN
     with pytest.raises(ValueError):
         expire_builds(spark, path, keep=0)
+
+
+def test_batches_in_cells_equal_the_join(spark, monkeypatch):
+    """Ties at the cut, repeated request ids, null ids and texts, over several cells and blocks."""
+    from tidemark.operators import blocks
+    monkeypatch.setattr(blocks, "CELL_DOCS", 40)
+    monkeypatch.setattr(blocks, "CELL_QUERIES", 5)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(25)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 9))) if i % 4 else "w1 w2") for i in range(150)]
+    docs += [(None, "w1 w3"), (1000, None), (1001, "")]
+    df = spark.createDataFrame(docs, "id long, text string")
+    asked = [(i, " ".join(rng.choices(words, k=rng.randrange(1, 6))), 1 + i % 7) for i in range(20)]
+    asked += [(3, "w9 w9 w1", 5), (4, "w2", 100), (None, "w1", 3), (30, "w1", None), (31, "nowhere", 2), (32, " ", 2)]
+    req = spark.createDataFrame(asked, "query_id long, query string, top_k int")
+    idx = build_index(df, "id")
+
+    def rows(df):
+        return sorted((r.query_id, r.rank, r.id if r.id is not None else -1, r.score) for r in df.collect())
+
+    cells = search(idx, req)
+    assert "CoGroup" in cells._jdf.queryExecution().optimizedPlan().toString()
+    want = rows(search(idx, req, broadcast_rows=1000))
+    assert rows(cells) == want and len(want) > 80
+    assert rows(search(idx, req, default_k=2, k_col=None)) == rows(
+        search(idx, req, default_k=2, k_col=None, broadcast_rows=1000))
+
+
+def test_best_of_a_block_keeps_the_first_of_equal_scores():
+    import numpy as np
+    from tidemark.operators.blocks import _best
+    scores = np.array([0.2, 0.0, 0.5, 0.2, 0.2, 0.1])
+    found, rounded, low = _best(scores, 2, -1.0)
+    assert sorted(found) == [0, 2] and low == 2e7
+    assert not len(_best(scores[[1, 3, 5]], 2, low)[0])          # equal scores of later columns lose
+    assert list(_best(scores, 10, -1.0)[0]) == [0, 2, 3, 4, 5]   # no shared dimension, no row

@@ -59,6 +59,7 @@ class TextIndex:
     source: DataFrame | None = None     # latest-version rows, where ids may repeat
     vectors: DataFrame | None = None    # written with bounds: doc_id, norm, dims, ws by document
     dim_stats: DataFrame | None = None  # written with bounds: dim, cls, df, top unit weight
+    bucketed: bool = False              # postings are read from buckets by doc_id
 
 
 class RepeatedIds(ValueError):
@@ -417,6 +418,6 @@ def read_index(spark: SparkSession, path: str, payload: list[str] | None = None,
     return TextIndex(terms=terms, doc_freq=dfreq, n_docs=n_docs, idf=idf,
                      postings=_postings_table(spark, path),
                      docs=docs, payload=payload, versions=versions,
-                     id_name=meta["id_name"] or "doc_id", payload_rows=payload_rows,
+                     id_name=meta["id_name"] or "doc_id", payload_rows=payload_rows, bucketed=True,
                      vectors=_vectors_table(spark, path) if bounds else None,
                      dim_stats=spark.read.parquet(f"{path}/dim_stats") if bounds else None)

@@ -5,10 +5,12 @@ both L2-normalised.  Results are ranked on the score rounded to 8 places
 (descending), then id ascending, so the order does not depend on the
 summation order of a distributed plan.
 
-Plan: queries are tokenised in-row and exploded to ``(query_id, dim, qtf)``;
-that side is broadcast only behind a row-count check (else a shuffle join,
-where AQE splits hot dimensions); matches are summed per (query, doc);
-per-query top-k is a ``row_number() <= K`` window, which Spark turns into a
+Plan: a batch over term vectors is multiplied in cells of bounded size
+(:mod:`tidemark.operators.blocks`).  On a written index, whose postings are in
+small buckets by document, a batch of few queries is exploded to ``(query_id,
+dim, qtf)`` and joined with the postings; that side is broadcast only behind a
+row-count check (else a shuffle join, where AQE splits hot dimensions), and
+matches are summed per (query, doc) inside a bucket.  Per-query top-k is a ``row_number() <= K`` window, which Spark turns into a
 partial group limit before the shuffle, so a query matching every document
 ships at most K rows per task.
 """
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import term_vectors, vector_norm
+from tidemark.operators.blocks import SCORE_SCALE, best_pairs
 from tidemark.operators.index import NORM_CLASSES, TextIndex, explode_terms, norm_class
 from tidemark.session import ensure_checkpoint_dir
 
@@ -26,10 +29,11 @@ MAX_TOP_K = 100
 DEFAULT_TOP_K = 5
 # Query-dimension rows up to which the query side is broadcast (~24 bytes each).
 BROADCAST_QUERY_ROWS = 2_000_000
+# Queries up to which a batch joins the bucketed postings of a written index.
+BUCKET_QUERIES = 1000
 # A single query's dimensions become a literal IN filter up to this many
 # (a pathological query text is still answered exactly, by the join alone).
 MAX_LITERAL_DIMS = 1000
-SCORE_SCALE = 1e8                  # 8 places
 SLACK = 4e-8                       # more than rounding can move two scores against each other
 SEED_DOCS = 10                     # seeds hold about so many times k documents
 SEED_CELL = 20                     # a seed cell holds at most so many times that
@@ -229,6 +233,9 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     Rejected requests (blank, top_k outside 1..100) produce no rows; use
     :func:`validate_requests` to see why.
 
+    ``broadcast_rows`` asks for the join with the postings, the query side broadcast up to
+    so many rows; without it the size of the batch and the index decide.
+
     ``bounded`` (indexes written with ``bounds`` only): leave out documents that
     cannot reach a query's top k, see :func:`bounded_pairs`; the results are the same.  It
     pays for short queries whose rare words decide; not the default, since raw counts let
@@ -252,6 +259,8 @@ def search(index: TextIndex, queries: DataFrame, query_col: str = "query",
     limit = BROADCAST_QUERY_ROWS if broadcast_rows is None else broadcast_rows
     if bounded:
         scores = _bounded_scores(index, req, query_col, id_col, limit)
+    elif broadcast_rows is None and (not index.bucketed or n_queries > BUCKET_QUERIES):
+        scores = best_pairs(index, req, query_col, id_col, n_queries, sized["dims"])
     else:
         qv = _unit_query(query_vectors(req.select(id_col, query_col), query_col, id_col), id_col)
         scores = _all_scores(index, qv, sized["dims"], id_col, limit)
