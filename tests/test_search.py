@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.corpora import SEARCH_CASES, golden
-from tidemark.operators.index import RepeatedIds, build_index, write_index
+from tidemark.operators.index import RepeatedIds, build_index, current_build, write_index
 from tidemark.operators.search import (bounded_pairs, query_rows, search, search_one,
                                        validate_requests)
 
@@ -269,3 +269,22 @@ def test_best_of_a_block_keeps_the_first_of_equal_scores():
     assert sorted(found) == [0, 2] and low == 2e7
     assert not len(_best(scores[[1, 3, 5]], 2, low)[0])          # equal scores of later columns lose
     assert list(_best(scores, 10, -1.0)[0]) == [0, 2, 3, 4, 5]   # no shared dimension, no row
+
+
+def test_buckets_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    import inspect
+    from tidemark.operators import search as S
+    assert inspect.signature(write_index).parameters["bucket_bytes"].default <= 8 << 20
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", F.lit("common"), F.concat(F.lit("word"), F.col("id") % 50)).alias("text"))
+    counts = []
+    for n in (100, 400):
+        idx = write_index(build_index(docs.where(F.col("doc_id") < n)), str(tmp_path / f"i{n}"), bucket_bytes=500)
+        counts.append(spark.read.json(f"{current_build(spark, str(tmp_path / f'i{n}'))}/meta").first()["buckets"])
+    assert counts[1] > counts[0] >= 4
+    asked = spark.createDataFrame([(1, "common word7"), (2, "word9")], "query_id long, query string")
+    few = search(idx, asked, k_col=None)
+    monkeypatch.setattr(S, "BUCKET_QUERIES", 1)
+    many = search(idx, asked, k_col=None)                     # many requests: in cells
+    assert "CoGroup" in many._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 10

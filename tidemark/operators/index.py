@@ -300,7 +300,7 @@ def expire_builds(spark: SparkSession, path: str, keep: int = 2,
 
 
 def write_index(index: TextIndex, path: str, buckets: int | None = None,
-                bucket_bytes: int = 512 * 1024 * 1024,
+                bucket_bytes: int = 4 * 1024 * 1024,
                 row_group_bytes: int = 16 * 1024 * 1024, bounds: bool = False) -> TextIndex:
     """Materialise the index as a new build under ``path`` and return it read back.
 
@@ -324,7 +324,9 @@ def write_index(index: TextIndex, path: str, buckets: int | None = None,
     keeps Parquet min/max statistics on ``dim`` narrow, so a
     ``dim IN (...)`` filter skips row groups of other dimensions.  The
     bucket count defaults to about ``bucket_bytes`` of term data per bucket
-    (at least one per core).  Norms and payload are re-derived on read.
+    (at least one per core): a task sorts the postings of one bucket and holds its
+    (query, doc) sums, so small buckets keep its memory the same however large the
+    corpus is.  Norms and payload are re-derived on read.
     """
     spark = index.terms.sparkSession
     root = path.rstrip("/")
