@@ -152,3 +152,14 @@ def test_dedup_within_the_interval_across_restarts_and_late_rows(spark, tmp_path
     got = _dedup(spark, tmp_path, ("e", 60))
     got = _dedup(spark, tmp_path, ("d", 61))
     assert got == [("a", 0), ("a", 22), ("b", 1), ("d", 20), ("d", 61), ("e", 60)]
+
+
+def test_refresh_spreads_a_file_over_the_cores(spark, tmp_path):
+    """One file of one row group is tokenised by several tasks, each writing its own file."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('storm lamp w', id) AS text")
+    docs.coalesce(1).write.parquet(str(tmp_path / "landing"))
+    start_refresh(spark, str(tmp_path / "landing"), docs.schema, str(tmp_path / "index"),
+                  str(tmp_path / "ckpt")).awaitTermination()
+    terms = spark.read.parquet(str(tmp_path / "index" / "terms"))
+    assert len(terms.inputFiles()) >= spark.sparkContext.defaultParallelism > 1
+    assert same_rows(refreshed_index(spark, str(tmp_path / "index")).postings, build_index(docs).postings)

@@ -33,7 +33,9 @@ def _batch_writer(index_path: str, id_col: str, text_cols: list[str],
         keep = ["doc_id", "_ver", *(payload_cols or [])]
         src = batch.select(F.col(id_col).alias("doc_id"), version.alias("_ver"),
                            *(payload_cols or []), concat_text(*text_cols).alias("_text"))
-        tv = term_vectors(src, "_text", keep).withColumn("batch_id", F.lit(batch_id))
+        # a file is often one row group, which one task reads: its texts are spread over the cores
+        tasks = max(batch.sparkSession.sparkContext.defaultParallelism, batch.rdd.getNumPartitions())
+        tv = term_vectors(src.repartition(tasks), "_text", keep).withColumn("batch_id", F.lit(batch_id))
         (tv.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(f"{index_path.rstrip('/')}/terms"))
     return write
