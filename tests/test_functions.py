@@ -55,3 +55,29 @@ def test_lower_dotted_capital_i_splits(spark):
     df = spark.createDataFrame([("İstanbul",)], "t string")
     assert df.select(tokenize("t")).first()[0] == ["stanbul"]
     assert df.select(F.lower("t")).first()[0] == "i̇stanbul"
+
+
+def test_a_repeated_token_is_hashed_once(monkeypatch):
+    from tidemark.functions import text
+    seen, sha256 = [], text.hashlib.sha256
+    monkeypatch.setattr(text.hashlib, "sha256", lambda t: seen.append(t) or sha256(t))
+    got = text._count_terms(["fraud fraud " * 40, None, "a", "x Fraud aml\n"]).to_pylist()
+    assert sorted(set(seen)) == [b"aml", b"fraud"] and len(seen) <= 4      # by the separators behind it
+    assert got == [[{"dim": 5613, "tf": 80.0}], [], [],
+                   [{"dim": 5613, "tf": 1.0}, {"dim": 6670, "tf": 1.0}]]
+
+
+def test_term_vectors_equal_the_built_ins(spark, monkeypatch):
+    from collections import Counter
+
+    from tidemark.functions import text
+    texts = ["\u0130x K2 \u212aelvin", "a1-b2_c3 " * 300, "", None, "\u00c9T\u00c9 x", "the\x00and\tOF the", "\ud7ff z9"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    built_in = df.select("i", text.F.transform(text.tokenize("t"), text.token_dim).alias("d"))
+    want = {r["i"]: sorted(Counter(r["d"]).items()) for r in built_in.collect()}
+    got = {r["i"]: [(e["dim"], int(e["tf"])) for e in r["terms"]]
+           for r in text.term_vectors(df, "t", ["i"]).collect()}
+    assert got == want
+    monkeypatch.setattr(text, "SLICE_BYTES", 4)
+    cut = text._terms.func(text.pa.array(texts)).to_pylist()
+    assert {i: [(e["dim"], int(e["tf"])) for e in v] for i, v in enumerate(cut)} == want

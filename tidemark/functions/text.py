@@ -1,21 +1,30 @@
 """Text functions: tokeniser, hashed dimension, in-row term vectors.
 
-All of it is JVM built-ins (no Python UDF).  The tokeniser and the hash are
-part of the index format, so the fixed values below must not change: a
-different value gives different dimensions and therefore different scores.
+The tokeniser and the hash are part of the index format, so the fixed values
+below must not change: a different value gives different dimensions and
+therefore different scores.  Both exist as built-ins for single columns; term
+vectors of whole texts are counted on Arrow batches.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the index format.
 DIM = 16384                      # size of the hashed vector space (2**14)
 SPLIT_PATTERN = "[^a-z0-9]+"     # separators after lower-casing
 MIN_TOKEN_LENGTH = 2             # shorter tokens are dropped
 
-TERM_TYPE = "array<struct<dim:int,tf:double>>"
+TERM_TYPE = T.ArrayType(T.StructType([T.StructField("dim", T.IntegerType()), T.StructField("tf", T.DoubleType())]))
+SLICE_BYTES = 8 << 20            # of text that a task cuts at once
+_SEPARATED = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for c in range(256))
 
 
 def _col(c) -> Column:
@@ -44,43 +53,54 @@ def concat_text(*cols) -> Column:
     return F.concat_ws(" ", *[F.coalesce(_col(c), F.lit("")) for c in cols])
 
 
+def _count_terms(texts: list[str | None]) -> pa.ListArray:
+    """The term vector of every text.
+
+    The texts are cut at once; a token is looked at (with the separators behind it) once
+    however often it occurs, and (text, dimension) pairs are counted by sorting.
+    """
+    raw = [(t or "").lower().encode() for t in texts]
+    ends = np.cumsum([len(t) + 1 for t in raw])
+    data = np.frombuffer(b"".join(t + b" " for t in raw).translate(_SEPARATED), np.uint8)
+    starts = data != 32
+    starts[1:] &= data[:-1] == 32
+    cuts = np.append(np.flatnonzero(starts), len(data))
+    tokens = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)]).dictionary_encode()
+    known = [t.rstrip() for t in tokens.dictionary.to_pylist()]
+    dims = np.array([int.from_bytes(hashlib.sha256(t).digest()[:4], "big") % DIM
+                     if len(t) >= MIN_TOKEN_LENGTH else -1 for t in known], np.int64)[tokens.indices.to_numpy()]
+    rows = np.searchsorted(ends, cuts[:-1], side="right")
+    found, counts = np.unique(rows[dims >= 0] * DIM + dims[dims >= 0], return_counts=True)
+    terms = pa.StructArray.from_arrays([pa.array(found % DIM, pa.int32()), pa.array(counts, pa.float64())],
+                                       names=["dim", "tf"])
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(found, np.arange(len(texts) + 1) * DIM), pa.int32()), terms)
+
+
+@F.arrow_udf(TERM_TYPE)
+def _terms(texts: pa.Array) -> pa.Array:
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    parts, at = [], 0
+    while at < len(texts) or not parts:                    # about SLICE_BYTES of text at a time
+        done = size[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES, side="right")))
+        parts.append(_count_terms(texts.slice(at, end - at).to_pylist()))
+        at = end
+    return pa.concat_arrays(parts)
+
+
 def term_vectors(df: DataFrame, text, keep: list[str],
                  out: str = "terms") -> DataFrame:
     """Add ``out``: the raw term-frequency vector of ``text``, in the row.
 
     ``out`` is ``array<struct<dim:int, tf:double>>`` sorted by dim; terms
-    whose hashes collide are one term.  The count is done inside the row
-    (sort the per-token dimensions, then measure runs of equal values), so
-    a document's terms never leave its row and no shuffle is needed.
-
-    Each stage is its own projection and every lambda uses only its own
-    arguments, so no array is re-evaluated per element.
+    whose hashes collide are one term.  Tokens and dimensions are those of
+    :func:`tokenize` and :func:`token_dim`.  The count is done inside the row,
+    so a document's terms never leave its row and no shuffle is needed; it runs
+    on Arrow batches, where a token is hashed once however often it occurs.
     """
-    # sort_array: natural order, code-generated (array_sort plans a comparator lambda)
-    s = df.select(*keep, F.sort_array(F.transform(tokenize(text), token_dim)).alias("_s"))
-    n = F.size("_s")
-    s = s.select(*keep, "_s", F.concat(
-        F.array(F.lit(None).cast("int")),
-        F.slice("_s", 1, F.greatest(n - 1, F.lit(0)))).alias("_p"))
-    # _f[i]: position i starts a run of equal dimensions
-    s = s.select(*keep, "_s", F.zip_with(
-        "_s", "_p", lambda a, b: a.isNotNull() & (b.isNull() | (a != b))).alias("_f"))
-    s = s.select(
-        *keep, F.size("_s").alias("_n"),
-        F.filter(F.zip_with("_s", "_f", lambda a, f: F.when(f, a)),
-                 lambda x: x.isNotNull()).alias("_d"),
-        F.filter(F.zip_with(F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))), "_f",
-                            lambda i, f: F.when(f, i)),
-                 lambda x: x.isNotNull()).alias("_st"))
-    # run length = next run start - this run start (last run ends at n + 1)
-    s = s.select(*keep, "_d", F.zip_with(
-        F.concat(F.slice("_st", 2, F.greatest(F.size("_st"), F.lit(1))),
-                 F.array(F.col("_n") + 1)),
-        "_st", lambda e, b: (e - b).cast("double")).alias("_c"))
-    terms = F.filter(
-        F.zip_with("_d", "_c", lambda d, c: F.struct(d.alias("dim"), c.alias("tf"))),
-        lambda e: e["dim"].isNotNull())
-    return s.select(*keep, terms.alias(out))
+    return df.select(*keep, _terms(_col(text).cast("string")).alias(out))
 
 
 def vector_norm(terms, field: str = "tf") -> Column:

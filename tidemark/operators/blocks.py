@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import DIM, term_vectors, vector_norm
-from tidemark.operators.index import TextIndex, weigh
+from tidemark.operators.index import TextIndex
 
 SCORE_SCALE = 1e8                  # 8 places
 CELL_DOCS = 2048                   # documents of a cell, about
@@ -51,8 +51,10 @@ def _best(scores: np.ndarray, k: int, low: float) -> tuple[np.ndarray, np.ndarra
     return found, rounded[found], low
 
 
-def _cell(id_col: str):
-    """The function of a cell: (queries, documents) -> (id, doc_id, score)."""
+def _cell(id_col: str, idf: np.ndarray):
+    """The function of a cell: (queries, documents) -> (id, doc_id, score).
+
+    ``idf`` by dimension weighs the documents' counts here, in arrays."""
     def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
         if not queries.num_rows or not docs.num_rows:
             return pa.table({id_col: queries.column(id_col).slice(0, 0),
@@ -70,7 +72,10 @@ def _cell(id_col: str):
         place = np.full(DIM, -1)
         place[used] = np.arange(len(used))
         d_dims, d_rows = _flat(docs, "dims")
-        d_dims, d_ws = place[d_dims], _flat(docs, "ws")[0] / docs.column("norm").to_numpy()[d_rows]
+        d_ws = _flat(docs, "ws")[0] * idf[d_dims]
+        norm = np.sqrt(np.bincount(d_rows, d_ws * d_ws, minlength=docs.num_rows))
+        norm[norm == 0] = 1.0
+        d_dims, d_ws = place[d_dims], d_ws / norm[d_rows]
         low = np.full(len(ks), -1.0)
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for start in range(0, len(doc_row), COLUMNS):
@@ -111,8 +116,10 @@ def best_pairs(index: TextIndex, requests: DataFrame, query_col: str, id_col: st
     asked = term_vectors(requests.where(F.col(id_col).isNotNull()), query_col, [id_col, "_k"])
     asked = asked.select(id_col, "_k", "terms", vector_norm("terms", "tf").alias("_qn"))
     asked = dealt(arrays(asked, id_col, "_k", field="tf", by="_qn"), id_col, "_q", deal, "_d", cells)
-    docs = arrays(weigh(index.terms, index.idf, ["doc_id"]), "doc_id", "norm", field="w")
-    docs = dealt(docs, "doc_id", "_d", cells, "_q", deal)
+    docs = dealt(arrays(index.terms, "doc_id", field="tf"), "doc_id", "_d", cells, "_q", deal)
+    idf = np.zeros(DIM)
+    for row in index.idf.collect():                   # DIM rows at most
+        idf[row["dim"]] = row["idf"]
     types = {**dict(requests.dtypes), **dict(docs.dtypes)}
     return asked.groupBy("_d", "_q").cogroup(docs.groupBy("_d", "_q")).applyInArrow(
-        _cell(id_col), f"`{id_col}` {types[id_col]}, doc_id {types['doc_id']}, score double")
+        _cell(id_col, idf), f"`{id_col}` {types[id_col]}, doc_id {types['doc_id']}, score double")
