@@ -288,3 +288,23 @@ def test_buckets_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
     many = search(idx, asked, k_col=None)                     # many requests: in cells
     assert "CoGroup" in many._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 10
+
+
+def test_tasks_grow_with_the_cells_not_with_the_partitions_set(spark, monkeypatch):
+    """A task gets about one cell, however few shuffle partitions are set or put together."""
+    from tidemark.operators import blocks
+    monkeypatch.setattr(blocks, "CELL_DOCS", 20)
+    docs = spark.range(800).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", F.lit("common"), F.concat(F.lit("word"), F.col("id") % 50)).alias("text"))
+    asked = spark.createDataFrame([(1, "common word7", 3), (2, "word9", 3)], "query_id long, query string, _k int")
+    tasks = []
+    for n in (400, 800):
+        idx = build_index(docs.where(F.col("doc_id") < n))
+        pairs = blocks.best_pairs(idx, asked, "query", "query_id", 2, 3)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        # one shuffle of documents and one of queries: the cogroup adds none of its own
+        assert plan.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in plan
+        tasks.append(pairs.rdd.getNumPartitions())
+        assert sorted(map(tuple, search(idx, asked, k_col="_k").collect())) == sorted(
+            map(tuple, search(idx, asked, k_col="_k", broadcast_rows=1000).collect()))
+    assert tasks == [20, 40]

@@ -121,5 +121,7 @@ def best_pairs(index: TextIndex, requests: DataFrame, query_col: str, id_col: st
     for row in index.idf.collect():                   # DIM rows at most
         idf[row["dim"]] = row["idf"]
     types = {**dict(requests.dtypes), **dict(docs.dtypes)}
+    # about one cell a task, whatever number of shuffle partitions is set: a task sorts what it gets
+    asked, docs = (df.repartition(cells * deal, "_d", "_q") for df in (asked, docs))
     return asked.groupBy("_d", "_q").cogroup(docs.groupBy("_d", "_q")).applyInArrow(
         _cell(id_col, idf), f"`{id_col}` {types[id_col]}, doc_id {types['doc_id']}, score double")
