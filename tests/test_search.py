@@ -308,3 +308,63 @@ def test_tasks_grow_with_the_cells_not_with_the_partitions_set(spark, monkeypatc
         assert sorted(map(tuple, search(idx, asked, k_col="_k").collect())) == sorted(
             map(tuple, search(idx, asked, k_col="_k", broadcast_rows=1000).collect()))
     assert tasks == [20, 40]
+
+
+def test_many_requests_meet_larger_cells(spark, monkeypatch):
+    """Every cell of documents gets a copy of the requests and gives back their best: with many
+    requests a cell holds more documents, up to a bound, and the results are the same."""
+    from tidemark.operators import blocks
+    monkeypatch.setattr(blocks, "CELL_DOCS", 20)
+    monkeypatch.setattr(blocks, "MOST_CELL_DOCS", 100, raising=False)
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", F.lit("common"), F.concat(F.lit("word"), F.col("id") % 50)).alias("text"))
+    idx = build_index(docs)
+    for n, cells in ((5, 20), (40, 10), (300, 4)):
+        asked = spark.range(n).select(F.col("id").alias("query_id"), F.concat_ws(
+            " ", F.lit("common"), F.concat(F.lit("word"), F.col("id") % 60)).alias("query"),
+            (F.col("id") % 9 + 1).cast("int").alias("_k"))
+        assert blocks.best_pairs(idx, asked, "query", "query_id", n, 2 * n).rdd.getNumPartitions() == cells
+        found = search(idx, asked, k_col="_k", broadcast_rows=1000).collect()
+        assert sorted(map(tuple, search(idx, asked, k_col="_k").collect())) == sorted(map(tuple, found))
+
+
+def test_scores_of_a_cell_by_matrix_and_by_postings(monkeypatch):
+    """Common dimensions are multiplied, the others added up: the same scores, however they are split."""
+    import numpy as np
+    from tidemark.operators import blocks
+    rng = np.random.default_rng(3)
+    n, n_dims, n_queries = 70, 30, 11
+    columns, d_dims = np.nonzero(rng.random((n, n_dims)) < 1 / np.arange(1, n_dims + 1))
+    columns, d_dims = np.append(columns, columns[-3:]), np.append(d_dims, d_dims[-3:])    # an id twice: adds up
+    rows, dims = np.nonzero(rng.random((n_queries, n_dims)) < 2 / np.arange(1, n_dims + 1))
+    d_ws, ws = rng.random(len(d_dims)), rng.random(len(dims))
+    docs, asked = np.zeros((n_dims, n)), np.zeros((n_queries, n_dims))
+    np.add.at(docs, (d_dims, columns), d_ws)
+    asked[rows, dims] = ws
+    monkeypatch.setattr(blocks, "CHUNK", 4)
+    for share, most in ((1 / 64, 512), (2.0, 512), (1 / 64, 2), (0.0, 512)):
+        monkeypatch.setattr(blocks, "COMMON_SHARE", share)
+        monkeypatch.setattr(blocks, "COMMON", most)
+        parts = list(blocks._scored((np.searchsorted(rows, np.arange(n_queries + 1)), dims, ws),
+                                    (columns, d_dims.astype(np.int16), d_ws), n, n_dims))
+        assert [first for first, _ in parts] == [0, 4, 8]
+        np.testing.assert_allclose(np.concatenate([s for _, s in parts]), asked @ docs, atol=1e-12)
+
+
+def test_best_of_many_rows_at_once():
+    """Every row has its own k and bound, wider than groups or not, with ties and rows without any."""
+    import numpy as np
+    from tidemark.operators.blocks import GROUP, _best
+    rng = np.random.default_rng(4)
+    for width in (5, GROUP, 10 * GROUP + 3):
+        scores = np.round(rng.random((9, width)), 1) * (rng.random((9, width)) < 0.6)
+        scores[4] = 0
+        ks, low = rng.integers(1, 12, 9), np.where(np.arange(9) % 2, -1.0, 3e7)
+        places, rounded, bounds = _best(scores, ks, low)
+        want = []
+        for r in range(9):
+            found = [c for c in range(width) if scores[r, c] > 0 and round(scores[r, c] * 1e8) > low[r]]
+            found = sorted(found, key=lambda c: (-scores[r, c], c))[:ks[r]]
+            want += sorted(r * width + c for c in found)
+            assert bounds[r] == (round(scores[r, found[-1]] * 1e8) if len(found) == ks[r] else low[r])
+        assert places.tolist() == want and rounded.tolist() == [round(scores.flat[p] * 1e8) for p in want]
