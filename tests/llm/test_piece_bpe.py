@@ -118,3 +118,44 @@ def test_a_batch_merges_its_short_words_side_by_side(library, monkeypatch):
     ids, _ = fresh.packed_batch(["shninganing ofth.\nOnonon " + long, "Ofreshwhou " * 50])
     assert seen == [piece_bpe.MARK + long] and len(fresh.words) == 0
     assert ids.tolist() == library.encode("shninganing ofth.\nOnonon " + long) + library.encode("Ofreshwhou " * 50)
+
+
+def test_a_batch_backtracks_its_short_words(library, monkeypatch):
+    """Short words take the longest piece that goes with its left neighbour, else a shorter one."""
+    with open(PATH, "rb") as f:
+        fresh = piece_bpe.PieceModel(f.read())
+    asked, fits = {}, fresh._fits
+
+    def seen(left, right):
+        found = fits(left, right)
+        asked.update(zip(zip(left.tolist(), right.tolist(), strict=True), found.tolist(), strict=True))
+        return found
+
+    monkeypatch.setattr(fresh, "_fits", seen)
+    texts = [t for t in odd_texts(fresh) if t][:400]
+    ids, ends = fresh.packed_batch(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [library.encode(t) for t in texts]
+    names = [*fresh.unit_texts, None]
+    known = {(a, b): f for (a, b), f in asked.items() if a <= fresh.edge and b < fresh.edge}
+    assert {names[a] for a, _ in known} > {None} and set(known.values()) == {True, False}
+    for (a, b), found in known.items():
+        assert found == fresh.compatible(names[a], names[b])
+    taken = {(a, b) for text in texts if "  " not in text and not set(text) - set("".join(fresh.id)) - {" "}
+             for word in text.split(" ") if 0 < len(word) < 60 and piece_bpe.MARK not in word
+             for units in [fresh.split(piece_bpe.MARK + word)] for a, b in zip([None, *units], units)}
+    number = {u: n for n, u in enumerate(names)}
+    assert len(taken) > 50 and all(known[number[a], number[b]] for a, b in taken)
+
+
+def test_small_tables_of_pairs_change_nothing_in_batches(library, monkeypatch):
+    with open(PATH, "rb") as f:
+        raw = f.read()
+    for name, value in (("MAX_PAIRS", 5), ("WIDTHS", (6, 9)), ("COLUMNS", 7)):
+        with monkeypatch.context() as m:
+            m.setattr(piece_bpe, name, value)
+            fresh = piece_bpe.PieceModel(raw)
+            texts = odd_texts(fresh)[:300]
+            ids, ends = fresh.packed_batch(texts)
+            assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [
+                library.encode(t) for t in texts]
+            assert name != "MAX_PAIRS" or len(fresh.known_pairs) < 2000
